@@ -38,15 +38,15 @@ def brute_fuzzy(names: str) -> str:
 select n.name, coalesce(a.company_id, f.company_id) as company_id, coalesce(a.name, f.company) as company,
   case when a.alias is not null then cast(1 as double) else f.score end as score
 from (select distinct name from ({names}) x where length(name) >= 2) n left join aliases a on a.alias = lower(trim(n.name))
-left join (select name, max_by(company_id, rank_key) as company_id, max_by(company, rank_key) as company, max(score) as score from (
+left join (select name, max_by(company_id, rank_key) as company_id, max_by(company, rank_key) as company, max(sim) as score from (
   select q.name, c.company_id, c.name as company, greatest(
     case when regexp_matches(lower(trim(q.name)), '\\b' || regexp_escape(lower(c.name)) || '\\b')
       or regexp_matches(lower(c.name), '\\b' || regexp_escape(lower(trim(q.name))) || '\\b')
       then cast(length(c.name) as double) / greatest(length(trim(q.name)), length(c.name)) else 0 end,
     case when 1 - cast(levenshtein(lower(trim(q.name)), lower(c.name)) as double) / greatest(length(trim(q.name)), length(c.name)) > 0.75
-      then 1 - cast(levenshtein(lower(trim(q.name)), lower(c.name)) as double) / greatest(length(trim(q.name)), length(c.name)) else 0 end) as score,
-    score * 1000000 - c.company_id as rank_key
-  from (select distinct name from ({names}) y where length(name) >= 2) q cross join v_companies c) p where score > 0.6 group by name) f
+      then 1 - cast(levenshtein(lower(trim(q.name)), lower(c.name)) as double) / greatest(length(trim(q.name)), length(c.name)) else 0 end) as sim,
+    sim * 1000000 - c.company_id as rank_key
+  from (select distinct name from ({names}) y where length(name) >= 2) q cross join v_companies c) p where sim > 0.6 group by name) f
   on f.name = n.name where a.alias is not null or f.name is not null"""
 
 

@@ -89,29 +89,29 @@ def base_domain(host: Column) -> Column:
     return F.when(host.contains("."), F.substring_index(host, ".", -2))
 
 
+# scheme, authority mark, authority, path, query of a URL without fragment
+URL_PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(//)?([^/?]*)([^?]*)(?:\?(.*))?$"
+
+
 def canonical_url(url: Column) -> Column:
     """URL with lower-case scheme and host, no fragment, parameters or trailing slash."""
-    raw = F.trim(F.coalesce(url, F.lit("")))
-    plain = F.regexp_replace(raw, "#.*$", "")
-    query = F.regexp_extract(plain, r"\?(.*)$", 1)
-    front = F.regexp_replace(plain, r"\?.*$", "")
-    scheme = F.lower(F.regexp_extract(front, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
-    rest = F.regexp_replace(front, r"^[A-Za-z][A-Za-z0-9+.-]*:", "")
-    has_authority = rest.startswith("//")
-    authority = F.when(has_authority, F.lower(F.regexp_extract(rest, "^//([^/]*)", 1))).otherwise("")
-    path = F.when(has_authority, F.regexp_replace(rest, "^//[^/]*", "")).otherwise(rest)
-    path = F.regexp_replace(path, ";[^/]*$", "")
-    path = F.when(path == "", "/").when(
-        (F.length(path) > 1) & path.endswith("/"), F.regexp_replace(path, "/+$", "")
-    ).otherwise(path)
-    web = has_authority | scheme.isin("", "http", "https")
-    rooted = F.when(path.startswith("/") | (path == ""), path).otherwise(F.concat(F.lit("/"), path))
-    tail = F.when(query == "", "").otherwise(F.concat(F.lit("?"), query))
-    used = F.when(scheme == "", "https").otherwise(scheme)
-    full = F.when(web, F.concat(used, F.lit("://"), authority, rooted, tail)).otherwise(
-        F.concat(scheme, F.lit(":"), path, tail)
-    )
-    return F.when(raw == "", "").otherwise(full)
+    plain = F.regexp_replace(F.trim(F.coalesce(url, F.lit(""))), "#.*$", "")
+    names = ["scheme", "mark", "host", "path", "query"]
+    parts = F.struct(*[F.regexp_extract(plain, URL_PARTS, i + 1).alias(n) for i, n in enumerate(names)])
+    return F.when(plain == "", "").otherwise(F.get(F.transform(F.array(parts), _rebuilt), 0))
+
+
+def _rebuilt(p: Column) -> Column:
+    scheme = F.lower(p["scheme"])
+    host = F.when(p["mark"] == "//", F.lower(p["host"])).otherwise("")
+    path = F.when(p["mark"] == "//", p["path"]).otherwise(F.concat(p["host"], p["path"]))
+    path = F.regexp_replace(F.regexp_replace(path, ";[^/]*$", ""), "(?<=.)/+$", "")
+    tail = F.when(p["query"] == "", "").otherwise(F.concat(F.lit("?"), p["query"]))
+    web = (p["mark"] == "//") | scheme.isin("", "http", "https")
+    rooted = F.concat(F.when(path.startswith("/"), "").otherwise("/"), path)
+    return F.when(
+        web, F.concat(F.when(scheme == "", "https").otherwise(scheme), F.lit("://"), host, rooted, tail)
+    ).otherwise(F.concat(scheme, F.lit(":"), path, tail))
 
 
 def url_key(url: Column, size: int = 16) -> Column:

@@ -108,11 +108,19 @@ def duplicates_within(events: DataFrame, days: int = 7) -> DataFrame:
     )
 
 
+def article_forms(column: str):
+    """The URL itself and what stands before each of its ``#`` marks."""
+    url = F.col(column)
+    return F.transform(
+        F.sequence(F.lit(1), F.size(F.split(url, "#"))),
+        lambda n: F.array_join(F.slice(F.split(url, "#"), F.lit(1), n), "#"),
+    )
+
+
 def link_event_by_url(signals: DataFrame, events: DataFrame) -> DataFrame:
     """For every signal URL the event on that article: unlinked first, then the newest id."""
     usable = events.filter("source_url is not null")
-    forms = F.array_distinct(F.array("source_url", F.substring_index("source_url", "#", 1)))
-    index = usable.select(F.explode(forms).alias("url"), "id", "raw_signal_id")
+    index = usable.select(F.explode(article_forms("source_url")).alias("url"), "id", "raw_signal_id")
     order = F.struct(F.col("raw_signal_id").isNull(), F.col("id"))
     pick = F.max_by(F.struct(F.col("id").alias("event_id"), "raw_signal_id"), order).alias("e")
     index = index.groupBy("url").agg(pick)

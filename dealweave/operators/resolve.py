@@ -70,13 +70,23 @@ def alias_index(companies: DataFrame) -> DataFrame:
 # -- strings cut at word boundaries -----------------------------------------------------------
 
 
+def _cut(df: DataFrame, text: str) -> DataFrame:
+    return df.withColumn("__pieces", _pieces(F.col(text)))
+
+
 def _pieces(text: Column) -> Column:
     """Text cut at every word boundary: words and the runs between them."""
     return F.filter(F.split(text, r"\b"), lambda p: p != "")
 
 
-def _runs(pieces: Column, sizes: Column) -> Column:
-    """All runs of consecutive pieces whose count is in ``sizes``."""
+def _runs(sizes: list[int] | None = None) -> Column:
+    """All runs of consecutive pieces of a text column whose count is in ``sizes`` (default: any).
+
+    The text must have been cut into the column ``__pieces`` by ``_cut`` first, so that the
+    split runs once per row and not once per run.
+    """
+    pieces = F.col("__pieces")
+    sizes = F.sequence(F.lit(1), F.size(pieces)) if sizes is None else F.array(*map(F.lit, sizes))
     per_size = F.transform(
         sizes,
         lambda n: F.when(
@@ -104,9 +114,8 @@ def run_sizes(companies: DataFrame) -> list[int]:
 def _containment(names: DataFrame, companies: DataFrame) -> DataFrame:
     """Company name inside the name, or the name inside the company name, as whole words."""
     low = companies.select("company_id", "name", F.lower("name").alias("c"))
-    pieces = _pieces(F.col("q"))
     # A company inside the name counts only above the acceptance bar, so short runs are left out.
-    spans = names.select("q", F.explode(_runs(pieces, F.sequence(F.lit(1), F.size(pieces)))).alias("c"))
+    spans = _cut(names, "q").select("q", F.explode(_runs()).alias("c"))
     spans = spans.filter(
         (F.length("c") >= 2) & (F.length("c") / F.length("q") > ACCEPT)
         & _whole_words(F.col("c"), F.col("q"))
@@ -114,10 +123,7 @@ def _containment(names: DataFrame, companies: DataFrame) -> DataFrame:
     inside = spans.join(low, "c").select(
         "q", "company_id", "name", (F.length("c") / F.length("q")).alias("score")
     )
-    cpieces = _pieces(F.col("c"))
-    runs = low.select(
-        "company_id", "name", "c", F.explode(_runs(cpieces, F.sequence(F.lit(1), F.size(cpieces)))).alias("q")
-    )
+    runs = _cut(low, "c").select("company_id", "name", "c", F.explode(_runs()).alias("q"))
     runs = runs.filter((F.length("q") >= 2) & _whole_words(F.col("q"), F.col("c")))
     around = names.join(runs, "q").select(
         "q", "company_id", "name",
@@ -234,39 +240,64 @@ def by_repo(links: DataFrame, companies: DataFrame) -> DataFrame:
     return rows.join(repo_index(companies), "org").select("id", "company_id", "name", "score")
 
 
+def _alias_heads(companies: DataFrame) -> DataFrame:
+    """Aliases long enough to search for, keyed by their first characters; earlier ones rank higher."""
+    index = alias_index(companies).filter(F.length("alias") >= MIN_NAME)
+    first = F.col("first_seen.company_id") * F.lit(1000) + F.col("first_seen.pos")
+    return index.select(
+        F.substring("alias", 1, MIN_NAME).alias("key"), "company_id", "name", F.col("alias").alias("full"),
+        F.struct(F.length("alias").alias("len"), (-first).alias("back")).alias("rank"),
+    )
+
+
+def _name_runs(companies: DataFrame) -> DataFrame:
+    """Company names long enough to look for as whole words, the longer one ranking higher."""
+    low = F.lower("name")
+    return companies.filter(F.length("name") >= MIN_NAME).select(
+        low.alias("key"), "company_id", "name", F.lit(None).cast("string").alias("full"),
+        F.struct(F.length(low).alias("len"), (-F.col("company_id")).alias("back")).alias("rank"),
+    )
+
+
+def _title_spots(title: Column) -> Column:
+    """Every place of the lower-case title: its next four characters and all that follows."""
+    low = F.lower(title)
+    return F.when(
+        F.length(low) >= MIN_NAME,
+        F.transform(
+            F.sequence(F.lit(1), F.length(low) - MIN_NAME + 1),
+            lambda p: F.struct(
+                F.substring(low, p, F.lit(MIN_NAME)).alias("key"), F.substring(low, p, F.length(low)).alias("rest")
+            ),
+        ),
+    )
+
+
 def by_title_alias(titles: DataFrame, companies: DataFrame) -> DataFrame:
     """Longest alias contained anywhere in the title.
 
     Every place of the title offers its next four characters; aliases meet on their first four
     and are then compared in full against the rest of the title.
     """
-    index = alias_index(companies).filter(F.length("alias") >= MIN_NAME)
-    index = index.withColumn("head", F.substring("alias", 1, MIN_NAME))
-    low = titles.select("id", F.lower("title").alias("t")).filter(F.length("t") >= MIN_NAME)
-    spots = low.select("id", "t", F.explode(F.sequence(F.lit(1), F.length("t") - MIN_NAME + 1)).alias("p"))
-    spots = spots.select("id", F.expr("substring(t, p)").alias("rest"))
-    spots = spots.withColumn("head", F.substring("rest", 1, MIN_NAME))
-    hits = spots.join(index, "head").filter(F.col("rest").startswith(F.col("alias")))
-    order = F.struct(
-        F.length("alias"), -F.col("first_seen.company_id"), -F.col("first_seen.pos")
-    )
-    best = hits.groupBy("id").agg(F.max_by(F.struct("company_id", "name"), order).alias("m"))
+    low = titles.withColumn("title", F.lower("title"))
+    spots = low.select("id", F.inline(_title_spots(F.col("title"))))
+    hits = spots.join(_alias_heads(companies), "key").filter(F.col("rest").startswith(F.col("full")))
+    best = hits.groupBy("id").agg(F.max_by(F.struct("company_id", "name"), "rank").alias("m"))
     return best.select("id", "m.*", F.lit(TITLE_ALIAS_SCORE).alias("score"))
 
 
+def _text_runs(texts: DataFrame, sizes: list[int]) -> DataFrame:
+    """(id, key): the word runs of ``text`` as long as some company name."""
+    low = _cut(texts.select("id", F.lower("text").alias("t")).filter("t is not null"), "t")
+    runs = low.select("id", "t", F.explode(_runs(sizes)).alias("key"))
+    return runs.filter((F.length("key") >= MIN_NAME) & _whole_words(F.col("key"), F.col("t"))).select("id", "key")
+
+
 def by_name_in_text(texts: DataFrame, companies: DataFrame, sizes: list[int] | None = None):
     """Longest company name that stands in the text as whole words."""
-    sizes = run_sizes(companies) if sizes is None else sizes
-    if not sizes:
-        sizes = [1]
-    names = companies.select("company_id", "name", F.lower("name").alias("run"))
-    names = names.filter(F.length("run") >= MIN_NAME)
-    low = texts.select("id", F.lower("text").alias("t")).filter("t is not null")
-    runs = low.select("id", "t", F.explode(_runs(_pieces(F.col("t")), F.array(*map(F.lit, sizes)))).alias("run"))
-    runs = runs.filter((F.length("run") >= MIN_NAME) & _whole_words(F.col("run"), F.col("t"))).select("id", "run")
-    hits = runs.join(names, "run")
-    order = F.struct(F.length("run"), -F.col("company_id"))
-    best = hits.groupBy("id").agg(F.max_by(F.struct("company_id", "name"), order).alias("m"))
+    sizes = (run_sizes(companies) if sizes is None else sizes) or [1]
+    hits = _text_runs(texts, sizes).join(_name_runs(companies), "key")
+    best = hits.groupBy("id").agg(F.max_by(F.struct("company_id", "name"), "rank").alias("m"))
     return best.select("id", "m.*", F.lit(NAME_IN_TEXT_SCORE).alias("score"))
 
 
@@ -398,24 +429,66 @@ def resolve_company(payloads: DataFrame, companies: DataFrame, sizes: list[int]
     hits = hits.filter((F.col("rank") != methods["fuzzy_title"]) | (F.col("score") >= TITLE_BAR))
     hits = hits.select("id", "rank", "ord", "company_id", F.col("company").alias("name"), "score")
 
-    known = companies.select("company_id", "name")
-    explicit = payloads.select("id", F.col("company_ref").alias("company_id")).join(known, "company_id")
-    links = payloads.filter(F.coalesce("url", F.lit("")) != "").select("id", "url")
-    single = {
-        "company_id": explicit.select("id", "company_id", "name", F.lit(1.0).alias("score")),
-        "repo": by_repo(links, companies),
-        "domain": by_domain(links, companies),
-        "title_alias": by_title_alias(payloads.filter("title is not null").select("id", "title"), companies),
-        "name_in_text": by_name_in_text(payloads.select("id", F.col("blob").alias("text")), companies, sizes),
-    }
-    rows = [
-        df.select(
-            "id", F.lit(methods[name]).alias("rank"), F.lit(0).alias("ord"), "company_id", "name", "score"
-        )
-        for name, df in single.items()
-    ]
-    every = reduce(DataFrame.unionByName, rows, hits)
-    best = F.min_by(F.struct("company_id", "name", "score", "rank"), F.struct("rank", "ord")).alias("m")
-    out = every.groupBy("id").agg(best).select("id", "m.*")
+    found = _direct_hits(payloads, companies, sizes).unionByName(hits, allowMissingColumns=True)
+    best = F.min_by(
+        F.struct("company_id", "name", "score", "rank"),
+        F.struct("rank", "ord", -F.coalesce("len", F.lit(0)), -F.coalesce("back", F.lit(0).cast("bigint"))),
+    )
+    out = found.groupBy("id").agg(best.alias("m")).select("id", "m.*")
     names = F.array(*[F.lit(n) for n in METHODS])
     return out.withColumn("method", F.get(names, F.col("rank"))).drop("rank")
+
+
+def _direct_hits(payloads: DataFrame, companies: DataFrame, sizes: list[int] | None) -> DataFrame:
+    """Hits of all strategies that need one key: explicit id, repository, host, alias and name.
+
+    Each payload is read once and offers (kind, key) probes; all indexes are stacked under the
+    same two columns and joined once.
+    """
+    sizes = (run_sizes(companies) if sizes is None else sizes) or [1]
+    rank = {name: i for i, name in enumerate(METHODS)}
+    none = F.lit(None)
+
+    def probe(method, ord_, key, rest=none):
+        return F.struct(
+            F.lit(rank[method]).alias("rank"), F.lit(ord_).alias("ord"), key.cast("string").alias("key"),
+            rest.cast("string").alias("rest"),
+        )
+
+    host = link_host(F.col("url"))
+    low = payloads.select(
+        "id", "company_ref", F.lower("title").alias("t"), F.lower("blob").alias("b"), host.alias("host"),
+        F.lower(capture(F.col("url"), r"(?i)github\.com/([^/]+)")).alias("org"),
+    ).withColumn("__pieces", _pieces(F.col("b")))
+    links = F.array(
+        probe("company_id", 0, F.col("company_ref")),
+        probe("repo", 0, F.col("org")),
+        probe("domain", 0, F.col("host")),
+        probe("domain", 1, base_domain(F.col("host"))),
+    )
+    spots = F.transform(_title_spots(F.col("t")), lambda x: probe("title_alias", 0, x["key"], x["rest"]))
+    runs = F.transform(_runs(sizes), lambda r: probe("name_in_text", 0, r))
+    runs = F.filter(runs, lambda x: (F.length(x["key"]) >= MIN_NAME) & _whole_words(x["key"], F.col("b")))
+    empty = F.slice(links, 1, 0)
+    probes = low.select("id", F.inline(F.concat(links, F.coalesce(spots, empty), F.coalesce(runs, empty))))
+    probes = probes.filter("key is not null and key <> ''")
+
+    def stacked(df, method, key, score):
+        return df.select(
+            F.lit(rank[method]).alias("rank"), key.cast("string").alias("key"), "company_id", "name",
+            score.alias("score"),
+            (F.col("full") if "full" in df.columns else none.cast("string")).alias("full"),
+            (F.col("rank.len") if "full" in df.columns else F.lit(0)).alias("len"),
+            (F.col("rank.back") if "full" in df.columns else F.lit(0).cast("bigint")).alias("back"),
+        )
+
+    index = reduce(DataFrame.unionByName, [
+        stacked(companies, "company_id", F.col("company_id"), F.lit(1.0)),
+        stacked(repo_index(companies), "repo", F.col("org"), F.col("score")),
+        stacked(domain_index(companies), "domain", F.col("domain"), F.col("score")),
+        stacked(_alias_heads(companies), "title_alias", F.col("key"), F.lit(TITLE_ALIAS_SCORE)),
+        stacked(_name_runs(companies), "name_in_text", F.col("key"), F.lit(NAME_IN_TEXT_SCORE)),
+    ])
+    hits = probes.join(index, ["rank", "key"])
+    hits = hits.filter(F.col("full").isNull() | F.col("rest").startswith(F.col("full")))
+    return hits.select("id", "rank", "ord", "company_id", "name", "score", "len", "back")

@@ -246,12 +246,25 @@ def with_views(sql: str, **extra: str) -> str:
     closure = sql + " ".join(parts.values())
     ctes = [f"{name} as ({VIEWS[name]})" for name in needed(closure)]
     ctes += [f"{name} as ({text})" for name, text in parts.items()]
-    return f"with {', '.join(ctes)}\n{sql}" if ctes else sql
+    if not ctes:
+        return sql
+    # a part that reads itself makes the statement recursive
+    loops = any(re.search(rf"\bjoin {name}\b", text) for name, text in parts.items())
+    return f"with {'recursive ' if loops else ''}{', '.join(ctes)}\n{sql}"
 
 
-def register(spark: SparkSession, sf_dir: str) -> None:
-    for name in TABLES:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+#: Tables whose rows carry the work; the others are looked up.
+FACTS = {"orders", "lineitem", "documents", "pages", "events", "conversations"}
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. A fact table in fewer files than there are cores is spread once at the
+    scan, where its rows are narrow; a table in many files is left as its files lie."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in FACTS and cores > 1 and len(df.inputFiles()) < cores:
+        return df.repartition(cores)
+    return df
 
 
 _READ: dict[tuple, DataFrame] = {}
@@ -259,13 +272,14 @@ _READ: dict[tuple, DataFrame] = {}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One given table or view as a DataFrame; only the tables it needs are opened."""
-    if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     key = (id(spark), sf_dir, name)
     if key not in _READ:
-        text = " ".join([VIEWS[n] for n in needed(name)])
-        for base in TABLES:
-            if re.search(rf"\b{base}\b", text):
-                spark.read.parquet(f"{sf_dir}/{base}.parquet").createOrReplaceTempView(base)
-        _READ[key] = spark.sql(with_views(f"select * from {name}"))
+        if name in TABLES:
+            _READ[key] = read(spark, sf_dir, name)
+        else:
+            text = " ".join([VIEWS[n] for n in needed(name)])
+            for base in TABLES:
+                if re.search(rf"\b{base}\b", text):
+                    table(spark, sf_dir, base).createOrReplaceTempView(base)
+            _READ[key] = spark.sql(with_views(f"select * from {name}"))
     return _READ[key]
