@@ -351,7 +351,8 @@ def _(t):
 
 
 @query("url_fanout", """
-select 'fanout:' || id || ':' || substr(sha256(link), 1, 16) as signal_type, id as parent_raw_signal_id, link as url from (
+select 'fanout:' || id || ':' || substr(sha256(regexp_replace(regexp_extract(link, '^([^#?]*)', 1), '/+$', '') || regexp_extract(link, '(\\?[^#]*)', 1)), 1, 16) as signal_type,
+  id as parent_raw_signal_id, regexp_replace(link, '/+$', '') as url from (
   select id, unnest(list_distinct(case source
     when 'x' then ['https://news.example.org/x/' || id]
     else [url, 'https://news.example.org/d/' || id] end)) as link from v_signals where source in ('x', 'hackernews')) u

@@ -122,11 +122,11 @@ def _(t):
 
 ROUNDS = {
     **CLUSTERS,
-    "claims_in": "select *, merged_key as group_key, company_id in (select company_id from github_active) as github from merged",
-    **CORROBORATION,
     "github_active": """select company_id from (select *, row_number() over (partition by company_id
   order by extracted_at desc, id desc, star_growth_30d desc, commits_last_30d desc, contributor_count desc) rn from v_metrics) t
   where rn = 1 and greatest(star_growth_30d, commits_last_30d, contributor_count) > 0""",
+    "claims_in": "select *, merged_key as group_key, company_id in (select company_id from github_active) as github from merged",
+    **CORROBORATION,
     "ranked": """select *, row_number() over (partition by merged_key order by source_weight desc, coalesce(extraction_confidence, 0) desc, cluster_pos, claim_pos) as r1,
   row_number() over (partition by merged_key order by source_weight desc, cluster_pos, claim_pos) as r2 from merged""",
     "round_rows": f"""select m.merged_key, m.company_id, m.round_type, m.amount_usd, m.valuation_usd, m.lead_investor, m.co_investors, m.announced_date,

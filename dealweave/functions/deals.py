@@ -115,40 +115,43 @@ def _names(text: Column, separator: str = ",") -> Column:
 
 
 def investors(text: Column) -> Column:
-    """Struct (lead, co) where co holds at most five sorted distinct names."""
-    none = F.lit(None).cast("string")
+    """Struct (lead, co) where co holds at most five sorted distinct names.
+
+    All pattern hits are taken once into one struct; the rules then read its fields.
+    """
     empty = F.array().cast("array<string>")
 
-    a = strip(F.regexp_extract(text, CO_LED, 1))
-    b = strip(F.regexp_extract(text, CO_LED, 2))
-    partner = strip(F.regexp_extract(text, STRATEGIC, 1))
+    def name(pattern, group=1):
+        return strip(F.regexp_extract(text, pattern, group))
 
-    phrase = [strip(F.regexp_extract(text, "(?i)" + k + LEAD_TAIL, 1)) for k in LEAD_PHRASES]
-    lead = F.when(_fits(phrase[0]), phrase[0]).when(_fits(phrase[1]), none).when(
-        _fits(phrase[2]), phrase[2]
-    )
-    co = F.when(~_fits(phrase[0]) & _fits(phrase[1]), F.array(phrase[1])).otherwise(empty)
-    rosters = [_names(capture(text, "(?i)" + k + ROSTER_TAIL)) for k in ROSTER_PHRASES]
     single = strip(capture(text, PARTICIPATING))
-    co = F.concat(
-        co, *rosters, F.when(single.isNotNull(), F.array(single)).otherwise(empty),
-        _names(capture(text, PARTICIPATION)),
+    rosters = [_names(capture(text, "(?i)" + k + ROSTER_TAIL)) for k in ROSTER_PHRASES]
+    backers = F.transform(F.split(F.regexp_extract(text, RAISED_FROM, 1), r",|\sand\s"), strip)
+    found = F.struct(
+        name(CO_LED, 1).alias("a"), name(CO_LED, 2).alias("b"), name(STRATEGIC).alias("partner"),
+        *[name("(?i)" + k + LEAD_TAIL).alias(f"p{i}") for i, k in enumerate(LEAD_PHRASES)],
+        name(LED_AGAIN).alias("again"), F.filter(backers, _fits).alias("backers"),
+        F.concat(
+            *rosters, F.when(single.isNotNull(), F.array(single)).otherwise(empty),
+            _names(capture(text, PARTICIPATION)),
+        ).alias("roster"),
     )
-    again = strip(F.regexp_extract(text, LED_AGAIN, 1))
-    lead = F.coalesce(lead, F.when(_fits(again), again))
+    return F.get(F.transform(F.array(found), _investor_rules), 0)
 
-    backers = F.transform(
-        F.split(F.regexp_extract(text, RAISED_FROM, 1), r",|\sand\s"), strip
-    )
-    backers = F.filter(backers, _fits)
-    from_list = lead.isNull() & (F.size(co) == 0) & (F.size(backers) > 0)
-    co = F.when(from_list, F.slice(backers, 2, 4)).otherwise(co)
-    lead = F.when(from_list, F.get(backers, 0)).otherwise(lead)
 
+def _investor_rules(p: Column) -> Column:
+    empty = F.array().cast("array<string>")
+    co_only = ~_fits(p["p0"]) & _fits(p["p1"])
+    lead = F.when(_fits(p["p0"]), p["p0"]).when(~co_only & _fits(p["p2"]), p["p2"])
+    lead = F.coalesce(lead, F.when(_fits(p["again"]), p["again"]))
+    co = F.when(co_only, F.concat(F.array(p["p1"]), p["roster"])).otherwise(p["roster"])
+    from_list = lead.isNull() & (F.size(co) == 0) & (F.size(p["backers"]) > 0)
+    lead = F.when(from_list, F.get(p["backers"], 0)).otherwise(lead)
+    co = F.when(from_list, F.slice(p["backers"], 2, 4)).otherwise(co)
     tidy = F.slice(F.array_sort(F.array_distinct(co)), 1, MAX_CO_INVESTORS)
     return (
-        F.when(_fits(a) & _fits(b), F.struct(a.alias("lead"), F.array(b).alias("co")))
-        .when(_fits(partner), F.struct(partner.alias("lead"), empty.alias("co")))
+        F.when(_fits(p["a"]) & _fits(p["b"]), F.struct(p["a"].alias("lead"), F.array(p["b"]).alias("co")))
+        .when(_fits(p["partner"]), F.struct(p["partner"].alias("lead"), empty.alias("co")))
         .otherwise(F.struct(lead.alias("lead"), tidy.alias("co")))
     )
 

@@ -147,3 +147,9 @@ def name_similarity(a: Column, b: Column) -> Column:
     return F.when((F.length(a) == 0) | (F.length(b) == 0), 0.0).otherwise(
         1.0 - F.levenshtein(a, b) / F.greatest(longer, F.lit(1))
     )
+
+
+def authority_host_prefix(url: Column) -> Column:
+    """Host of a URL with scheme, one leading ``www.`` removed; null without a scheme."""
+    host = F.regexp_extract(url, r"^[^/]*://([^/]*)", 1)
+    return filled(F.regexp_replace(F.lower(host), r"^www\.", ""))

@@ -225,32 +225,38 @@ def outbound_urls(df: DataFrame) -> Column:
     return F.array_distinct(F.filter(tidy, lambda u: (u != "") & ~skip_link(u)))
 
 
-def deal_relevant(url: Column) -> Column:
+def deal_worded() -> Column:
+    """Deal language in the payload, or a funding tag."""
     text = F.lower(payload_blob("text", "title", "summary", "content", "thread_comments", "story_type"))
     tagged = (F.coalesce(field("category"), F.lit("")) == "funding") | (
         F.coalesce(field("story_type"), F.lit("")) == "funding"
     )
+    return text.rlike("|".join(DEAL_HINTS)) | tagged
+
+
+def deal_relevant(url: Column, worded: Column) -> Column:
+    """Deal language, or any host but the aggregator's own."""
     host = F.coalesce(authority_host_raw(url), F.lit(""))
-    return contains_any(text, DEAL_HINTS) | tagged | ((host != "") & ~host.contains("ycombinator.com"))
+    return worded | ((host != "") & ~host.contains("ycombinator.com"))
 
 
 def url_fanout(signals: DataFrame) -> DataFrame:
     """One article-shaped child signal per relevant outbound link of social and thread signals."""
     rows = parse_payloads(signals.filter(F.col("source").isin("x", "hackernews")))
     rows = rows.filter(F.coalesce(field("url_fanout_done"), F.lit("false")) != "true")
-    rows = rows.withColumn("url", F.explode(outbound_urls(rows)))
-    rows = rows.filter(deal_relevant(F.col("url")))
-    title = F.substring(F.coalesce(first_filled(field("title"), field("text")), F.lit("")), 1, 240)
-    return rows.select(
-        F.lit("article").alias("source"),
-        F.concat_ws(":", F.lit("fanout"), F.col("id").cast("string"), url_key(F.col("url"))).alias("signal_type"),
-        F.col("id").alias("parent_raw_signal_id"),
-        "company_id",
-        "url",
-        F.coalesce(filled(title), F.col("url")).alias("title"),
+    rows = rows.select(
+        F.col("id").alias("parent_raw_signal_id"), "company_id", F.col("source").alias("discovered_via"),
+        F.substring(F.coalesce(first_filled(field("title"), field("text")), F.lit("")), 1, 240).alias("title"),
         F.substring(F.coalesce(first_filled(field("text"), field("summary")), F.lit("")), 1, 1500).alias("summary"),
         F.coalesce(filled(field("category")), F.lit("funding")).alias("category"),
-        F.col("source").alias("discovered_via"),
+        deal_worded().alias("__worded"), F.explode(outbound_urls(rows)).alias("url"),
+    )
+    rows = rows.filter(deal_relevant(F.col("url"), F.col("__worded")))
+    return rows.select(
+        F.lit("article").alias("source"),
+        F.concat_ws(":", F.lit("fanout"), F.col("parent_raw_signal_id").cast("string"), url_key(F.col("url"))).alias("signal_type"),
+        "parent_raw_signal_id", "company_id", "url", F.coalesce(filled(F.col("title")), F.col("url")).alias("title"),
+        "summary", "category", "discovered_via",
     )
 
 

@@ -13,6 +13,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .session import shared_folder
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -164,7 +166,7 @@ select id, true_company_id as company_id, case when status = 'F' then id * 2 end
   cast(case id % 11 when 0 then 78 when 1 then 78 when 2 then 88 when 3 then 100 when 4 then 95 when 6 then 72 when 7 then 72
     else 50 end as double) / 100 as source_weight,
   id % 11 in (3, 4) as is_official, template = 9 and priority = '5-LOW' as is_rumor,
-  case when id % 15 = 0 then cast(null as double) else cast(id % 6 + 4 as double) / 10 end as extraction_confidence,
+  case when id % 15 = 0 then cast(null as double) else cast(id % 6 * 11 + 41 as double) / 100 end as extraction_confidence,
   case when id % 7 = 0 then cast(null as string) when template = 10 then 'convertible_note' else 'equity' end as instrument_type,
   case when id % 2 = 0 then 'USD' end as currency, title as headline, summary as snippet
 from v_signals""",
@@ -184,7 +186,7 @@ select id, true_company_id as company_id, 'Member ' || chr(cast(65 + custkey % 9
   source, coalesce(url, 'raw_signal:' || id) || '#team-' || id as source_url,
   case when id % 11 in (3, 4) then 'company_official' else 'rss' end as source_tier,
   cast(case id % 11 when 2 then 88 when 3 then 100 when 4 then 95 when 6 then 72 else 62 end as double) / 100 as source_weight,
-  id % 11 in (3, 4) as is_official, cast(id % 6 + 4 as double) / 10 as extraction_confidence
+  id % 11 in (3, 4) as is_official, cast(id % 6 * 11 + 41 as double) / 100 as extraction_confidence
 from v_signals""",
     "v_products": """
 select id, company_id, 'Nova ' || replace(name, 'Member ', '') as name, 'nova ' || replace(name_normalized, 'member ', '') as name_normalized,
@@ -267,19 +269,40 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+#: Views that stand for landed tables. They are written once per session to the shared folder and
+#: read back, so queries scan stored columns instead of carrying the wording above in their plans.
+STORED = [
+    "v_companies", "v_signals", "v_events", "v_claims", "v_metrics", "v_team", "v_products",
+    "v_licenses", "v_profile", "v_jobs",
+]
+
 _READ: dict[tuple, DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One given table or view as a DataFrame; only the tables it needs are opened."""
-    key = (id(spark), sf_dir, name)
-    if key not in _READ:
-        if name in TABLES:
-            _READ[key] = read(spark, sf_dir, name)
-        else:
-            text = " ".join([VIEWS[n] for n in needed(name)])
-            for base in TABLES:
-                if re.search(rf"\b{base}\b", text):
-                    table(spark, sf_dir, base).createOrReplaceTempView(base)
-            _READ[key] = spark.sql(with_views(f"select * from {name}"))
-    return _READ[key]
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key in _READ:
+        return _READ[key]
+    if name in TABLES:
+        _READ[key] = read(spark, sf_dir, name)
+        return _READ[key]
+    inline, frontier = [], [name]
+    while frontier:
+        text = VIEWS[frontier.pop()]
+        for other in [*TABLES, *VIEWS]:
+            if not re.search(rf"\b{other}\b", text) or other in inline:
+                continue
+            if other in TABLES or other in STORED:
+                table(spark, sf_dir, other).createOrReplaceTempView(other)
+            else:
+                inline.append(other)
+                frontier.append(other)
+    ctes = ", ".join(f"{v} as ({VIEWS[v]})" for v in VIEWS if v in inline)
+    df = spark.sql(f"with {ctes} {VIEWS[name]}" if ctes else VIEWS[name])
+    if name in STORED:
+        folder = f"{shared_folder(spark)}/dealweave-views/{key[0]}/{sf_dir.strip('/').replace('/', '_')}/{name}"
+        df.write.mode("overwrite").parquet(folder)
+        df = spark.read.parquet(folder)
+    _READ[key] = df
+    return df
