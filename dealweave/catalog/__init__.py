@@ -1,6 +1,6 @@
 """All registered queries; importing this package fills the registry."""
 
-from . import extract_q, funding_q, keyed_q, lookup_q, resolve_q  # noqa: F401
+from . import company_q, extract_q, funding_q, keyed_q, lookup_q, rank_q, resolve_q, source_q  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

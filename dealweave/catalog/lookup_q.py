@@ -130,7 +130,7 @@ def _(t):
 
 
 @query("regulatory_candidates", """
-select id from v_signals where source = 'sec_edgar' or category = 'regulatory'""")
+select id from v_signals where source = 'sec_edgar' or (category = 'regulatory' and (source <> 'company website' or status <> 'P'))""")
 def _(t):
     from ..operators.claims import regulatory_candidates
 

@@ -82,6 +82,18 @@ def with_tier(claims: DataFrame, companies: DataFrame | None = None) -> DataFram
     )
 
 
+def _person(rank: int):
+    """Match to person row; the pattern's rank and the place in its matches give the order."""
+
+    def build(pair, place):
+        return F.struct(
+            strip(pair["name"]).alias("name"), filled(F.substring(strip(pair["role"]), 1, 120)).alias("role"),
+            F.lit(False).alias("is_founder"), (F.lit(rank * 1000) + place).alias("ord"),
+        )
+
+    return build
+
+
 def team_claims(texts: DataFrame) -> DataFrame:
     """People with leadership roles in event text, once per event and name, first pattern first."""
     wanted = contains_any(F.lower("event_type"), TEAM_EVENTS) | F.col("text").rlike("(?i)" + ROLES)
@@ -92,9 +104,7 @@ def team_claims(texts: DataFrame) -> DataFrame:
             F.regexp_extract_all("text", F.lit(pattern), F.lit(name)).alias("name"),
             F.regexp_extract_all("text", F.lit(pattern), F.lit(role)).alias("role"),
         )
-        found.append(F.transform(pairs, lambda p, i, rank=rank: F.struct(
-            strip(p["name"]).alias("name"), filled(F.substring(strip(p["role"]), 1, 120)).alias("role"),
-            F.lit(False).alias("is_founder"), (F.lit(rank * 1000) + i).alias("ord"))))
+        found.append(F.transform(pairs, _person(rank)))
     founders = F.transform(F.regexp_extract_all("text", F.lit(FOUNDER), F.lit(1)), lambda n, i: F.struct(
         strip(n).alias("name"), F.lit("Founder").alias("role"), F.lit(True).alias("is_founder"), (F.lit(9000) + i).alias("ord")))
     people = rows.withColumn("p", F.explode(F.concat(*found, founders))).filter(F.length("p.name") >= 4)
@@ -266,7 +276,7 @@ def bulk_product_claims(rows: DataFrame) -> DataFrame:
 
     def product(name, description, category, url, confidence, suffix):
         return F.struct(
-            F.substring(name, 1, 80).alias("name"), F.substring(description, 1, 500).alias("description"),
+            strip(F.substring(name, 1, 80)).alias("name"), F.substring(description, 1, 500).alias("description"),
             F.lit(category).alias("category"), url.alias("product_url"), F.lit(confidence).alias("extraction_confidence"), F.lit(suffix).alias("suffix"),
         )
 

@@ -185,7 +185,7 @@ select id, true_company_id as company_id, 'Member ' || chr(cast(65 + custkey % 9
   case when id % 4 = 0 then 'https://linkedin.example/in/' || id end as linkedin_url,
   source, coalesce(url, 'raw_signal:' || id) || '#team-' || id as source_url,
   case when id % 11 in (3, 4) then 'company_official' else 'rss' end as source_tier,
-  cast(case id % 11 when 2 then 88 when 3 then 100 when 4 then 95 when 6 then 72 else 62 end as double) / 100 as source_weight,
+  cast(case id % 11 when 2 then 883 when 3 then 1000 when 4 then 951 when 6 then 723 else 617 end - id % 13 as double) / 1000 as source_weight,
   id % 11 in (3, 4) as is_official, cast(id % 6 * 11 + 41 as double) / 100 as extraction_confidence
 from v_signals""",
     "v_products": """
