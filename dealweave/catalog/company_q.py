@@ -208,12 +208,17 @@ def _(t):
     return names.select("name", claims.bad_person_name(F.col("name")).alias("bad"))
 
 
-@query("team_claims", """
-select e.id, e.company_id, 'Ada Stone' as name, 'CEO' as role from v_events e join v_signals s on s.id = e.raw_signal_id
-where e.company_id is not null and s.template = 4 and (e.description <> '' or s.source <> 'company website' or s.status <> 'P')""")
+TEAM_TEXTS = """select e.id, e.company_id, concat_ws(' ', nullif(e.description, ''), case when s.source = 'company website' and s.status = 'P' then null else s.title end,
+  case when s.source = 'company website' and s.status = 'P' then null else nullif(s.summary, '') end) as text from v_events e join v_signals s on s.id = e.raw_signal_id where e.company_id is not null"""
+TEAM_NAMES = " union all ".join(
+    f"select id, company_id, trim(unnest(regexp_extract_all(text, {lit(p)}, {n}))) as name, trim(unnest(regexp_extract_all(text, {lit(p)}, {r}))) as role from team_texts where length(text) >= 20"
+    for p, n, r in claims.LEADERSHIP)
+
+
+@query("team_claims", "select distinct id, company_id, name, role from team_names where length(name) >= 4 and split_part(lower(name), ' ', 1) not in ("
+       + ", ".join(map(lit, claims.STOP_WORDS)) + ")", team_texts=TEAM_TEXTS, team_names=TEAM_NAMES)
 def _(t):
-    out = claims.team_claims(claims.event_texts(t("v_events"), t("v_signals")))
-    return out.filter("role = 'CEO'").select("id", "company_id", "name", "role")
+    return claims.team_claims(claims.event_texts(t("v_events"), t("v_signals"))).select("id", "company_id", "name", "role")
 
 
 @query("product_claims")

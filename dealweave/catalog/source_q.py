@@ -22,7 +22,7 @@ def _(t):
 
 
 @query("scan_form_d", """
-select 'A' || o.o_orderkey as accession, 'Issuer ' || o.o_custkey as entity_name, 'Austin, TX' as headquarters, cast(floor(o.o_totalprice) as string) as total_offering_amount,
+select 'A' || o.o_orderkey as accession, 'Issuer ' || o.o_custkey as entity_name, 'Austin, TX' as headquarters, cast(cast(floor(o.o_totalprice) as bigint) as string) as total_offering_amount,
   coalesce(p.n, 0) as persons from orders o
 left join (select l_orderkey, least(count(*), 12) as n from lineitem group by l_orderkey) p on p.l_orderkey = o.o_orderkey where o.o_orderstatus <> 'P'""")
 def _(t):
