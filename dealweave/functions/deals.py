@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .money import amount_usd, number
-from .text import alias_key, capture, contains_any, filled, slug, squeeze, strip
+from .text import alias_key, bind, capture, contains_any, filled, slug, squeeze, strip
 
 # Event types treated as funding.
 FUNDING_TYPES = [
@@ -136,7 +136,7 @@ def investors(text: Column) -> Column:
             _names(capture(text, PARTICIPATION)),
         ).alias("roster"),
     )
-    return F.get(F.transform(F.array(found), _investor_rules), 0)
+    return bind(found, _investor_rules)
 
 
 def _investor_rules(p: Column) -> Column:
@@ -166,7 +166,7 @@ def valuation_usd(text: Column) -> Column:
 
 def _money_phrase(text: Column, pattern: str) -> Column:
     phrase = F.concat_ws(" ", capture(text, pattern, 1), capture(text, pattern, 2))
-    return amount_usd(filled(phrase))
+    return bind(filled(phrase), amount_usd)
 
 
 def deal_terms(text: Column) -> Column:

@@ -13,6 +13,11 @@ def filled(col: Column) -> Column:
     return F.nullif(col, F.lit(""))
 
 
+def bind(value: Column, build) -> Column:
+    """``build(value)`` with the value computed once, however often ``build`` mentions it."""
+    return F.get(F.transform(F.array(value), build), 0)
+
+
 def strip(col: Column) -> Column:
     """Without leading and trailing white space of any kind."""
     return F.btrim(col, F.lit(" \t\r\n"))
@@ -29,9 +34,9 @@ def squeeze(col: Column) -> Column:
 
 def snippet(col: Column, size: int) -> Column:
     """Squeezed text cut to ``size`` characters, the last one an ellipsis when cut."""
-    text = squeeze(col)
-    return F.when(F.length(text) <= size, text).otherwise(
-        F.concat(F.substring(text, 1, size - 1), F.lit("…"))
+    return bind(
+        squeeze(col),
+        lambda t: F.when(F.length(t) <= size, t).otherwise(F.concat(F.substring(t, F.lit(1), F.lit(size - 1)), F.lit("…"))),
     )
 
 
@@ -98,7 +103,7 @@ def canonical_url(url: Column) -> Column:
     plain = F.regexp_replace(F.trim(F.coalesce(url, F.lit(""))), "#.*$", "")
     names = ["scheme", "mark", "host", "path", "query"]
     parts = F.struct(*[F.regexp_extract(plain, URL_PARTS, i + 1).alias(n) for i, n in enumerate(names)])
-    return F.when(plain == "", "").otherwise(F.get(F.transform(F.array(parts), _rebuilt), 0))
+    return F.when(plain == "", "").otherwise(bind(parts, _rebuilt))
 
 
 def _rebuilt(p: Column) -> Column:

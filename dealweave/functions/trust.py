@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import publisher_domain
+from .text import bind, publisher_domain
 
 # Weight of each source tier.
 TIER_WEIGHT = {
@@ -78,29 +78,34 @@ def source_trust(
     source: Column, url: Column, website: Column | None = None, rumor: Column | None = None
 ) -> Column:
     """Struct (tier, weight, official) by the first rule that applies."""
-    name = F.lower(F.trim(F.coalesce(source, F.lit(""))))
     host = publisher_domain(url)
-    social = name.isin(SOCIAL_SOURCES)
-    rumor = F.lit(False) if rumor is None else F.coalesce(rumor, F.lit(False))
-    raw = F.lower(F.coalesce(source, F.lit("")))
+    facts = F.struct(
+        F.lower(F.trim(F.coalesce(source, F.lit("")))).alias("name"), F.lower(F.coalesce(source, F.lit(""))).alias("raw"),
+        host.alias("host"), (F.lit(False) if website is None else own_domain(host, website)).alias("own"),
+        (F.lit(False) if rumor is None else F.coalesce(rumor, F.lit(False))).alias("rumor"),
+    )
+    return bind(facts, _trust_rules)
+
+
+def _trust_rules(p: Column) -> Column:
+    name, host = p["name"], p["host"]
     out = F.when(
-        rumor & raw.isin(SOCIAL_SOURCES),
+        p["rumor"] & p["raw"].isin(SOCIAL_SOURCES),
         _tier("social", min(TIER_WEIGHT["social"], RUMOR_WEIGHT_CAP)),
-    ).when(rumor, _tier("unknown", min(TIER_WEIGHT["unknown"], RUMOR_WEIGHT_CAP)))
+    ).when(p["rumor"], _tier("unknown", min(TIER_WEIGHT["unknown"], RUMOR_WEIGHT_CAP)))
     for key, (tier, weight, official) in DIRECT_SOURCES.items():
         out = out.when(name == key, _tier(tier, weight, official))
-    if website is not None:
-        out = out.when(own_domain(host, website), _tier("company_official", official=True))
     regulator = name.isin(REGULATOR_SOURCES) | F.coalesce(
         host.contains("sec.gov") | host.contains("esma.europa.eu"), F.lit(False)
     )
     return (
-        out.when(regulator, _tier("regulatory", official=True))
+        out.when(p["own"], _tier("company_official", official=True))
+        .when(regulator, _tier("regulatory", official=True))
         .when(under_domain(host, PRESS_WIRES), _tier("press_wire"))
         .when(under_domain(host, LEADING_MEDIA), _tier("tier1_media"))
         .when(under_domain(host, STARTUP_PRESS), _tier("tier1_media", STARTUP_PRESS_WEIGHT))
         .when(under_domain(host, DEAL_DATABASES), _tier("industry_db"))
-        .when(social, _tier("social"))
+        .when(name.isin(SOCIAL_SOURCES), _tier("social"))
         .when(name.isin(PLAIN_WEB_SOURCES), _tier("rss"))
         .otherwise(_tier("unknown"))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import rounded
 from ..functions.text import authority_host
 
 # What an existing claim keeps when the same source URL reports again.
@@ -49,7 +50,7 @@ def _score_parts():
 
 
 def _score():
-    return F.round(
+    return rounded(
         F.least(
             F.lit(1.0),
             F.lit(BASE_SCORE) + F.least("unique_domains", F.lit(5)) * DOMAIN_SCORE + F.col("__w") * WEIGHT_SCORE

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import rounded
 from ..functions.deals import amounts_agree, series_round
 from ..functions.text import filled, publisher_domain, squeeze
 
@@ -48,7 +49,7 @@ def _agreement(low: Column, high: Column, count: Column) -> Column:
 
 
 def _part(value: Column, weight: float) -> Column:
-    return F.round(value * F.lit(weight), 3)
+    return rounded(value * F.lit(weight), 3)
 
 
 def prepared(claims: DataFrame) -> DataFrame:
@@ -185,13 +186,13 @@ def _score(g: DataFrame, key: str) -> DataFrame:
         + yes(F.col("rumor_present")) * PENALTY["rumor"]
         + yes(F.col("__ext") < 0.45) * PENALTY["extraction"]
     )
-    raw = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.round(total + bonus - fine, 3)))
+    raw = F.greatest(F.lit(0.0), F.least(F.lit(1.0), rounded(total + bonus - fine, 3)))
     official = F.col("official_present")
     capped = F.least(raw, F.when(official, OFFICIAL_CAP).otherwise(SINGLE_CAP))
     capped = F.when(official & (nd == 1), F.greatest(capped, F.lit(OFFICIAL_CAP))).otherwise(capped)
     g = g.withColumn("score", F.when(nd < 2, capped).otherwise(raw))
     return g.select(
         key, "score", "claim_count", nd.alias("unique_domains"), F.col("unique_tiers"), "official_present",
-        "rumor_present", "amount_agreement", F.round("__mean", 3).alias("mean_domain_weight"),
-        F.round(ext, 3).alias("mean_extraction_confidence"), "temporal_days", "temporal_weeks",
+        "rumor_present", "amount_agreement", rounded(F.col("__mean"), 3).alias("mean_domain_weight"),
+        rounded(ext, 3).alias("mean_extraction_confidence"), "temporal_days", "temporal_weeks",
     )

@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import rounded
 from ..functions import deals
 from ..functions.money import amount_usd
 from ..functions.text import contains_any, first_filled, publisher_domain, snippet, strip
@@ -240,7 +241,7 @@ def round_participants(participants: DataFrame, claims: DataFrame, links: DataFr
         F.bool_or("is_official").alias("has_official_source"),
     )
     role = F.when(F.col("is_lead"), "lead").when(F.col("__co_lead"), "co_lead").otherwise(F.col("__first"))
-    score = F.round(
+    score = rounded(
         0.25 * F.least("source_domain_count", F.lit(4)) / 4
         + 0.20 * F.least("report_count", F.lit(5)) / 5
         + F.when(F.col("has_official_source"), 0.25).otherwise(0.0) + 0.15,
@@ -452,7 +453,7 @@ def company_valuation(companies: DataFrame, rounds: DataFrame, events: DataFrame
     def record(value, kind, method, confidence, day, source):
         return F.struct(
             value.cast("bigint").alias("valuation_usd"), F.lit(kind).alias("valuation_kind"), method.alias("method"),
-            F.round(confidence, 3).alias("confidence"), day.alias("as_of_date"), source.alias("source_round_id"),
+            rounded(confidence, 3).alias("confidence"), day.alias("as_of_date"), source.alias("source_round_id"),
         )
 
     day, rid, none = F.col("announced_date"), F.col("id"), F.lit(None).cast("bigint")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import rounded
 from ..functions import jobs as J
 from ..functions.text import authority_host_prefix, contains_any, filled, first_filled, strip
 from ..functions.trust import job_trust
@@ -113,7 +114,7 @@ def job_postings(claims: DataFrame) -> DataFrame:
         F.count("*").alias("report_count"), F.count_if("is_official").alias("official_report_count"),
         F.count_distinct("__domain").alias("__domains"), F.max(F.coalesce("source_weight", F.lit(0.0))).alias("__w"),
     )
-    score = F.round(
+    score = rounded(
         F.least("__domains", F.lit(4)) / 4 * 0.30 + F.least("report_count", F.lit(5)) / 5 * 0.20
         + F.when(F.col("official_report_count") > 0, 0.25).otherwise(0.0) + F.col("__w") * 0.20 + 0.05, 3,
     )

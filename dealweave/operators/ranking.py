@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import rounded
 from ..functions import entities
 from ..functions.text import contains_any, first_filled, slug
 from . import keyed, resolve
@@ -84,8 +85,8 @@ def attention_score(stats: DataFrame) -> DataFrame:
     hype = F.least(F.col("hype_hits") / 6.0, F.lit(1.0))
     mix = volume * ATTENTION_MIX["volume"] + diversity * ATTENTION_MIX["diversity"] + hype * ATTENTION_MIX["hype"]
     return stats.select(
-        "*", F.round(F.least(mix, F.lit(1.0)), 4).alias("score"), F.round(volume, 4).alias("signal_volume"),
-        F.round(diversity, 4).alias("source_diversity"), F.round(hype, 4).alias("hype_language"),
+        "*", rounded(F.least(mix, F.lit(1.0)), 4).alias("score"), rounded(volume, 4).alias("signal_volume"),
+        rounded(diversity, 4).alias("source_diversity"), rounded(hype, 4).alias("hype_language"),
     )
 
 
@@ -146,7 +147,7 @@ def rank_companies(companies: DataFrame, signals: DataFrame, events: DataFrame,
         F.col("volume") * RANK_MIX["volume"] + F.col("velocity") * RANK_MIX["velocity"] + F.col("diversity") * RANK_MIX["diversity"]
         + F.col("events_score") * RANK_MIX["events"] + F.col("hype") * RANK_MIX["hype"]
     )
-    return rows.select("company_id", "name", F.round(F.least(mix, one), 4).alias("score"), "recent", "prior", "sources", "events", "hype_hits")
+    return rows.select("company_id", "name", rounded(F.least(mix, one), 4).alias("score"), "recent", "prior", "sources", "events", "hype_hits")
 
 
 def handle_activity(companies: DataFrame, events: DataFrame, since) -> DataFrame:
@@ -285,5 +286,5 @@ def factor_score(inputs: DataFrame) -> DataFrame:
         part = value * FACTOR_WEIGHT[name]
         total = part if total is None else total + part
     return inputs.select(
-        "company_id", "name", F.round(total, 4).alias("score"), *[F.round(v, 4).alias(k) for k, v in factors.items()]
+        "company_id", "name", rounded(total, 4).alias("score"), *[rounded(v, 4).alias(k) for k, v in factors.items()]
     )
