@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 
 def rounded(value: Column, digits: int) -> Column:
-    """Round on the binary value: scale, round to a whole number, scale back.
+    """Round by scaling: multiply, round to a whole number, divide.
 
-    The built-in ``round`` works on the shortest decimal text of a double, so 2.675 becomes 2.68
-    although the number stored is smaller; scores here were defined on the stored number.
+    The built-in ``round`` works on the shortest decimal text of a double, so 1.005 becomes 1.01
+    although the number stored is smaller. Scaling keeps to the stored number up to the error of
+    one multiplication, which is how the scores were defined.
     """
     unit = float(10**digits)
     return F.round(value * F.lit(unit), 0) / F.lit(unit)
