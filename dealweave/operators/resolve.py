@@ -259,18 +259,32 @@ def _name_runs(companies: DataFrame) -> DataFrame:
     )
 
 
-def _title_spots(title: Column) -> Column:
-    """Every place of the lower-case title: its next four characters and all that follows."""
-    low = F.lower(title)
-    return F.when(
-        F.length(low) >= MIN_NAME,
-        F.transform(
-            F.sequence(F.lit(1), F.length(low) - MIN_NAME + 1),
-            lambda p: F.struct(
-                F.substring(low, p, F.lit(MIN_NAME)).alias("key"), F.substring(low, p, F.length(low)).alias("rest")
-            ),
-        ),
-    )
+def _spots(df: DataFrame, text: str, width: int) -> DataFrame:
+    """One row per place of the text, with the next ``width`` characters as ``key``.
+
+    Places are exploded from a plain number sequence and the characters cut afterwards, which
+    keeps the whole step in generated code.
+    """
+    places = F.sequence(F.lit(1), F.length(text) - width + 1)
+    rows = df.filter(F.length(text) >= width).withColumn("place", F.explode(places))
+    return rows.withColumn("key", F.substring(F.col(text), F.col("place"), F.lit(width)))
+
+
+#: A run is numbered place * RUN + length, so one exploded number says both.
+RUN = 1000
+
+
+def _run_codes(sizes: list[int]) -> list[Column]:
+    pieces = F.size("__pieces")
+    return [
+        F.when(pieces >= n, F.sequence(F.lit(RUN + n), (pieces - n + 1) * RUN + n, F.lit(RUN))).otherwise(
+            F.array().cast("array<int>"))
+        for n in sizes
+    ]
+
+
+def _run_at(code: Column) -> Column:
+    return F.array_join(F.slice(F.col("__pieces"), F.floor(code / RUN).cast("int"), code % RUN), "")
 
 
 def by_title_alias(titles: DataFrame, companies: DataFrame) -> DataFrame:
@@ -279,8 +293,8 @@ def by_title_alias(titles: DataFrame, companies: DataFrame) -> DataFrame:
     Every place of the title offers its next four characters; aliases meet on their first four
     and are then compared in full against the rest of the title.
     """
-    low = titles.withColumn("title", F.lower("title"))
-    spots = low.select("id", F.inline(_title_spots(F.col("title"))))
+    spots = _spots(titles.select("id", F.lower("title").alias("t")), "t", MIN_NAME)
+    spots = spots.select("id", "key", F.substring(F.col("t"), F.col("place"), F.length("t")).alias("rest"))
     hits = spots.join(_alias_heads(companies), "key").filter(F.col("rest").startswith(F.col("full")))
     best = hits.groupBy("id").agg(F.max_by(F.struct("company_id", "name"), "rank").alias("m"))
     return best.select("id", "m.*", F.lit(TITLE_ALIAS_SCORE).alias("score"))
@@ -289,7 +303,8 @@ def by_title_alias(titles: DataFrame, companies: DataFrame) -> DataFrame:
 def _text_runs(texts: DataFrame, sizes: list[int]) -> DataFrame:
     """(id, key): the word runs of ``text`` as long as some company name."""
     low = _cut(texts.select("id", F.lower("text").alias("t")).filter("t is not null"), "t")
-    runs = low.select("id", "t", F.explode(_runs(sizes)).alias("key"))
+    runs = low.withColumn("code", F.explode(F.concat(*_run_codes(sizes))))
+    runs = runs.select("id", "t", _run_at(F.col("code")).alias("key"))
     return runs.filter((F.length("key") >= MIN_NAME) & _whole_words(F.col("key"), F.col("t"))).select("id", "key")
 
 
@@ -328,12 +343,8 @@ def mentions(texts: DataFrame, companies: DataFrame) -> DataFrame:
     )
     names = names.filter("mention is not null").distinct().withColumn("m", F.lower("mention"))
     names = names.filter(F.length("m") >= 3).withColumn("head", F.substring("m", 1, 3))
-    low = texts.select("id", F.lower("text").alias("t")).filter(F.length("t") >= 3)
-    heads = F.array_distinct(
-        F.transform(F.sequence(F.lit(1), F.length("t") - 2), lambda p: F.substring(F.col("t"), p, F.lit(3)))
-    )
-    spots = low.select("id", "t", F.explode(heads).alias("head"))
-    hits = spots.join(names, "head").withColumn("p", F.instr("t", F.col("m"))).filter("p > 0")
+    spots = _spots(texts.select("id", F.lower("text").alias("t")), "t", 3).withColumnRenamed("key", "head")
+    hits = spots.join(names, "head").withColumn("p", F.instr("t", F.col("m"))).filter("p = place")
     before = F.when(F.col("p") > 1, F.substring(F.col("t"), F.col("p") - 1, F.lit(1))).otherwise("")
     after = F.substring(F.col("t"), F.col("p") + F.length("m"), F.lit(1))
     alone = ~before.rlike(r"[\p{L}\p{N}]") & ~after.rlike(r"[\p{L}\p{N}]")
@@ -448,30 +459,39 @@ def _direct_hits(payloads: DataFrame, companies: DataFrame, sizes: list[int] | N
     sizes = (run_sizes(companies) if sizes is None else sizes) or [1]
     rank = {name: i for i, name in enumerate(METHODS)}
     none = F.lit(None)
-
-    def probe(method, ord_, key, rest=none):
-        return F.struct(
-            F.lit(rank[method]).alias("rank"), F.lit(ord_).alias("ord"), key.cast("string").alias("key"),
-            rest.cast("string").alias("rest"),
-        )
-
-    host = link_host(F.col("url"))
     low = payloads.select(
-        "id", "company_ref", F.lower("title").alias("t"), F.lower("blob").alias("b"), host.alias("host"),
+        "id", "company_ref", F.lower("title").alias("t"), F.lower("blob").alias("b"), link_host(F.col("url")).alias("host"),
         F.lower(capture(F.col("url"), r"(?i)github\.com/([^/]+)")).alias("org"),
     ).withColumn("__pieces", _pieces(F.col("b")))
-    links = F.array(
-        probe("company_id", 0, F.col("company_ref")),
-        probe("repo", 0, F.col("org")),
-        probe("domain", 0, F.col("host")),
-        probe("domain", 1, base_domain(F.col("host"))),
+    # One number per probe: runs are positive, title places negative, single keys further down.
+    single = -1_000_000
+    keys = [
+        ("company_id", 0, F.col("company_ref").cast("string")), ("repo", 0, F.col("org")), ("domain", 0, F.col("host")),
+        ("domain", 1, base_domain(F.col("host"))),
+    ]
+    none_yet = F.array().cast("array<int>")
+    places = F.when(
+        F.length("t") >= MIN_NAME, F.sequence(F.lit(-1), -(F.length("t") - MIN_NAME + 1), F.lit(-1))
+    ).otherwise(none_yet)
+    codes = F.concat(
+        F.array(*[F.lit(single - i) for i in range(len(keys))]), F.coalesce(places, none_yet), *_run_codes(sizes)
+    )
+    probes = low.withColumn("code", F.explode(codes))
+    code = F.col("code")
+    is_run, is_place = code > 0, code.between(single + 1, -1)
+    key = F.when(is_run, _run_at(code)).when(is_place, F.substring(F.col("t"), -code, F.lit(MIN_NAME)))
+    number = F.when(is_run, rank["name_in_text"]).when(is_place, rank["title_alias"])
+    order = F.lit(0)
+    for i, (method, ord_, value) in enumerate(keys):
+        key, number = key.when(code == single - i, value), number.when(code == single - i, rank[method])
+        order = F.when(code == single - i, ord_).otherwise(order)
+    probes = probes.select(
+        "id", number.alias("rank"), order.alias("ord"), key.alias("key"), is_run.alias("run"), "b",
+        F.when(is_place, F.substring(F.col("t"), -code, F.length("t"))).alias("rest"),
     )
-    spots = F.transform(_title_spots(F.col("t")), lambda x: probe("title_alias", 0, x["key"], x["rest"]))
-    runs = F.transform(_runs(sizes), lambda r: probe("name_in_text", 0, r))
-    runs = F.filter(runs, lambda x: (F.length(x["key"]) >= MIN_NAME) & _whole_words(x["key"], F.col("b")))
-    empty = F.slice(links, 1, 0)
-    probes = low.select("id", F.inline(F.concat(links, F.coalesce(spots, empty), F.coalesce(runs, empty))))
-    probes = probes.filter("key is not null and key <> ''")
+    probes = probes.filter(
+        "key is not null and key <> ''"
+    ).filter(~F.col("run") | ((F.length("key") >= MIN_NAME) & _whole_words(F.col("key"), F.col("b")))).drop("run", "b")
 
     def stacked(df, method, key, score):
         return df.select(
