@@ -51,7 +51,8 @@ def signal_names(signals: DataFrame, companies: DataFrame) -> DataFrame:
     rows = rows.join(own, "company_id", "left")
     names = F.concat(F.transform(F.concat("__listed", F.array("__own")), entities.entity_name), entities.headline_entities(F.col("__prose")))
     names = F.array_distinct(F.filter(names, lambda n: n.isNotNull() & entities.plausible_name(n)))
-    return rows.select("id", "source", "detected_at", "hype", F.explode(names).alias("name"))
+    out = rows.select("id", "source", "detected_at", "hype", F.explode_outer(names).alias("name"))
+    return out.filter("name is not null")
 
 
 def mention_stats(signals: DataFrame, companies: DataFrame, as_of, days: int = 30) -> DataFrame:

@@ -115,7 +115,11 @@ def _containment(names: DataFrame, companies: DataFrame) -> DataFrame:
     """Company name inside the name, or the name inside the company name, as whole words."""
     low = companies.select("company_id", "name", F.lower("name").alias("c"))
     # A company inside the name counts only above the acceptance bar, so short runs are left out.
-    spans = _cut(names, "q").select("q", F.explode(_runs()).alias("c"))
+    # Names too long (or short) for any company to make up enough of them are not cut at all.
+    fit = F.sequence(F.length("c"), F.ceil(F.length("c") / ACCEPT).cast("int"))
+    lengths = low.select(F.explode_outer(fit).alias("ln")).distinct()
+    some = names.withColumn("ln", F.length("q")).join(lengths, "ln", "left_semi")
+    spans = _cut(some, "q").select("q", F.explode_outer(_runs()).alias("c"))
     spans = spans.filter(
         (F.length("c") >= 2) & (F.length("c") / F.length("q") > ACCEPT)
         & _whole_words(F.col("c"), F.col("q"))
@@ -159,11 +163,11 @@ def _edit_distance(names: DataFrame, companies: DataFrame) -> DataFrame:
     cut = cut.withColumn("start", start).withColumn("width", stop - start)
     cut = cut.withColumn("seg", F.substring(F.col("c"), F.col("start") + 1, F.col("width")))
     places = F.sequence(F.greatest(F.lit(0), F.col("start") - F.col("t")), F.col("start") + F.col("t"))
-    cut = cut.withColumn("place", F.explode(places)).select(
+    cut = cut.withColumn("place", F.explode_outer(places)).select(
         "company_id", "name", "c", "ln", "place", "seg"
     )
 
-    q = names.withColumn("ln", F.length("q"))
+    q = names.withColumn("ln", F.length("q")).join(cut.select("ln").distinct(), "ln", "left_semi")
     q = q.withColumn("width", F.explode(F.array(F.lit(2), F.lit(3), F.lit(4)))).filter("ln >= width")
     q = q.withColumn("place", F.explode(F.sequence(F.lit(0), F.col("ln") - F.col("width"))))
     q = q.withColumn("seg", F.substring(F.col("q"), F.col("place") + 1, F.col("width"))).drop("width")
@@ -266,7 +270,7 @@ def _spots(df: DataFrame, text: str, width: int) -> DataFrame:
     keeps the whole step in generated code.
     """
     places = F.sequence(F.lit(1), F.length(text) - width + 1)
-    rows = df.filter(F.length(text) >= width).withColumn("place", F.explode(places))
+    rows = df.filter(F.length(text) >= width).withColumn("place", F.explode_outer(places))
     return rows.withColumn("key", F.substring(F.col(text), F.col("place"), F.lit(width)))
 
 
@@ -303,7 +307,7 @@ def by_title_alias(titles: DataFrame, companies: DataFrame) -> DataFrame:
 def _text_runs(texts: DataFrame, sizes: list[int]) -> DataFrame:
     """(id, key): the word runs of ``text`` as long as some company name."""
     low = _cut(texts.select("id", F.lower("text").alias("t")).filter("t is not null"), "t")
-    runs = low.withColumn("code", F.explode(F.concat(*_run_codes(sizes))))
+    runs = low.withColumn("code", F.explode_outer(F.concat(*_run_codes(sizes)))).filter("code is not null")
     runs = runs.select("id", "t", _run_at(F.col("code")).alias("key"))
     return runs.filter((F.length("key") >= MIN_NAME) & _whole_words(F.col("key"), F.col("t"))).select("id", "key")
 
@@ -433,7 +437,7 @@ def resolve_company(payloads: DataFrame, companies: DataFrame, sizes: list[int]
         F.coalesce("listed", F.array().cast("array<string>")),
         lambda n, i: F.struct(F.lit(methods["listed"]).alias("rank"), i.alias("ord"), n.alias("name")),
     )
-    probes = payloads.select("id", F.explode(F.concat(tries, listed)).alias("p")).select("id", "p.*")
+    probes = payloads.select("id", F.explode_outer(F.concat(tries, listed)).alias("p")).select("id", "p.*")
     probes = probes.filter(F.coalesce("name", F.lit("")) != "")
     matched = fuzzy_match(probes, companies)
     hits = probes.join(matched, "name")
@@ -476,7 +480,8 @@ def _direct_hits(payloads: DataFrame, companies: DataFrame, sizes: list[int] | N
     codes = F.concat(
         F.array(*[F.lit(single - i) for i in range(len(keys))]), F.coalesce(places, none_yet), *_run_codes(sizes)
     )
-    probes = low.withColumn("code", F.explode(codes))
+    # The outer form keeps the optimizer from repeating the payload parsing in an inferred filter.
+    probes = low.withColumn("code", F.explode_outer(codes))
     code = F.col("code")
     is_run, is_place = code > 0, code.between(single + 1, -1)
     key = F.when(is_run, _run_at(code)).when(is_place, F.substring(F.col("t"), -code, F.lit(MIN_NAME)))

@@ -249,9 +249,9 @@ def url_fanout(signals: DataFrame) -> DataFrame:
         F.substring(F.coalesce(first_filled(field("title"), field("text")), F.lit("")), 1, 240).alias("title"),
         F.substring(F.coalesce(first_filled(field("text"), field("summary")), F.lit("")), 1, 1500).alias("summary"),
         F.coalesce(filled(field("category")), F.lit("funding")).alias("category"),
-        deal_worded().alias("__worded"), F.explode(outbound_urls(rows)).alias("url"),
+        deal_worded().alias("__worded"), F.explode_outer(outbound_urls(rows)).alias("url"),
     )
-    rows = rows.filter(deal_relevant(F.col("url"), F.col("__worded")))
+    rows = rows.filter(F.col("url").isNotNull() & deal_relevant(F.col("url"), F.col("__worded")))
     return rows.select(
         F.lit("article").alias("source"),
         F.concat_ws(":", F.lit("fanout"), F.col("parent_raw_signal_id").cast("string"), url_key(F.col("url"))).alias("signal_type"),
