@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, sharding, topk_search
+from . import decontamination, quality, sharding, simhash_dedup, topk_search
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op4(spark, sf_dir):
     return sharding.op4(table(spark, sf_dir, "documents"))
 
 
+@query("op7_quality")
+def op7(spark, sf_dir):
+    return quality.op7(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query(
     "op8_topk_search",
     """
@@ -51,3 +56,8 @@ def op4(spark, sf_dir):
 def op8(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return topk_search.search(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
+@query("op10_simhash")
+def op10(spark, sf_dir):
+    return simhash_dedup.op10(table(spark, sf_dir, "documents"))
