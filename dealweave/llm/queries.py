@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, quality, sharding, simhash_dedup, topk_search
+from . import decontamination, language_id, quality, sharding, simhash_dedup, topk_search, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,11 +29,21 @@ def op1(spark, sf_dir):
     return decontamination.op1(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op2_language_id")
+def op2(spark, sf_dir):
+    return language_id.op2(table(spark, sf_dir, "documents"))
+
+
 @query("op4_sharding")
 def op4(spark, sf_dir):
     return sharding.op4(table(spark, sf_dir, "documents"))
 
 
+@query("op6_toxicity")
+def op6(spark, sf_dir):
+    return toxicity.op6(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op7_quality")
 def op7(spark, sf_dir):
     return quality.op7(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
