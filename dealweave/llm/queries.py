@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, quality, sharding, simhash_dedup, topk_search, toxicity
+from . import decontamination, language_id, quality, sentencepiece_codec, sharding, simhash_dedup, topk_search, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def op4(spark, sf_dir):
     return sharding.op4(table(spark, sf_dir, "documents"))
 
 
+@query("op5_sentencepiece")
+def op5(spark, sf_dir):
+    return sentencepiece_codec.op5(table(spark, sf_dir, "documents"))
+
+
 @query("op6_toxicity")
 def op6(spark, sf_dir):
     return toxicity.op6(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
