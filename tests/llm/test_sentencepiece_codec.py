@@ -9,7 +9,7 @@ import sentencepiece
 from dealweave.llm import sentencepiece_codec as S
 
 pytestmark = pytest.mark.skipif(not os.path.exists(S.MODEL), reason="no public model file")
-ODD = [None, "", " ", "  two  spaces ", "日本語テキスト\n\nxx", "emoji 😀 \t tab", "\n", " \n x", "é" * 50, "x" * 30000, "é combined", "trailing ", "\x00 nul"]
+ODD = [None, "", " ", "  two  spaces ", "日本語テキスト\n\nxx", "cuneiform 𒀀 \t tab", "\n", " \n x", "é" * 50, "x" * 30000, "é combined", "trailing ", "\x00 nul"]
 
 
 @pytest.fixture(scope="module")
