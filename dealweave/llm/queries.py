@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, quality, sentencepiece_codec, sharding, simhash_dedup, topk_search, toxicity
+from . import decontamination, language_id, quality, sentencepiece_codec, sharding, simhash_dedup, suffix_dedup, topk_search, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,11 @@ def op8(spark, sf_dir):
     return topk_search.search(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
 
 
+@query("op9_suffix_dedup")
+def op9(spark, sf_dir):
+    return suffix_dedup.op9(table(spark, sf_dir, "documents"))
+
+
 @query("op10_simhash")
 def op10(spark, sf_dir):
     return simhash_dedup.op10(table(spark, sf_dir, "documents"))
