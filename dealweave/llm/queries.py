@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, quality, sentencepiece_codec, sharding, simhash_dedup, suffix_dedup, topk_search, toxicity
+from . import decontamination, html_extraction, language_id, quality, sentencepiece_codec, sharding, simhash_dedup, suffix_dedup, topk_search, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op2(spark, sf_dir):
     return language_id.op2(table(spark, sf_dir, "documents"))
 
 
+@query("op3_html_extraction")
+def op3(spark, sf_dir):
+    return html_extraction.op3(table(spark, sf_dir, "pages"))
+
+
 @query("op4_sharding")
 def op4(spark, sf_dir):
     return sharding.op4(table(spark, sf_dir, "documents"))
