@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import first_by_hash
+
 
 def remainder(id_col: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; null for a null id."""
@@ -19,7 +21,7 @@ def label_sample(labels: DataFrame, label: str, most: int, modulus: int, held_ou
     teach nothing. Of contradicting labels of one id each counts.
     """
     rows = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("y")).filter(remainder("doc_id", modulus) != held_out)
-    parts = [rows.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most // 2) for y in (0, 1)]
+    parts = [first_by_hash(rows.filter(F.col("y") == y), "doc_id", most // 2) for y in (0, 1)]
     return parts[0].union(parts[1])
 
 

@@ -29,6 +29,7 @@ MODULUS, HELD_OUT = 5, 0
 SCRIPT_SHARE = 0.01
 #: Larger samples are joined by shuffle instead of broadcast.
 BROADCAST_ROWS = 100_000
+SALTS = 128
 
 # First code points of script ranges (fixed values of the Unicode standard), by script number; 0 takes what has no range.
 SCRIPTS = ["other", "latin", "greek", "cyrillic", "armenian", "hebrew", "arabic", "devanagari", "bengali", "tamil", "thai", "georgian", "hangul", "kana", "han"]
@@ -104,8 +105,12 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """
     spark = docs.sparkSession
     able = docs.filter(F.col("lang").isNotNull() & (remainder("doc_id", MODULUS) != HELD_OUT))
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = able.select("doc_id", "lang").withColumn("n", turn).filter(F.col("n") <= per_language).select("doc_id", F.col("lang").alias("own")).distinct().toPandas()
+    # first among equals in a salt, so that what one language's window sorts is SALTS x per_language ids at most
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    salted = able.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(SALTS)).alias("salt"))
+    few = salted.withColumn("n", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).filter(F.col("n") <= per_language)
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    chosen = few.withColumn("n", turn).filter(F.col("n") <= per_language).select("doc_id", F.col("lang").alias("own")).distinct().toPandas()
     if not len(chosen):
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool))
     ids = spark.createDataFrame(chosen)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import scratch, settle
+from .common import first_by_hash, scratch, settle
 
 SCALE = 1024
 TOP = 10
@@ -139,7 +139,7 @@ def search(vectors: DataFrame, queries: DataFrame, top: int = TOP, id_col: str =
     rows = valid(vectors, id_col, vec_col)
     asked = valid(queries, id_col, vec_col)
     # bounded samples by hash of the id: SEED_VECTORS rows reach the driver, whatever the input's size
-    seed = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SEED_VECTORS).toPandas()
+    seed = first_by_hash(rows, "vec_id", SEED_VECTORS).toPandas()
     seed_ids, seeds = seed["vec_id"].to_numpy(np.int64), _matrix(seed["parts"])
     parts = max(1, -(-rows.select("vec_id").count() // GROUP))
     lanes = min(MOST_LANES, parts)
