@@ -107,18 +107,26 @@ def _(t):
 # -- streams --------------------------------------------------------------------------------------
 
 
-def stream_of(t, name: str):
-    """A stored view as a file stream."""
-    df = t(name)
-    folder = df.inputFiles()[0].rsplit("/", 1)[0]
-    return t.spark.readStream.schema(df.schema).parquet(folder)
+BATCHES = 3
+
+
+def landed(t, df, order: str, key: str):
+    """``df`` as a file stream that comes in several batches, in the order of ``order`` for each ``key``."""
+    folder = f"{scratch(t)}/landed"
+    cuts = df.approxQuantile(order, [i / BATCHES for i in range(1, BATCHES)], 0.01)
+    bounds = [None, *cuts, None]
+    for lo, hi in zip(bounds, bounds[1:]):
+        part = df if lo is None else df.filter(F.col(order) >= lo)
+        part = part if hi is None else part.filter(F.col(order) < hi)
+        part.repartition(2, key).write.mode("append").parquet(folder)
+    return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 @query("stream_ingest_dedup", "select distinct source, signal_type from v_signals")
 def _(t):
     folder = scratch(t)
-    deduped = streams.dedup_stream(stream_of(t, "v_signals").select("id", "source", "signal_type", "detected_at"))
-    streams.run_batches(deduped, streams.append_unseen(f"{folder}/log", ["source", "signal_type"], ["detected_at", "id"]), f"{folder}/cp")
+    rows = t("v_signals").select("id", "source", "signal_type", "detected_at")
+    streams.run_batches(landed(t, rows, "id", "id"), streams.append_unseen(f"{folder}/log", ["source", "signal_type"], ["detected_at", "id"]), f"{folder}/cp")
     return t.spark.read.parquet(f"{folder}/log").select("source", "signal_type")
 
 
@@ -126,15 +134,17 @@ def _(t):
        **classify_ctes("select id, source, title as text from v_signals"))
 def _(t):
     folder = scratch(t)
-    s = stream_of(t, "v_signals").select("id", "source", F.col("title").alias("text"), "url")
+    s = landed(t, t("v_signals").select("id", "source", F.col("title").alias("text"), "url"), "id", "id")
     streams.run_batches(streams.classified_stream(s, t("v_companies")), streams.write_batches(f"{folder}/out"), f"{folder}/cp")
     return t.spark.read.parquet(f"{folder}/out").select("id", "event_type", F.round("confidence", 6).alias("confidence"))
 
 
 @query("stream_alerts", "select id as event_id, alert_type from alerted", alerted=ALERTED)
 def _(t):
-    folder = scratch(t)
-    streams.run_batches(stream_of(t, "v_events"), streams.alert_step(f"{folder}/ledger", RULES, "chat"), f"{folder}/cp")
+    # every event comes twice, in different batches: the second time it must not be sent again
+    folder, events = scratch(t), t("v_events")
+    twice = events.withColumn("turn", F.col("id")).unionByName(events.withColumn("turn", -F.col("id")))
+    streams.run_batches(landed(t, twice, "turn", "id").drop("turn"), streams.alert_step(f"{folder}/ledger", RULES, "chat"), f"{folder}/cp")
     return t.spark.read.parquet(f"{folder}/ledger").select("event_id", "alert_type")
 
 
@@ -143,10 +153,9 @@ select company_id, start, count(*) as events from (select company_id, unnest(gen
   from v_signals where company_id is not null) x group by company_id, start""")
 def _(t):
     folder = scratch(t)
-    s = stream_of(t, "v_signals").filter("company_id is not null").select("company_id", "detected_at")
-    counts = streams.velocity_stream(s, "company_id", "detected_at", delay="3650 days")
-    streams.run_batches(counts, streams.write_batches(f"{folder}/out"), f"{folder}/cp", mode="update")
-    out = streams.latest_of(t.spark, f"{folder}/out", ["start", "company_id"])
+    rows = t("v_signals").filter("company_id is not null").select("id", "company_id", "detected_at")
+    streams.run_batches(landed(t, rows, "id", "id"), streams.daily_count_step(f"{folder}/days", "company_id", "detected_at"), f"{folder}/cp")
+    out = streams.velocity(t.spark.read.parquet(f"{folder}/days"), "company_id")
     return out.select("company_id", F.col("start").cast("timestamp_ntz").alias("start"), "events")
 
 
@@ -155,9 +164,6 @@ select page_id, host, hash <> ph as content_changed, title <> pt as title_change
 where ph is not null and (hash <> ph or title <> pt)""", snaps=SNAP)
 def _(t):
     folder = scratch(t)
-    landed = f"{folder}/in"
     snap = snapshots(t).select("page_id", "host", "hash", "title", "meta_description")
-    snap.write.parquet(landed)
-    stream = t.spark.readStream.schema(snap.schema).parquet(landed)
-    streams.run_batches(stream, streams.page_change_step(f"{folder}/changes", f"{folder}/state", "host", "page_id"), f"{folder}/cp")
+    streams.run_batches(landed(t, snap, "page_id", "host"), streams.page_change_step(f"{folder}/changes", f"{folder}/state", "host", "page_id"), f"{folder}/cp")
     return t.spark.read.parquet(f"{folder}/changes").select("page_id", "host", "content_changed", "title_changed")

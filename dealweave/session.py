@@ -16,10 +16,6 @@ ENGINE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-#: Largest table, by optimizer estimate or by row count, that is ever offered as
-#: a broadcast side explicitly. Everything else is left to AQE.
-BROADCAST_ROWS = 200_000
-
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str = "dealweave"):
     """Single-JVM session for tests and the bench."""
@@ -36,6 +32,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
     for key, value in ENGINE_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    spark.conf.set("spark.dealweave.spread", str(spark.sparkContext.defaultParallelism))
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -45,7 +42,7 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.startswith("local["):  # one machine; not local-cluster
         import tempfile
 
         folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")

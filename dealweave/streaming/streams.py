@@ -1,9 +1,8 @@
 """Streams over landed files: dedup, classification, alerts, velocity and page changes.
 
-Watermarks bound the state that Spark keeps; facts that must hold for ever (a key seen once, an
-alert sent once, the last snapshot of a site) live in written tables that ``foreachBatch`` joins
-with. Every batch writes its own folder and overwrites it when replayed, so a restarted query
-neither loses nor repeats rows.
+Facts that must hold for ever (a key seen once, an alert sent once, the last snapshot of a site) live in a written table of
+one row per key, which every batch reads and writes anew; no watermark drops a late row. Every batch writes its own folder
+and overwrites it when replayed, so a restarted query neither loses nor repeats rows.
 """
 
 from __future__ import annotations
@@ -20,13 +19,37 @@ def _batch(folder: str, batch_id: int) -> str:
     return f"{folder}/batch={batch_id}"
 
 
-def _earlier(spark, folder: str, schema, batch_id: int) -> DataFrame:
-    """Rows of all batches before this one."""
-    try:
-        seen = spark.read.option("basePath", folder).schema(schema.add("batch", "int")).parquet(folder)
-    except Exception:  # nothing written yet
-        return spark.createDataFrame([], schema)
-    return seen.filter(F.col("batch") < batch_id).drop("batch")
+class KeyedState:
+    """One row per key as of the end of each batch, as a table under ``folder``.
+
+    A batch reads the newest state before it and writes its own. The state before last is kept too, since a replay reads it
+    again; older ones go. A missing folder is an empty state, and every other failure to read is an error.
+    """
+
+    def __init__(self, spark, folder: str):
+        self.spark, self.folder = spark, folder
+        self.path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        self.files = self.path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _batches(self) -> list[int]:
+        """Batches whose state was written to the end."""
+        if not self.files.exists(self.path):
+            return []
+        names = [s.getPath().getName() for s in self.files.listStatus(self.path)]
+        found = [int(n.split("=")[1]) for n in names if n.startswith("batch=")]
+        jpath = self.spark._jvm.org.apache.hadoop.fs.Path
+        return sorted(b for b in found if self.files.exists(jpath(f"{_batch(self.folder, b)}/_SUCCESS")))
+
+    def before(self, batch_id: int, schema) -> DataFrame:
+        earlier = [b for b in self._batches() if b < batch_id]
+        if not earlier:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(_batch(self.folder, earlier[-1]))
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(_batch(self.folder, batch_id))
+        for old in [b for b in self._batches() if b < batch_id][:-1]:
+            self.files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(_batch(self.folder, old)), True)
 
 
 def run_batches(stream: DataFrame, step, checkpoint: str, mode: str = "append") -> None:
@@ -38,20 +61,15 @@ def run_batches(stream: DataFrame, step, checkpoint: str, mode: str = "append")
     query.awaitTermination()
 
 
-def dedup_stream(signals: DataFrame, delay: str = "30 days") -> DataFrame:
-    """Repeated keys within the watermark drop out on the fast path."""
-    timed = signals.withColumn("detected_at", F.col("detected_at").cast("timestamp"))
-    return timed.withWatermark("detected_at", delay).dropDuplicatesWithinWatermark(["source", "signal_type"])
-
-
 def append_unseen(log: str, keys: list[str], order: list[str]):
-    """Batch step: rows whose key no earlier batch has written."""
+    """Batch step: rows whose key no earlier batch has written, however late they come."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = keyed.keep_first(batch, keys, order)
-        seen = _earlier(spark, log, batch.schema, batch_id).select(*keys).distinct()
-        fresh.join(seen, keys, "left_anti").write.mode("overwrite").parquet(_batch(log, batch_id))
+        state = KeyedState(batch.sparkSession, f"{log}-keys")
+        first = keyed.keep_first(batch, keys, order)
+        seen = state.before(batch_id, first.select(*keys).schema)
+        first.join(seen, keys, "left_anti").write.mode("overwrite").parquet(_batch(log, batch_id))
+        state.write(seen.unionByName(first.select(*keys)).distinct(), batch_id)
 
     return step
 
@@ -76,24 +94,31 @@ def alert_step(ledger: str, rules: list[dict], channel: str):
     """Batch step: alerts of the batch that no earlier batch has sent on the channel."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        hits = alerts.match_rules(batch, rules).select(F.col("id").alias("event_id"), F.lit(channel).alias("channel"), "alert_type")
-        sent = _earlier(batch.sparkSession, ledger, hits.schema, batch_id).select("event_id", "channel")
-        hits.join(sent, ["event_id", "channel"], "left_anti").write.mode("overwrite").parquet(_batch(ledger, batch_id))
+        hits = alerts.match_rules(batch, rules).select(F.col("id").alias("event_id"), F.lit(channel).alias("channel"), "alert_type").distinct()
+        keys = ["event_id", "channel"]
+        state = KeyedState(batch.sparkSession, f"{ledger}-keys")
+        sent = state.before(batch_id, hits.select(*keys).schema)
+        hits.join(sent, keys, "left_anti").write.mode("overwrite").parquet(_batch(ledger, batch_id))
+        state.write(sent.unionByName(hits.select(*keys)).distinct(), batch_id)
 
     return step
 
 
-def velocity_stream(events: DataFrame, key: str, at: str, span: str = "30 days", slide: str = "1 day", delay: str = "7 days"):
-    """Counts per key over sliding windows; partial counts combine before the shuffle."""
-    timed = events.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, delay)
-    out = timed.groupBy(F.window(at, span, slide), key).agg(F.count("*").alias("events"))
-    return out.select(F.col("window.start").alias("start"), key, "events")
+def daily_count_step(folder: str, key: str, at: str):
+    """Batch step: the batch's own counts per key and day. Batches add up, so nothing is kept between them."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy(key, F.date_trunc("day", at).alias("day")).agg(F.count("*").alias("events"))
+        counts.write.mode("overwrite").parquet(_batch(folder, batch_id))
+
+    return step
 
 
-def latest_of(spark, folder: str, keys: list[str]) -> DataFrame:
-    """Last written value per key of an update-mode result."""
-    rows = spark.read.parquet(folder)
-    return keyed.keep_last(rows, keys, ["batch"]).drop("batch")
+def velocity(counts: DataFrame, key: str, days: int = 30) -> DataFrame:
+    """Events per key in each window of ``days`` days that holds any, by its first day, from daily counts of all batches."""
+    daily = counts.groupBy(key, "day").agg(F.sum("events").alias("events"))
+    starts = F.explode(F.sequence(F.col("day") - F.expr(f"interval {days - 1} days"), F.col("day"), F.expr("interval 1 day")))
+    return daily.withColumn("start", starts).groupBy(key, "start").agg(F.sum("events").alias("events"))
 
 
 def page_change_step(changes: str, state: str, key: str, at: str):
@@ -101,11 +126,10 @@ def page_change_step(changes: str, state: str, key: str, at: str):
     columns = [key, at, "hash", "title", "meta_description"]
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        held = KeyedState(batch.sparkSession, state)
         rows = batch.select(*columns)
-        last = keyed.keep_last(_earlier(spark, state, rows.schema, batch_id), [key], [at])
-        both = last.unionByName(rows)
+        both = held.before(batch_id, rows.schema).unionByName(rows)
         web.website_changes(both, key, at).write.mode("overwrite").parquet(_batch(changes, batch_id))
-        keyed.keep_last(both, [key], [at]).write.mode("overwrite").parquet(_batch(state, batch_id))
+        held.write(keyed.keep_last(both, [key], [at]), batch_id)
 
     return step

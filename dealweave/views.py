@@ -260,13 +260,11 @@ FACTS = {"orders", "lineitem", "documents", "pages", "events", "conversations"}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. A fact table in fewer files than there are cores is spread once at the
-    scan, where its rows are narrow; a table in many files is left as its files lie."""
+    """A given table, as its files lie. A session for one machine can ask for scans of fact tables to be spread over its
+    cores (``spark.dealweave.spread``), since the small test tables are single files that Spark cannot split."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in FACTS and cores > 1 and len(df.inputFiles()) < cores:
-        return df.repartition(cores)
-    return df
+    spread = int(spark.conf.get("spark.dealweave.spread", "0"))
+    return df.repartition(spread) if spread > 1 and name in FACTS else df
 
 
 #: Views that stand for landed tables. They are written once per session to the shared folder and
