@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import jobs as J
 from ..functions import trust
+from ..functions.numbers import EXACT_AVG_SQL
 from ..operators import claims, company, jobs
 from .extract_q import HOST, lit, rx, trust_sql
 from .registry import query
@@ -147,7 +148,7 @@ def _(t):
 # -- company data -------------------------------------------------------------------------------
 
 AUTH = "nullif(replace(lower(regexp_extract(source_url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1)), 'www.', ''), '')"
-SIMPLE = f"""round(least(1e0, 0.25e0 + least(count(distinct {AUTH}), 5) * 0.12e0 + avg(source_weight) * 0.35e0 + case when bool_or(is_official) then 0.08e0 else 0e0 end + least(count(*), 6) * 0.03e0), 3)"""
+SIMPLE = f"""round(least(1e0, 0.25e0 + least(count(distinct {AUTH}), 5) * 0.12e0 + {EXACT_AVG_SQL.format("source_weight")} * 0.35e0 + case when bool_or(is_official) then 0.08e0 else 0e0 end + least(count(*), 6) * 0.03e0), 3)"""
 HEAVY = "source_weight * 1000000000 - id"
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import deals
+from ..functions.numbers import EXACT_AVG_SQL
 from ..operators import corroboration, funding
 from .extract_q import CLEAN, HOST, INVESTORS, INSTRUMENT_SQL, SLUG, amount_sql, phrase_sql, tier_sql, trust_sql
 from .registry import query
@@ -44,7 +45,7 @@ CORROBORATION = {
     " substr(coalesce(announced_date, cast(extracted_at as string)), 1, 10) as day,"
     " case when amount_usd > 0 then amount_usd end as amt,"
     " list_filter([valuation_usd, post_money_valuation_usd, pre_money_valuation_usd], lambda v: v > 0) as vals from claims_in",
-    "co_dom": "select group_key, count(*) as nd, avg(w) as mean_w, count(*) filter (where w >= 0.72) as trusted from (select group_key, domain, max(coalesce(source_weight, 0)) as w from co_rows where domain is not null group by all) d group by group_key",
+    "co_dom": "select group_key, count(*) as nd, " + EXACT_AVG_SQL.format("w") + " as mean_w, count(*) filter (where w >= 0.72) as trusted from (select group_key, domain, max(coalesce(source_weight, 0)) as w from co_rows where domain is not null group by all) d group by group_key",
     "co_roster": """select t.group_key, max(k) = any_value(lists) and any_value(lists) >= 2 as shared from
   (select group_key, n, count(*) as k from (select group_key, unnest(list_distinct(list_concat(case when lead_key is null then [] else [lead_key] end, co))) as n from co_rows) x group by all) t
   join (select group_key, count(*) filter (where lead_key is not null or len(co) > 0) as lists from co_rows group by group_key) l on l.group_key = t.group_key group by t.group_key""",
@@ -52,7 +53,7 @@ CORROBORATION = {
   (select group_key, n, count(*) as k from (select group_key, unnest(list_distinct(co)) as n from co_rows) x group by all) t
   join (select group_key, count(*) filter (where len(co) > 0) as lists from co_rows group by group_key) l on l.group_key = t.group_key group by t.group_key""",
     "co_agg": """select group_key, count(*) as claim_count, count(distinct source_tier) as nt, coalesce(bool_or(is_official), false) as official,
-  coalesce(bool_or(is_rumor), false) as rumor, count(amt) as na, min(amt) as lo, max(amt) as hi, avg(extraction_confidence) as ext,
+  coalesce(bool_or(is_rumor), false) as rumor, count(amt) as na, min(amt) as lo, max(amt) as hi, """ + EXACT_AVG_SQL.format("extraction_confidence") + """ as ext,
   count(lead_key) as nl, count(distinct lead_key) as dl, count(round_key) as nr, count(distinct round_key) as dr,
   count(distinct day) as days, count(distinct (isoyear(cast(day as date)), weekofyear(cast(day as date)))) as weeks,
   sum(len(vals)) as nv, min(list_min(vals)) as vlo, max(list_max(vals)) as vhi,

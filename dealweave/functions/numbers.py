@@ -15,3 +15,12 @@ def rounded(value: Column, digits: int) -> Column:
     """
     unit = float(10**digits)
     return F.round(value * F.lit(unit), 0) / F.lit(unit)
+
+
+def exact_avg(value: Column) -> Column:
+    """Average of scores and weights, summed in whole millionths: the same in any order of rows."""
+    return F.sum(F.round(value * 1_000_000).cast("bigint")).cast("double") / F.count(value) / 1_000_000
+
+
+#: What :func:`exact_avg` computes, as SQL with the value for ``{}``.
+EXACT_AVG_SQL = "(cast(sum(cast(round({0} * 1000000) as bigint)) as double) / count({0}) / 1000000)"

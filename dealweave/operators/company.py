@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import rounded
+from ..functions.numbers import exact_avg, rounded
 from ..functions.text import authority_host
 
 # What an existing claim keeps when the same source URL reports again.
@@ -44,7 +44,7 @@ def _score_parts():
     return [
         F.count("*").alias("report_count"),
         F.count_distinct(authority_host(F.col("source_url"))).alias("unique_domains"),
-        F.avg(F.coalesce(F.nullif("source_weight", F.lit(0.0)), F.lit(0.5))).alias("__w"),
+        exact_avg(F.coalesce(F.nullif("source_weight", F.lit(0.0)), F.lit(0.5))).alias("__w"),
         F.coalesce(F.bool_or("is_official"), F.lit(False)).alias("__official"),
     ]
 

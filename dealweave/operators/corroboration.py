@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import rounded
+from ..functions.numbers import exact_avg, rounded
 from ..functions.deals import amounts_agree, series_round
 from ..functions.text import filled, publisher_domain, squeeze
 
@@ -100,7 +100,7 @@ def corroborate(claims: DataFrame, key: str, github: DataFrame | None = None) ->
         F.coalesce(F.bool_or("is_official"), F.lit(False)).alias("official_present"),
         F.coalesce(F.bool_or("is_rumor"), F.lit(False)).alias("rumor_present"),
         F.count(amount).alias("__amounts"), F.min(amount).alias("__low"), F.max(amount).alias("__high"),
-        F.avg("extraction_confidence").alias("__ext"),
+        exact_avg(F.col("extraction_confidence")).alias("__ext"),
         F.count("__lead").alias("__leads"), F.min("__lead").alias("__lead_a"), F.max("__lead").alias("__lead_z"),
         F.count("__round").alias("__rounds"), F.min("__round").alias("__round_a"), F.max("__round").alias("__round_z"),
         F.collect_set("__day").alias("__days"),
@@ -113,7 +113,7 @@ def corroborate(claims: DataFrame, key: str, github: DataFrame | None = None) ->
     )
     domains = c.filter("__domain is not null").groupBy(key, "__domain").agg(F.max("__weight").alias("w"))
     domains = domains.groupBy(key).agg(
-        F.count("*").alias("unique_domains"), F.avg("w").alias("__mean"), F.count_if(F.col("w") >= TRUSTED).alias("__trusted")
+        F.count("*").alias("unique_domains"), exact_avg(F.col("w")).alias("__mean"), F.count_if(F.col("w") >= TRUSTED).alias("__trusted")
     )
     rosters = c.select(key, F.concat(F.array_compact(F.array("__lead")), "__co").alias("names"))
     roster = _shared_by_all(rosters, key).withColumn("__roster", F.lit(True))

@@ -76,6 +76,18 @@ def merge_upsert(
     return both.select(*out)
 
 
+def fold(rows: DataFrame, keys: list[str], order: str, policy: dict[str, str], default: str = "keep") -> DataFrame:
+    """All reports of a key, upserted one after another by ``order``, in one aggregate with a policy per column."""
+    at = F.col(order)
+    first = lambda c: F.min_by(c, at)
+    takes = {
+        "overwrite": lambda c: F.max_by(c, at), "keep": first, "max": F.max, "or": F.bool_or,
+        "coalesce": lambda c: F.max_by(c, F.when(c.isNotNull(), at)), "fill": lambda c: F.min_by(c, F.when(c.isNotNull(), at)),
+    }
+    rest = [takes[policy.get(c, default)](F.col(c)).alias(c) for c in rows.columns if c not in keys]
+    return rows.groupBy(*keys).agg(*rest).select(*rows.columns)
+
+
 def replace_or_drop(source: DataFrame, owners: DataFrame, key: str) -> DataFrame:
     """The source is the new snapshot; owners it does not name drop out."""
     return source.join(owners.select(key).distinct(), key, "left_semi")

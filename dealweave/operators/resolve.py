@@ -244,13 +244,18 @@ def by_repo(links: DataFrame, companies: DataFrame) -> DataFrame:
     return rows.join(repo_index(companies), "org").select("id", "company_id", "name", "score")
 
 
+def _earlier(company: str, pos: str | None = None) -> Column:
+    """Ranks the smaller company id, then the earlier place, higher; of use for ids of all 64 bits."""
+    place = F.col(pos) if pos else F.lit(0)
+    return F.struct((-F.col(company).cast("decimal(20,0)")).alias("company"), (-place).cast("int").alias("pos"))
+
+
 def _alias_heads(companies: DataFrame) -> DataFrame:
     """Aliases long enough to search for, keyed by their first characters; earlier ones rank higher."""
     index = alias_index(companies).filter(F.length("alias") >= MIN_NAME)
-    first = F.col("first_seen.company_id") * F.lit(1000) + F.col("first_seen.pos")
     return index.select(
         F.substring("alias", 1, MIN_NAME).alias("key"), "company_id", "name", F.col("alias").alias("full"),
-        F.struct(F.length("alias").alias("len"), (-first).alias("back")).alias("rank"),
+        F.struct(F.length("alias").alias("len"), _earlier("first_seen.company_id", "first_seen.pos").alias("back")).alias("rank"),
     )
 
 
@@ -259,7 +264,7 @@ def _name_runs(companies: DataFrame) -> DataFrame:
     low = F.lower("name")
     return companies.filter(F.length("name") >= MIN_NAME).select(
         low.alias("key"), "company_id", "name", F.lit(None).cast("string").alias("full"),
-        F.struct(F.length(low).alias("len"), (-F.col("company_id")).alias("back")).alias("rank"),
+        F.struct(F.length(low).alias("len"), _earlier("company_id").alias("back")).alias("rank"),
     )
 
 
@@ -389,19 +394,24 @@ def by_name_slug_handle(names: DataFrame, companies: DataFrame, variations: dict
 
 
 def registry_match(names: DataFrame, registry: DataFrame) -> DataFrame:
-    """Registrant by lower-case title, else the first title that opens with the name (or whose
-    part before the comma opens the name); prefix pairs meet on their first word."""
-    q = names.select("name").distinct().withColumn("q", F.lower(F.trim("name")))
+    """Registrant by lower-case title, else the first title that opens with the name, or whose part before the comma opens
+    the name. Either side's openings of every length are matched by equality with the other side; empty names and parts
+    open nothing."""
+    q = names.select("name").distinct().withColumn("q", F.lower(F.trim("name"))).filter("q <> ''")
     r = registry.select("registrant_id", "title", F.lower("title").alias("t"))
     exact = q.join(r, F.col("q") == F.col("t")).groupBy("name", "q").agg(
         F.min("registrant_id").alias("registrant_id")
     )
     rest = q.join(exact.select("name"), "name", "left_anti")
-    first = lambda c: F.regexp_extract(c, "^[a-z0-9]*", 0)
-    pairs = rest.withColumn("w", first(F.col("q"))).join(r.withColumn("w", first(F.col("t"))), "w")
-    head = F.substring_index("t", ",", 1)
-    pairs = pairs.filter(F.col("t").startswith(F.col("q")) | F.col("q").startswith(head))
-    prefix = pairs.groupBy("name").agg(F.min("registrant_id").alias("registrant_id"))
+
+    def openings(df: DataFrame, text: str, *keep: str) -> DataFrame:
+        sized = df.filter(F.length(text) > 0).select(*keep, text, F.explode(F.sequence(F.lit(1), F.length(text))).alias("n"))
+        return sized.select(*keep, F.substring(F.col(text), F.lit(1), F.col("n")).alias("key"))
+
+    opens = openings(r, "t", "registrant_id").join(rest.select("name", F.col("q").alias("key")), "key").select("name", "registrant_id")
+    heads = r.select("registrant_id", F.substring_index("t", ",", 1).alias("key"))
+    opened = openings(rest, "q", "name").join(heads, "key").select("name", "registrant_id")
+    prefix = opens.unionByName(opened).groupBy("name").agg(F.min("registrant_id").alias("registrant_id"))
     out = exact.select("name", "registrant_id", F.lit("exact").alias("how")).unionByName(
         prefix.select("name", "registrant_id", F.lit("prefix").alias("how"))
     )
@@ -447,7 +457,7 @@ def resolve_company(payloads: DataFrame, companies: DataFrame, sizes: list[int]
     found = _direct_hits(payloads, companies, sizes).unionByName(hits, allowMissingColumns=True)
     best = F.min_by(
         F.struct("company_id", "name", "score", "rank"),
-        F.struct("rank", "ord", -F.coalesce("len", F.lit(0)), -F.coalesce("back", F.lit(0).cast("bigint"))),
+        F.struct("rank", "ord", -F.coalesce("len", F.lit(0)), -F.col("back.company"), -F.col("back.pos")),
     )
     out = found.groupBy("id").agg(best.alias("m")).select("id", "m.*")
     names = F.array(*[F.lit(n) for n in METHODS])
@@ -504,7 +514,7 @@ def _direct_hits(payloads: DataFrame, companies: DataFrame, sizes: list[int] | N
             score.alias("score"),
             (F.col("full") if "full" in df.columns else none.cast("string")).alias("full"),
             (F.col("rank.len") if "full" in df.columns else F.lit(0)).alias("len"),
-            (F.col("rank.back") if "full" in df.columns else F.lit(0).cast("bigint")).alias("back"),
+            (F.col("rank.back") if "full" in df.columns else F.lit(None).cast("struct<company: decimal(20,0), pos: int>")).alias("back"),
         )
 
     index = reduce(DataFrame.unionByName, [

@@ -7,10 +7,10 @@ that a lost executor would otherwise have to recompute.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import brief, claims, company, funding, jobs, keyed, quality, ranking, repair, signals
+from ..operators import brief, claims, company, funding, jobs, keyed, quality, ranking, repair, signals, web
 from ..session import shared_folder
 
 
@@ -39,16 +39,23 @@ def funding_rollup(events, raw_signals, companies, github, run: str = "funding")
     held = members.join(
         numbered.select(F.col("merged_key").alias("round_id"), F.col("id").alias("__id")), "round_id"
     ).drop("round_id").withColumnRenamed("__id", "round_id")
+    synced = funding.sync_event_confidence(events, rows, links, rounds)
+    clusters = settle(funding.event_cluster_confidence(events, rows, companies), run, "event_clusters")
     return {
         "claims": rows, "rounds": numbered, "participants": members, "firms": firms,
         "attributions": funding.participant_attributions(people, rows, links),
-        "events": funding.sync_event_confidence(events, rows, links, rounds),
-        "event_clusters": funding.event_cluster_confidence(events, rows, companies),
+        "events": with_confidence(synced, clusters), "event_clusters": clusters,
         "valuations": funding.company_valuation(companies, numbered, events),
         "cap_table": funding.cap_table(numbered, held, firms),
     }
 
 
+def with_confidence(events: DataFrame, scores: DataFrame) -> DataFrame:
+    """Events with the confidence that ``scores`` (id, confidence) has for them, if any."""
+    own = scores.groupBy("id").agg(F.max("confidence").alias("__score"))
+    return events.join(own, "id", "left").withColumn("confidence", F.coalesce("__score", "confidence")).select(*events.columns)
+
+
 def company_data_rollup(events, raw_signals, companies, run: str = "company") -> dict[str, DataFrame]:
     """Claims on profiles, people, products and licences to one row per fact."""
     texts = settle(claims.event_texts(events, raw_signals), run, "texts")
@@ -60,9 +67,7 @@ def company_data_rollup(events, raw_signals, companies, run: str = "company") ->
         for part in parts[1:]:
             rows = rows.unionByName(part, allowMissingColumns=True)
         rows = claims.with_tier(rows, companies)
-        first = keyed.keep_first(rows, list(keys), ["id"])
-        last = keyed.keep_last(rows, list(keys), ["id"])
-        return keyed.merge_upsert(first, last, list(keys), policy, default="keep")
+        return keyed.fold(rows, list(keys), "id", policy)
 
     profile = merged([claims.bulk_profile_claims(bulk)], company.PROFILE_POLICY, ("source_url", "field_key"))
     team = merged([claims.team_claims(texts), claims.bulk_team_claims(bulk)], company.TEAM_POLICY)
@@ -79,23 +84,38 @@ def regulatory_rollup(raw_signals: DataFrame) -> DataFrame:
     return company.license_rollup(claims.with_tier(claims.regulatory_claims(raw_signals)))
 
 
-def jobs_rollup(board_rows, events, companies, today, run: str = "jobs") -> dict[str, DataFrame]:
-    """Board postings and hiring events to postings, skills and velocity."""
-    rows = jobs.job_claims(board_rows, companies)
+def jobs_rollup(board_rows, events, companies, today, run: str = "jobs", earlier: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Board postings and hiring events to postings, skills and velocity.
+
+    ``earlier`` holds the claims of former runs; a board posting among them that its company's boards no longer list
+    becomes inactive.
+    """
+    boards = jobs.job_claims(board_rows, companies)
     from_events = jobs.job_claims(jobs.event_job_rows(events), companies)
-    rows = rows.unionByName(from_events, allowMissingColumns=True)
+    rows = boards.unionByName(from_events, allowMissingColumns=True)
+    if earlier is not None:
+        rows = rows.unionByName(earlier, allowMissingColumns=True)
     rows = settle(keyed.keep_last(rows, ["source_url"], ["id"]), run, "claims")
     postings = settle(jobs.job_postings(rows), run, "postings")
-    postings = jobs.deactivate_stale(postings, postings)
+    postings = jobs.deactivate_stale(postings, boards)
     return {"claims": rows, "postings": postings, "skills": jobs.posting_skills(rows), "velocity": jobs.hiring_velocity(postings, today)}
 
 
+#: Ids made by hashing start here, above any that were numbered.
+NEW_IDS = 1 << 50
+
+
+def new_id(*of: str) -> Column:
+    """A positive id above all numbered ones, the same in every run."""
+    return F.lit(NEW_IDS) + F.pmod(F.xxhash64(*of), F.lit(NEW_IDS))
+
+
 def discover_and_rank(raw_signals, events, companies, as_of, days: int = 30, run: str = "rank") -> dict[str, DataFrame]:
     """Candidates from mentions, promotion of the strong ones, and the ranking of all companies."""
     stats = settle(ranking.mention_stats(raw_signals, companies, as_of, days), run, "mentions")
     candidates = ranking.company_candidates(stats)
     promoted = settle(ranking.promote_candidates(candidates, companies), run, "promoted")
-    fresh = promoted.withColumn("company_id", F.xxhash64("slug"))
+    fresh = promoted.withColumn("company_id", new_id("slug"))
     everyone = companies.unionByName(fresh, allowMissingColumns=True)
     return {
         "candidates": candidates, "promoted": promoted, "companies": everyone,
@@ -111,36 +131,63 @@ def daily_brief(events, raw_signals, companies, as_of, days: int = 30) -> dict[s
     }
 
 
-def write_brief(parts: dict[str, DataFrame], folder: str) -> None:
-    for name, df in parts.items():
-        brief.write_export(df, f"{folder}/{name}")
-
+def process(raw_signals, events, companies, run: str = "events") -> tuple[DataFrame, DataFrame]:
+    """Signals and events after processing.
 
-def new_events(raw_signals, events, companies, run: str = "events") -> DataFrame:
-    """All events after processing the signals that had none."""
+    Every signal gets the company it was resolved to and counts as processed; an event that stood on a signal's article
+    gets the signal (and its company, if it had none); the other signals become events of their own.
+    """
     made = settle(signals.process_signals(raw_signals, events, companies), run, "made")
     fresh = made.filter("attached_event_id is null").select(
         (-F.col("raw_signal_id")).alias("id"), "raw_signal_id", "company_id", "event_type", "amount_usd",
         F.lit(None).cast("bigint").alias("valuation_usd"), "source", "source_url", "confidence", "description",
         F.substring(F.col("announced_at").cast("string"), 1, 10).alias("announced_date"), F.col("announced_at").alias("created_at"),
     )
-    return settle(events.select(*fresh.columns).unionByName(fresh), run, "all")
+    linked = made.filter("attached_event_id is not null").groupBy(F.col("attached_event_id").alias("id")).agg(
+        F.min(F.struct("raw_signal_id", "company_id")).alias("__made")
+    )
+    kept = events.select(*fresh.columns).join(linked, "id", "left")
+    kept = kept.withColumn("raw_signal_id", F.coalesce("raw_signal_id", "__made.raw_signal_id")).withColumn("company_id", F.coalesce("company_id", "__made.company_id"))
+    own = made.groupBy(F.col("raw_signal_id").alias("id")).agg(F.min("company_id").alias("__company"))
+    after = raw_signals.join(own, "id", "left").withColumn("company_id", F.coalesce("company_id", "__company")).withColumn("processed", F.lit(True))
+    return settle(after.select(*raw_signals.columns), run, "signals"), settle(kept.select(*fresh.columns).unionByName(fresh), run, "all")
 
 
-def daily(raw_signals, events, companies, github, board_rows, as_of, run: str = "daily") -> dict[str, DataFrame]:
-    """The whole day in order: links, jobs, events, repairs, gate, ranking, funding, company data, brief."""
-    children = signals.url_fanout(raw_signals)
-    job_parts = jobs_rollup(board_rows, events, companies, as_of, f"{run}/jobs")
-    everything = new_events(raw_signals, events, companies, f"{run}/events")
-    repaired = settle(repair.repair(everything, raw_signals, companies), run, "repaired")
-    gate = quality.quality_gate(quality.quality_metrics(raw_signals, repaired, companies))
-    ranked = discover_and_rank(raw_signals, repaired, companies, as_of, run=f"{run}/rank")
-    money = funding_rollup(repaired, raw_signals, companies, github, f"{run}/funding")
-    facts = company_data_rollup(repaired, raw_signals, companies, f"{run}/company")
-    out = {"children": children, "events": repaired, "gate": gate, "regulatory": regulatory_rollup(raw_signals)}
-    for group in (job_parts, ranked, money, facts, daily_brief(repaired, raw_signals, companies, as_of)):
-        for name, df in group.items():
-            out.setdefault(name, df)
-    return out
+def new_events(raw_signals, events, companies, run: str = "events") -> DataFrame:
+    """All events after processing the signals that had none."""
+    return process(raw_signals, events, companies, run)[1]
 
 
+def with_children(raw_signals: DataFrame, as_of) -> DataFrame:
+    """The signals and, as signals of their own, the links they fan out to; a child that is there already is not added."""
+    children = signals.url_fanout(raw_signals)
+    payload = F.to_json(F.struct("title", "summary", "url", "category", "discovered_via", "parent_raw_signal_id"))
+    rows = children.select(
+        new_id("signal_type").alias("id"), "source", "signal_type", "company_id", payload.alias("data_json"), F.lit(as_of).cast(raw_signals.schema["detected_at"].dataType).alias("detected_at"),
+        F.lit(False).alias("processed"), "url", "title", "summary", "category",
+    )
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in raw_signals.schema if f.name not in rows.columns]
+    return keyed.insert_ignore(raw_signals, rows.select("*", *missing), ["source", "signal_type"], ["id"])
+
+
+def daily(raw_signals, events, companies, github, board_rows, as_of, run: str = "daily", snapshots=None) -> dict[str, DataFrame]:
+    """The whole day in order: page changes, links, events, repairs, gate, jobs, ranking, funding, company data, brief.
+
+    Each part works on what the parts before it left. Outputs are named by part, such as ``funding.rounds``; ``signals`` and
+    ``events`` are the tables at the end of the day. ``snapshots`` (host, page_id, hash, title, meta_description) may be left out.
+    """
+    everything = settle(with_children(raw_signals, as_of), run, "with_children")
+    everything, made = process(everything, events, companies, f"{run}/events")
+    repaired = settle(repair.repair(made, everything, companies), run, "repaired")
+    gate = quality.quality_gate(quality.quality_metrics(everything, repaired, companies))
+    parts = {"jobs": jobs_rollup(board_rows, repaired, companies, as_of, f"{run}/jobs")}
+    parts["rank"] = discover_and_rank(everything, repaired, companies, as_of, run=f"{run}/rank")
+    known = settle(parts["rank"]["companies"], run, "companies")
+    parts["funding"] = funding_rollup(repaired, everything, known, github, f"{run}/funding")
+    synced = settle(parts["funding"]["events"], run, "synced")
+    parts["company"] = company_data_rollup(synced, everything, known, f"{run}/company")
+    parts["brief"] = daily_brief(synced, everything, known, as_of)
+    out = {f"{part}.{name}": df for part, group in parts.items() for name, df in group.items()}
+    if snapshots is not None:
+        out["changes"] = web.website_changes(snapshots, "host", "page_id")
+    return out | {"signals": everything, "events": synced, "gate": gate, "regulatory": regulatory_rollup(everything)}
