@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,6 +39,12 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of steps whose frames are gone: it waits for the driver's collector."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 @dataclass
 class Texts:
     """Some neighbouring rows of one string column: their UTF-8 bytes in a row, and where each row begins and ends."""

@@ -8,8 +8,10 @@ so n batches leave at most log2(n) + 1 of them. All tables share their buckets,
 
 Suffixes are sorted by the hash of their first ``KEY`` bytes, not by the bytes: a suffix array of all positions would take
 eight bytes for each byte of text. What the family reports are keys that occur twice. Their suffixes are then located and
-compared by the whole stretch of strings they stand for: equal stretches are repeats as a whole, and only where one key has
-different stretches are its strings compared one by one. Every step groups by hashes of 128 bits in all.
+compared by the whole stretch of strings they stand for: equal stretches are repeats as a whole. Only where one key has
+different stretches is one place of each cut into blocks of ``BLOCK`` strings, which are compared in the same way by the bytes
+that all strings of a block share; and only blocks that differ are compared string by string. Groups are told apart by
+hashes of 128 bits, and by the repeats' own bytes: no step lists pairs.
 """
 
 from __future__ import annotations
@@ -23,10 +25,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Texts, mix, remove, scratch, settle, texts
+from .common import Texts, mix, release, remove, scratch, settle, texts
 
 WIDTH = 200
-KEY = 32
+KEY = 64
+BLOCK = 8
 BATCHES = 4
 #: A longer text is worked on in pieces that overlap by WIDTH - 1 bytes.
 PIECE_BYTES = 4 << 20
@@ -84,19 +87,38 @@ class Anchors:
             edge = np.r_[True, (np.diff(least) != 0) | (np.diff(starts) != 1)]
             self.first, self.anchor = starts[edge], least[edge]
             self.last = starts[np.r_[edge[1:], True]]
-        self.key = h[self.anchor]
+        self.key = self.spell(self.anchor, KEY)
         self.row = np.searchsorted(at, self.first, side="right") - 1
 
-    def strings(self, p: np.ndarray) -> np.ndarray:
-        """Hash of the WIDTH bytes from each of ``p``."""
-        out = self.h8[p + WIDTH - 8]
-        for k in range(0, WIDTH - KEY + 1, KEY):
+    def spell(self, p: np.ndarray, size: int) -> np.ndarray:
+        """Hash of the ``size`` (32 or more) bytes from each of ``p``."""
+        out = self.h32[p + size - 32]
+        for k in range(0, size - 32, 32):
             out = mix(out * _C3 + self.h32[p + k])
         return out
 
-    def stretches(self) -> np.ndarray:
-        """Hash of all bytes of the strings that an anchor stands for, and of its place in them."""
-        return mix(mix(self.strings(self.first) * _C1 + self.strings(self.last)) + ((self.last - self.first) << 32 | (self.anchor - self.first)).astype(np.uint64))
+    def stretch(self, first: np.ndarray, last: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+        """Hash of all bytes of the strings that start from ``first`` to ``last``, and of their anchor's place."""
+        ends = mix(self.spell(first, WIDTH) * _C1 + self.spell(last, WIDTH))
+        return mix(ends + ((last - first) << 32 | (anchor - first)).astype(np.uint64))
+
+    def blocks(self, of: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The blocks of some anchors: index in ``of``, first and last string, and the hash of the bytes all its strings share.
+
+        Blocks are aligned with the anchor, so that equal strings stand at equal places of their blocks.
+        """
+        a, lo, hi = self.anchor[of], self.first[of], self.last[of]
+        j0, j1 = (lo - a) // BLOCK, (hi - a) // BLOCK
+        at, nth = _each(j1 - j0 + 1)
+        start = a[at] + (j0[at] + nth) * BLOCK
+        core = self.spell(start + BLOCK - 1, WIDTH - BLOCK + 1)
+        return at, np.maximum(start, lo[at]), np.minimum(start + BLOCK - 1, hi[at]), core
+
+
+def _each(many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index and running number of each of ``many`` things."""
+    at = np.repeat(np.arange(len(many)), many)
+    return at, np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -196,7 +218,7 @@ def _marked(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def repeated_spans(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES) -> DataFrame:
-    """Distinct (__id, __hash, lo, hi): byte ranges of :func:`keyed` documents that repeated strings cover."""
+    """(__id, __hash, lo, hi): byte ranges of :func:`keyed` documents that repeated strings cover."""
     spark = docs.sparkSession
     own = keyed(docs, id_col, text_col)
     family = SuffixFamily(spark, folder, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -204,37 +226,69 @@ def repeated_spans(docs: DataFrame, folder: str, id_col: str = "doc_id", text_co
         family.add(own.filter(F.pmod(F.xxhash64("__hash"), F.lit(batches)) == b))
     marks = _bitmap(family.matches().distinct(), "key")
     family.close()
+    release(spark)
 
     def locate(a, ids, hashes, offset):
         keep = np.flatnonzero(_marked(marks, a.key))
-        row, lo = a.row[keep], a.first[keep] - a.at[a.row[keep]] + offset
-        return [_signed(a.key[keep]), _signed(a.stretches()[keep]), ids[row], hashes[row], lo, lo + a.last[keep] - a.first[keep], _signed(_place(hashes[row], lo))]
+        lo, hi = a.first[keep], a.last[keep]
+        return _rows(a, a.key[keep], a.stretch(lo, hi, a.anchor[keep]), a.row[keep], lo, hi, ids, hashes, offset)
 
-    located = settle(_scan(own, locate, "key long, stretch long, __id long, __hash long, lo long, hi long, place long"), f"{folder}/located")
-    kinds = settle(located.groupBy("key", "stretch").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("one")), f"{folder}/kinds")
-    alike = located.join(kinds.filter("n > 1").select("key", "stretch"), ["key", "stretch"]).select("__id", "__hash", "lo", (F.col("hi") + WIDTH).alias("hi"))
-    # where a key has several stretches, the strings of one place of each are compared one by one
-    several = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("key")
-    looked = _bitmap(kinds.join(several, "key").select("one"), "one")
+    whole, looked = _compare(_scan(own, locate, _ROWS), f"{folder}/stretches")
 
-    def spell(a, ids, hashes, offset):
+    def cut(a, ids, hashes, offset):
         keep = np.flatnonzero(_marked(marks, a.key))
-        row, lo = a.row[keep], a.first[keep] - a.at[a.row[keep]] + offset
-        wanted = _marked(looked, _place(hashes[row], lo))
-        keep, row, lo = keep[wanted], row[wanted], lo[wanted]
-        many = a.last[keep] - a.first[keep] + 1
-        nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        at = np.repeat(a.first[keep], many) + nth
-        return [_signed(np.repeat(a.key[keep], many)), _signed(a.strings(at)), np.repeat(ids[row], many), np.repeat(hashes[row], many), np.repeat(lo, many) + nth]
+        keep = keep[_marked(looked, _place(hashes, a, a.row[keep], a.first[keep], offset))]
+        at, lo, hi, core = a.blocks(keep)
+        return keep[at], lo, hi, core
+
+    def locate_blocks(a, ids, hashes, offset):
+        at, lo, hi, core = cut(a, ids, hashes, offset)
+        return _rows(a, core, a.stretch(lo, hi, a.anchor[at]), a.row[at], lo, hi, ids, hashes, offset)
+
+    some, looked_blocks = _compare(_scan(own, locate_blocks, _ROWS), f"{folder}/blocks")
+
+    def locate_strings(a, ids, hashes, offset):
+        at, lo, hi, core = cut(a, ids, hashes, offset)
+        keep = _marked(looked_blocks, _place(hashes, a, a.row[at], lo, offset))
+        at, lo, hi, core = at[keep], lo[keep], hi[keep], core[keep]
+        of, nth = _each(hi - lo + 1)
+        p = lo[of] + nth
+        return _rows(a, core[of], a.spell(p, WIDTH), a.row[at[of]], p, p, ids, hashes, offset)
+
+    single, _ = _compare(_scan(own, locate_strings, _ROWS), f"{folder}/strings", deeper=False)
+    return whole.union(some).union(single)
 
-    strings = settle(_scan(own, spell, "key long, string long, __id long, __hash long, at long"), f"{folder}/strings")
-    twice = strings.groupBy("key", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "string")
-    singly = strings.join(twice, ["key", "string"]).select("__id", "__hash", F.col("at").alias("lo"), (F.col("at") + WIDTH).alias("hi"))
-    return alike.union(singly).distinct()
+
+_ROWS = "key long, stretch long, __id long, __hash long, lo long, hi long, place long"
+
+
+def _rows(a: Anchors, key, stretch, row, lo, hi, ids, hashes, offset) -> list:
+    base = a.at[row] - offset
+    return [_signed(key), _signed(stretch), ids[row], hashes[row], lo - base, hi - base, _signed(_place(hashes, a, row, lo, offset))]
+
+
+def _compare(rows: DataFrame, folder: str, deeper: bool = True) -> tuple[DataFrame, np.ndarray | None]:
+    """Byte ranges of rows whose (key, stretch) occurs twice, and a bitmap of one place of each stretch of mixed keys.
+
+    Counts are summed where the rows are before they are shuffled, and the join back can be split where a key is hot.
+    """
+    located = settle(rows, f"{folder}/located")
+    kinds = settle(located.groupBy("key", "stretch").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("one")), f"{folder}/kinds")
+    twice = kinds.filter("n > 1").select("key", "stretch")
+    alike = settle(located.join(twice, ["key", "stretch"]).select("__id", "__hash", "lo", (F.col("hi") + WIDTH).alias("hi")), f"{folder}/alike")
+    looked = None
+    if deeper:
+        several = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("key")
+        looked = _bitmap(kinds.join(several, "key").select("one"), "one")
+    for done in ("located", "kinds"):
+        remove(rows.sparkSession, f"{folder}/{done}")
+    release(rows.sparkSession)
+    return alike, looked
 
 
-def _place(hashes: np.ndarray, lo: np.ndarray) -> np.ndarray:
-    return mix(hashes.view(np.uint64) * _C2 + lo.astype(np.uint64))
+def _place(hashes: np.ndarray, a: Anchors, row: np.ndarray, lo: np.ndarray, offset: int) -> np.ndarray:
+    """A hash of a row and a place in its text."""
+    return mix(hashes[row].view(np.uint64) * _C2 + (lo - a.at[row] + offset).astype(np.uint64))
 
 
 def _bytes_of(batch, text_col: str):
@@ -259,8 +313,9 @@ def with_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows that share id and text are repeats of each other and get the same ranges. Texts under WIDTH bytes have none.
     """
     folder = folder or scratch(docs.sparkSession, "suffixes")
-    spans = repeated_spans(docs, folder, id_col, text_col, batches).groupBy("__id", "__hash").agg(F.collect_list(F.struct("lo", "hi")).alias("__spans"))
+    spans = repeated_spans(docs, folder, id_col, text_col, batches).groupBy("__id", "__hash").agg(F.collect_set(F.struct("lo", "hi")).alias("__spans"))
     spans = settle(spans, f"{folder}/spans")
+    release(docs.sparkSession)
     named = keyed(docs, id_col, text_col).columns[:2]
     text = F.coalesce(F.col(text_col), F.lit(""))
     hashed = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(0)), "__hash": F.xxhash64(F.col(id_col).isNull(), F.col(id_col), text)})

@@ -64,6 +64,8 @@ def test_pieces_cover_every_string_once():
     part = next(texts(pa.array([raw])))
     whole = S.Anchors(part)
     assert sorted(p for a, b in zip(whole.first, whole.last) for p in range(a, b + 1)) == list(range(len(raw) - 199))
+    at, lo, hi, _ = whole.blocks(np.arange(len(whole.key)))
+    assert sorted(p for a, b in zip(lo, hi) for p in range(a, b + 1)) == list(range(len(raw) - 199)) and (hi - lo < S.BLOCK).all()
     assert ((whole.anchor >= whole.last) & (whole.anchor + S.KEY <= whole.first + S.WIDTH)).all()
     S_PIECE, S.PIECE_BYTES = S.PIECE_BYTES, 700
     try:
