@@ -140,7 +140,7 @@ def fits(expr: str) -> str:
 
 
 def names_sql(expr: str) -> str:
-    return f"coalesce(list_filter([trim(n) for n in string_split({expr}, ',')], lambda n: length(n) > 2)[1:5], [])"
+    return f"coalesce(list_filter([trim(n) for n in string_split({expr}, ',')], lambda n: length(n) > 2), [])"
 
 
 INVESTORS = {
@@ -163,8 +163,8 @@ INVESTORS = {
     "inv_end": f"select id, case when {fits('a')} and {fits('b')} then a when {fits('strategic')} then strategic"
     " when lead1 is null and len(co0) = 0 and len(backers) > 0 then backers[1] else lead1 end as lead_investor,"
     f" case when {fits('a')} and {fits('b')} then [b] when {fits('strategic')} then []"
-    " when lead1 is null and len(co0) = 0 and len(backers) > 0 then list_sort(list_distinct(backers[2:5]))[1:5]"
-    " else list_sort(list_distinct(co0))[1:5] end as co from inv_lead",
+    " when lead1 is null and len(co0) = 0 and len(backers) > 0 then list_sort(list_distinct(backers[2:]))"
+    " else list_sort(list_distinct(co0)) end as co from inv_lead",
 }
 
 

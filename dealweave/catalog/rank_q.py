@@ -20,7 +20,7 @@ select id, source, detected_at, hype, unnest(names) as name from (select id, sou
   select *, title || ' ' || summary || ' ' || {PAYLOAD_TEXT} as blob, title || ' ' || coalesce(nullif(summary, ''), {PAYLOAD_TEXT}, '') as prose from v_signals where detected_at >= {AGO(365)}) s where source = 'sec_edgar'
   union all select id, source, detected_at, {hype_sql('blob')} as hype, list_distinct(list_concat(case when company_id is not null or source in ('Startup Feed', 'x', 'ycombinator', 'esma_mica') then [company] else [] end, {entities_sql('prose')})) as names from (
   select *, title || ' ' || summary || ' ' || {PAYLOAD_TEXT} as blob, title || ' ' || coalesce(nullif(summary, ''), {PAYLOAD_TEXT}, '') as prose from v_signals where detected_at >= {AGO(365)}) s where source <> 'sec_edgar') m"""
-STATS = f"""select name, least(count(*), 200) as signals, count(distinct source) as sources, cast(sum(hype) as bigint) as hype_hits, max(detected_at) as last_seen,
+STATS = f"""select name, count(*) as signals, count(distinct source) as sources, cast(sum(hype) as bigint) as hype_hits, max(detected_at) as last_seen,
   array_to_string(list_sort(list(distinct source)), ',') as source_list from mentioned where name not in (select name from fuzzy where score >= 0.72) group by name"""
 STAT_PARTS = {"aliases": ALIASES, "mentioned": MENTIONS, "fuzzy": brute_fuzzy("select name from mentioned"), "stats": STATS}
 SCORED = """select *, round(least(least(signals / 15e0, 1e0) * 0.45e0 + least(sources / 5e0, 1e0) * 0.25e0 + least(hype_hits / 6e0, 1e0) * 0.3e0, 1e0), 4) as score from stats"""

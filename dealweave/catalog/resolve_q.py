@@ -204,12 +204,12 @@ select id, company_id, name, round(score, 6) as score, method from (select *, ro
   union all select id, company_id, name, cast(0.88 as double), 'name_in_text', 7, 0 from (select s.id, c.company_id, c.name,
       row_number() over (partition by s.id order by length(c.name) desc, c.company_id) rn
       from v_signals s join v_companies c on regexp_matches(lower(s.title || ' ' || s.summary), '\\b' || lower(c.name) || '\\b')) t where rn = 1
-  union all select s.id, f.company_id, f.company, f.score, 'fuzzy_title', 8, 0 from v_signals s join fuzzy f on f.name = substr(s.title, 1, 120)
+  union all select s.id, f.company_id, f.company, f.score, 'fuzzy_title', 8, 0 from v_signals s join fuzzy f on f.name = s.title
     where f.score >= 0.72) u) v where rn = 1"""
 
 
 @query("resolve_company", CASCADE, aliases=ALIASES, domains=DOMAINS, hosts=HOSTS, by_domain=BY_DOMAIN, repos=REPOS,
-       fuzzy=brute_fuzzy("select company as name from v_signals union all select substr(title, 1, 120) from v_signals"))
+       fuzzy=brute_fuzzy("select company as name from v_signals union all select title from v_signals"))
 def _(t):
     from ..operators.signals import payload_hints, parse_payloads
 

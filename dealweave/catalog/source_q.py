@@ -24,7 +24,7 @@ def _(t):
 @query("scan_form_d", """
 select 'A' || o.o_orderkey as accession, 'Issuer ' || o.o_custkey as entity_name, 'Austin, TX' as headquarters, cast(cast(floor(o.o_totalprice) as bigint) as string) as total_offering_amount,
   coalesce(p.n, 0) as persons from orders o
-left join (select l_orderkey, least(count(*), 12) as n from lineitem group by l_orderkey) p on p.l_orderkey = o.o_orderkey where o.o_orderstatus <> 'P'""")
+left join (select l_orderkey, count(*) as n from lineitem group by l_orderkey) p on p.l_orderkey = o.o_orderkey where o.o_orderstatus <> 'P'""")
 def _(t):
     o = t("orders")
     acc = F.concat(F.lit("A"), F.col("o_orderkey").cast("string")).alias("ACCESSIONNUMBER")
@@ -255,8 +255,8 @@ def _(t):
 @query("scan_listing_headlines", """
 select title, page_id, href from (select *, row_number() over (partition by title order by page_id, pos) rn from (
   select page_id, unnest(generate_series(1, len(a))) as pos, unnest(a) as href, trim(regexp_replace(unnest(b), '<[^>]+>', ' ', 'g')) as title from (
-    select page_id, regexp_extract_all(html, '(?is)<a\\s[^>]*href=["'']([^"'']*/[^"'']*)["''][^>]*>(.*?)</a>', 1)[1:25] as a, regexp_extract_all(html, '(?is)<a\\s[^>]*href=["'']([^"'']*/[^"'']*)["''][^>]*>(.*?)</a>', 2)[1:25] as b from pages) p) q
-  where length(title) >= 1) r where rn = 1""")
+    select page_id, regexp_extract_all(html, '(?is)<a\\s[^>]*href=["'']([^"'']*/[^"'']*)["''][^>]*>(.*?)</a>', 1) as a, regexp_extract_all(html, '(?is)<a\\s[^>]*href=["'']([^"'']*/[^"'']*)["''][^>]*>(.*?)</a>', 2) as b from pages) p) q
+  where length(title) >= 15) r where rn = 1""")
 def _(t):
     return web.listing_headlines(t("pages"), words=[], href="/").select("title", "page_id", "href")
 

@@ -56,7 +56,6 @@ RAISED_FROM = (
     r"(?i)(?:raised|raises|secured|securing|closed|announced)\s+.+?\s+from\s+(.+?)"
     r"(?:\.|$|\s+valued|\s+at\s+\$)"
 )
-MAX_CO_INVESTORS = 5
 
 # Firm suffixes dropped from an investor name, and tier fragments.
 FIRM_SUFFIX = r"(?i)\s+(Ventures|Capital|Partners|VC|LLC|Inc\.?|LP)\.?$"
@@ -111,11 +110,11 @@ def _fits(name: Column) -> Column:
 def _names(text: Column, separator: str = ",") -> Column:
     parts = F.transform(F.split(text, separator), strip)
     parts = F.filter(parts, lambda n: F.length(n) > 2)
-    return F.coalesce(F.slice(parts, 1, 5), F.array().cast("array<string>"))
+    return F.coalesce(parts, F.array().cast("array<string>"))
 
 
 def investors(text: Column) -> Column:
-    """Struct (lead, co) where co holds at most five sorted distinct names.
+    """Struct (lead, co) where co holds sorted distinct names.
 
     All pattern hits are taken once into one struct; the rules then read its fields.
     """
@@ -147,8 +146,8 @@ def _investor_rules(p: Column) -> Column:
     co = F.when(co_only, F.concat(F.array(p["p1"]), p["roster"])).otherwise(p["roster"])
     from_list = lead.isNull() & (F.size(co) == 0) & (F.size(p["backers"]) > 0)
     lead = F.when(from_list, F.get(p["backers"], 0)).otherwise(lead)
-    co = F.when(from_list, F.slice(p["backers"], 2, 4)).otherwise(co)
-    tidy = F.slice(F.array_sort(F.array_distinct(co)), 1, MAX_CO_INVESTORS)
+    co = F.when(from_list, F.slice(p["backers"], F.lit(2), F.greatest(F.size(p["backers"]) - 1, F.lit(0)))).otherwise(co)
+    tidy = F.array_sort(F.array_distinct(co))
     return (
         F.when(_fits(p["a"]) & _fits(p["b"]), F.struct(p["a"].alias("lead"), F.array(p["b"]).alias("co")))
         .when(_fits(p["partner"]), F.struct(p["partner"].alias("lead"), empty.alias("co")))

@@ -29,7 +29,7 @@ def period_counts(signals: DataFrame, as_of, days: int = 30) -> DataFrame:
 ATTENTION_MIX = {"volume": 0.45, "diversity": 0.25, "hype": 0.30}
 RANK_MIX = {"volume": 0.30, "velocity": 0.30, "diversity": 0.15, "events": 0.15, "hype": 0.10}
 LEAST_ATTENTION, LEAST_SIGNALS, PROMOTE_BAR, TRACKED_BAR = 0.08, 2, 0.65, 0.72
-SIGNAL_IDS_KEPT, HYPE_SIGNALS = 200, 40
+HYPE_SIGNALS = 40
 
 
 def signal_names(signals: DataFrame, companies: DataFrame) -> DataFrame:
@@ -58,14 +58,13 @@ def signal_names(signals: DataFrame, companies: DataFrame) -> DataFrame:
 def mention_stats(signals: DataFrame, companies: DataFrame, as_of, days: int = 30) -> DataFrame:
     """Signals, sources, hype and last sight per name that is no tracked company.
 
-    Counts come from partial aggregates. The id list keeps the newest ids of a name, cut by a
-    group limit before the shuffle.
+    Counts come from partial aggregates and have no limit; scores saturate on their own.
     """
     rows = signal_names(signals.filter(F.col("detected_at") >= ago(as_of, days)), companies)
     tracked = resolve.fuzzy_match(rows.select("name"), companies).filter(F.col("score") >= TRACKED_BAR)
     rows = rows.join(tracked.select("name").distinct(), "name", "left_anti")
     stats = rows.groupBy("name").agg(
-        F.least(F.count("*"), F.lit(SIGNAL_IDS_KEPT)).alias("signals"),
+        F.count("*").alias("signals"),
         F.count_distinct(F.coalesce("source", F.lit("unknown"))).alias("sources"),
         F.array_join(F.array_sort(F.collect_set(F.coalesce("source", F.lit("unknown")))), ",").alias("source_list"),
         F.sum("hype").alias("hype_hits"), F.max("detected_at").alias("last_seen"),
@@ -232,10 +231,10 @@ def factor_inputs(companies, rounds, github, signals, events, snapshots, tech, t
     return rows.withColumn("as_of", F.lit(as_of))
 
 
-def revenue_hits(signals: DataFrame, most: int = 30) -> DataFrame:
-    """Pricing and release words over the first payloads of a company."""
+def revenue_hits(signals: DataFrame, most: int | None = None) -> DataFrame:
+    """Pricing and release words over the payloads of a company, or its ``most`` first."""
     s = signals.filter("company_id is not null").select("company_id", "id", "data_json")
-    rows = parse_payloads(keyed.top_n(s, ["company_id"], [F.asc("id")], most))
+    rows = parse_payloads(s if most is None else keyed.top_n(s, ["company_id"], [F.asc("id")], most))
     text = F.when(F.col("strict"), F.lower(payload_blob("title", "description", "text")))
     price, release = contains_any(text, PRICING_WORDS), contains_any(text, RELEASE_WORDS)
     return rows.groupBy("company_id").agg(

@@ -18,7 +18,7 @@ from ..functions.text import alias_key, base_domain, capture, filled, link_host,
 WEBSITE_SCORE, SLUG_SCORE, REPO_SCORE = 0.95, 0.75, 0.92
 TITLE_ALIAS_SCORE, NAME_IN_TEXT_SCORE = 0.9, 0.88
 ACCEPT, EDIT_BAR, TITLE_BAR = 0.6, 0.75, 0.72
-MIN_NAME, MIN_TITLE, TITLE_CUT = 4, 8, 120
+MIN_NAME, MIN_TITLE = 4, 8
 SLUG_SUFFIXES = [".com", ".io", ".ai"]
 
 
@@ -440,7 +440,7 @@ def resolve_company(payloads: DataFrame, companies: DataFrame, sizes: list[int]
         F.struct(F.lit(methods["channel"]).alias("rank"), F.lit(0).alias("ord"), F.col("channel").alias("name")),
         F.struct(
             F.lit(methods["fuzzy_title"]).alias("rank"), F.lit(0).alias("ord"),
-            F.when(F.length(title) > MIN_TITLE, F.substring(title, 1, TITLE_CUT)).alias("name"),
+            F.when(F.length(title) > MIN_TITLE, title).alias("name"),
         ),
     )
     listed = F.transform(

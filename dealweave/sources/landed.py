@@ -21,7 +21,7 @@ STAGED_SCHEMA = "source string, url string, company_id bigint, detected_at strin
 FILING_LINK = "https://www.sec.gov/cgi-bin/browse-edgar?action=getcompany&CIK={}&type=D&dateb=&owner=exclude&count=40"
 DIRECTORY_LINK = "https://www.ycombinator.com/companies/"
 THREAD_LINK = "https://news.ycombinator.com/item?id="
-PERSONS_KEPT, ENTRIES_KEPT, FEED_DAYS, SUMMARY_CUT = 12, 25, 30, 1200
+FEED_DAYS = 30
 FILING_FORMS = ["D", "D/A"]
 
 
@@ -48,11 +48,10 @@ def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("sep", "\t").option("header", True).option("inferSchema", False).csv(path)
 
 
-def form_d(issuers: DataFrame, offerings: DataFrame, persons: DataFrame) -> DataFrame:
+def form_d(issuers: DataFrame, offerings: DataFrame, persons: DataFrame, most_persons: int | None = None) -> DataFrame:
     """One row per primary issuer with its offering and first related persons.
 
-    ``persons`` carries a ``line`` column with the file order; a hot filing is cut to the first
-    persons per input partition before the shuffle.
+    ``persons`` carries a ``line`` column with the file order. ``most_persons`` keeps the first of each filing.
     """
     acc = F.trim("ACCESSIONNUMBER")
     base = issuers.filter(F.upper("IS_PRIMARYISSUER_FLAG") == "YES").select(
@@ -63,9 +62,9 @@ def form_d(issuers: DataFrame, offerings: DataFrame, persons: DataFrame) -> Data
     offers = offerings.groupBy(acc.alias("accession")).agg(
         F.max_by(F.struct(F.trim("TOTALOFFERINGAMOUNT").alias("total_offering_amount"), F.trim("TOTALAMOUNTSOLD").alias("total_amount_sold")), "line").alias("o")
     ).filter("accession <> ''").select("accession", "o.*")
-    first = keyed.top_n(
-        persons.withColumn("accession", acc).filter("accession <> ''"), ["accession"], [F.asc("line")], PERSONS_KEPT, rank="n"
-    )
+    first = persons.withColumn("accession", acc).filter("accession <> ''").withColumn("n", F.col("line"))
+    if most_persons is not None:
+        first = keyed.top_n(first, ["accession"], [F.asc("line")], most_persons)
     some = F.coalesce(filled(F.col("FIRSTNAME")), filled(F.col("LASTNAME"))).isNotNull()
     name = F.trim(F.concat(F.coalesce("FIRSTNAME", F.lit("")), F.lit(" "), F.coalesce("LASTNAME", F.lit(""))))
     people = first.filter(some).groupBy("accession").agg(
@@ -140,14 +139,15 @@ def read_feed(spark: SparkSession, path: str, feed: str, category: str) -> DataF
     )
 
 
-def feed_entries(items: DataFrame, companies: DataFrame, as_of) -> DataFrame:
-    """First entries per feed within the window, with mentions and the high-signal flag.
+def feed_entries(items: DataFrame, companies: DataFrame, as_of, days: int | None = FEED_DAYS, per_feed: int | None = None) -> DataFrame:
+    """Entries of the last ``days`` (None: all), with mentions and the high-signal flag; ``per_feed`` keeps a feed's first.
 
     Items: feed, category, position, title, link, summary, published.
     """
-    rows = keyed.top_n(items, ["feed"], [F.asc("position")], ENTRIES_KEPT)
+    rows = items if per_feed is None else keyed.top_n(items, ["feed"], [F.asc("position")], per_feed)
     rows = rows.withColumn("published", F.coalesce("published", F.lit(as_of)))
-    rows = rows.filter(F.col("published") >= F.lit(as_of) - F.expr(f"interval {FEED_DAYS} days"))
+    if days is not None:
+        rows = rows.filter(F.col("published") >= F.lit(as_of) - F.expr(f"interval {days} days"))
     body = F.concat_ws(" ", filled(F.col("title")), filled(F.col("summary")))
     rows = rows.withColumn("body", body).withColumn("id", F.xxhash64("feed", "position"))
     rows = rows.withColumn("high_signal", high_signal(F.col("body"), F.col("category")))
@@ -156,9 +156,7 @@ def feed_entries(items: DataFrame, companies: DataFrame, as_of) -> DataFrame:
     none = F.array().cast("array<string>")
     found = F.when(F.col("high_signal"), entities.headline_entities(F.col("body"))).otherwise(none)
     out = rows.join(named, "id", "left")
-    return out.withColumn("mentions", F.array_distinct(F.concat(F.coalesce("__m", none), found))).withColumn(
-        "summary", F.substring("body", 1, SUMMARY_CUT)
-    ).drop("__m", "body", "id")
+    return out.withColumn("mentions", F.array_distinct(F.concat(F.coalesce("__m", none), found))).withColumn("summary", F.col("body")).drop("__m", "body", "id")
 
 
 def hn_stories(items: DataFrame) -> DataFrame:
@@ -172,7 +170,7 @@ def hn_stories(items: DataFrame) -> DataFrame:
     page = F.concat(F.lit(THREAD_LINK), F.col("id").cast("string"))
     rows = stories.join(threads, "id", "left")
     return rows.select(
-        "id", "title", F.substring(strip_tags(F.col("text")), 1, 1500).alias("text"), F.coalesce(filled(F.col("url")), page).alias("url"),
+        "id", "title", strip_tags(F.col("text")).alias("text"), F.coalesce(filled(F.col("url")), page).alias("url"),
         page.alias("discussion_url"), social.story_type(F.col("title")).alias("story_type"),
         F.coalesce("comments", F.array().cast("array<string>")).alias("comments"),
         entities.headline_entities(F.concat_ws(" ", "title", "text")).alias("provisional_entities"),
