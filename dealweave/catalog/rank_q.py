@@ -8,7 +8,7 @@ from ..functions import classify
 from ..operators import alerts, brief, quality, queries, ranking, repair, search
 from .extract_q import amount_sql, classify_ctes, entities_sql, hype_sql
 from .registry import NOW_SQL, query
-from .resolve_q import ALIASES, brute_fuzzy
+from .resolve_q import ALIASES, CASCADE, CASCADE_PARTS, brute_fuzzy
 
 AGO = lambda days: f"{NOW_SQL} - interval {days} day"
 
@@ -141,12 +141,19 @@ def _(t):
     return repair.relabel_minimal(t("v_events"), t("v_signals"), 60).select("id", "event_type")
 
 
-@query("relink_orphans")
+# Orphan events, resolved through their signals; the actionable ones hold a company's name in their text.
+RELINKED = """select e.id, c.company_id, lower(concat_ws(' ', e.description, s.title, s.summary)) as low from v_events e join cascade c on c.id = e.raw_signal_id
+  join v_signals s on s.id = e.raw_signal_id where e.company_id is null"""
+RELINK_PARTS = CASCADE_PARTS | {"cascade": CASCADE, "relinked": RELINKED}
+
+
+@query("relink_orphans", "select id, company_id from relinked", **RELINK_PARTS)
 def _(t):
     return repair.relink_orphans(t("v_events"), t("v_signals"), t("v_companies"))
 
 
-@query("relink_actionable")
+@query("relink_actionable", """
+select id, company_id from relinked where exists (select 1 from v_companies n where length(n.name) >= 4 and contains(low, lower(n.name)))""", **RELINK_PARTS)
 def _(t):
     return repair.relink_orphans(t("v_events"), t("v_signals"), t("v_companies"), actionable=True)
 

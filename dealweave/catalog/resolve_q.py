@@ -208,8 +208,13 @@ select id, company_id, name, round(score, 6) as score, method from (select *, ro
     where f.score >= 0.72) u) v where rn = 1"""
 
 
-@query("resolve_company", CASCADE, aliases=ALIASES, domains=DOMAINS, hosts=HOSTS, by_domain=BY_DOMAIN, repos=REPOS,
-       fuzzy=brute_fuzzy("select company as name from v_signals union all select title from v_signals"))
+CASCADE_PARTS = {
+    "aliases": ALIASES, "domains": DOMAINS, "hosts": HOSTS, "by_domain": BY_DOMAIN, "repos": REPOS,
+    "fuzzy": brute_fuzzy("select company as name from v_signals union all select title from v_signals"),
+}
+
+
+@query("resolve_company", CASCADE, **CASCADE_PARTS)
 def _(t):
     from ..operators.signals import payload_hints, parse_payloads
 

@@ -241,7 +241,16 @@ def _(t):
     return web.website_changes(snapshots(t), "host", "page_id").select("page_id", "host", "content_changed", "title_changed", "title_from")
 
 
-@query("page_profile_fields")
+PLAIN_PAGE = "trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', ' ', 'g'), '(?is)<style[^>]*>.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g'))"
+
+
+@query("page_profile_fields", r"""
+select page_id, try_cast(nullif(regexp_extract(txt, '(?i)(\d+)\+?\s*(?:employees?|team members?|people)', 1), '') as int) as team_size,
+  try_cast(nullif(regexp_extract(txt, '(?i)founded\s+(?:in\s+)?(\d{4})', 1), '') as int) as founded_year,
+  cast(len(regexp_extract_all(html, '(?i)<a[^>]*href=["''][^"'']*(?:job|career|position)')) as int) as hiring_count,
+  case when contains(low, 'api') then 'API' when regexp_matches(low, 'enterprise|contact sales') then 'Enterprise SaaS'
+    when regexp_matches(low, '/mo|monthly|per month|plan') then 'SaaS' when regexp_matches(low, 'open source|github') then 'Open Source' end as business_model
+from (select *, lower(txt) as low from plain_pages) p""", plain_pages=f"select page_id, html, {PLAIN_PAGE} as txt from pages")
 def _(t):
     return t("pages").withColumn("f", web.page_fields(F.col("html"))).select("page_id", "f.*")
 
