@@ -10,21 +10,26 @@ stay. An article's block goes only if it is covered by what more than half of th
 from __future__ import annotations
 
 import html as entities
+import itertools
 import re
+from collections import defaultdict
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import scratch, settle, texts
+
 LEAST_TOKENS = 8
 LEAST_PAGES = 3  # distinct pages that make a string in open text boilerplate
 MOST_SHARE = 0.5  # share of a shard's distinct pages beyond which an article's block is boilerplate
 SHARE_PAGES = 8  # distinct pages that such a share needs
 #: Bytes of html in one shard of a host: a host of more is split by a hash of the page, and each shard finds its own repeats.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
+#: Html parsed at a time.
+PARSE_BYTES = 2 << 20
 MAIN, OPEN, CHROME = 0, 1, 2
 
 # Element names of the HTML standard.
@@ -171,21 +176,24 @@ def covered(tokens: np.ndarray, page: np.ndarray, content: np.ndarray, least_pag
     return np.cumsum(edge[:-1]) > 0
 
 
-def shard_texts(kinds: list[np.ndarray], texts: list[list[str]]) -> list[str]:
+def shard_texts(kinds: list[np.ndarray], pages: list[list[str]]) -> list[str]:
     """The main text of each page of one shard of a host."""
-    words = [[t.split(" ") for t in own] for own in texts]
-    sizes = [[len(w) for w in own] for own in words]
-    count = np.array([sum(s) for s in sizes], np.int64)
-    flat = pd.Series([w for own in words for block in own for w in block], dtype=object)
-    tokens = pd.factorize(flat)[0].astype(np.int64) if len(flat) else np.zeros(0, np.int64)
-    page = np.repeat(np.arange(len(texts)), count)
-    content = np.unique(["\n".join(own) for own in texts], return_inverse=True)[1]
-    distinct = len(set(content.tolist()))
+    number: dict[str, int] = defaultdict(itertools.count().__next__)
+    streams, sizes = [], []
+    for own in pages:
+        numbered = [np.fromiter(map(number.__getitem__, t.split(" ")), np.int32) for t in own]
+        sizes.append([len(n) for n in numbered])
+        streams += numbered
+    tokens = np.concatenate(streams).astype(np.int64) if streams else np.zeros(0, np.int64)
+    page = np.repeat(np.arange(len(pages)), [sum(s) for s in sizes])
+    same: dict[tuple, int] = defaultdict(itertools.count().__next__)
+    content = np.array([same[tuple(own)] for own in pages], np.int64)
+    distinct = len(same)
     open_pages = np.array([bool((k == OPEN).any()) for k in kinds])
     few = covered(tokens, page, content[page], LEAST_PAGES) if open_pages.any() else np.zeros(len(tokens), bool)
     many = covered(tokens, page, content[page], int(distinct * MOST_SHARE) + 1) if distinct >= SHARE_PAGES else np.zeros(len(tokens), bool)
     out, at = [], 0
-    for own, kind, size in zip(words, kinds, sizes):
+    for own, kind, size in zip(pages, kinds, sizes):
         kept, gone, main = [], 0, sum(s for s, k in zip(size, kind) if k == MAIN)
         for block, k, n in zip(own, kind, size):
             here = slice(at, at + n)
@@ -193,9 +201,9 @@ def shard_texts(kinds: list[np.ndarray], texts: list[list[str]]) -> list[str]:
             if k == MAIN:
                 bad = bool(many[here].all())
                 gone += n if bad else 0
-                kept.append((" ".join(block), bad))
+                kept.append((block, bad))
             elif k == OPEN:
-                run = " ".join(w for w, c in zip(block, few[here]) if not c)
+                run = " ".join(w for w, c in zip(block.split(" "), few[here]) if not c)
                 if run:
                     kept.append((run, False))
         # an article that would lose more than half is a near copy of others, not boilerplate
@@ -214,16 +222,18 @@ def extract(pages: DataFrame, html_col: str = "html", url_col: str = "url", shar
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     own = pages.select(*rest, F.col(html_col), host.alias("__host"))
     size = F.sum(F.coalesce(F.octet_length(html_col), F.lit(0)).cast("long") + 1)
-    shards = own.groupBy("__host").agg(F.ceil(size / shard_bytes).cast("int").alias("__shards"))
+    # written first, so that Spark knows how small the table of hosts is and need not deal pages by host to join it
+    shards = settle(own.groupBy("__host").agg(F.ceil(size / shard_bytes).cast("int").alias("__shards")), scratch(pages.sparkSession, "hosts"))
     fields = [own.schema[c] for c in rest]
     parsed_schema = T.StructType([*fields, own.schema["__host"], T.StructField("__kinds", T.ArrayType(T.IntegerType())), T.StructField("__blocks", T.ArrayType(T.StringType()))])
 
     def parse(batches):
         for batch in batches:
-            got = [blocks(h) for h in batch.column(batch.schema.get_field_index(html_col)).to_pylist()]
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in [*rest, "__host"]]
-            added = [pa.array([[k for k, _ in b] for b in got], pa.list_(pa.int32())), pa.array([[t for _, t in b] for b in got], pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*columns, *added], names=[*rest, "__host", "__kinds", "__blocks"])
+            for part in texts(batch.column(batch.schema.get_field_index(html_col)), PARSE_BYTES):
+                got = [blocks(part.row(i).decode()) for i in range(len(part))]
+                columns = [batch.column(batch.schema.get_field_index(c)).slice(part.first, len(part)) for c in [*rest, "__host"]]
+                added = [pa.array([[k for k, _ in b] for b in got], pa.list_(pa.int32())), pa.array([[t for _, t in b] for b in got], pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays([*columns, *added], names=[*rest, "__host", "__kinds", "__blocks"])
 
     def run(table: pa.Table) -> pa.Table:
         kinds = [np.array(k, np.int64) for k in table.column("__kinds").to_pylist()]
@@ -232,7 +242,8 @@ def extract(pages: DataFrame, html_col: str = "html", url_col: str = "url", shar
 
     parsed = own.mapInArrow(parse, parsed_schema).join(shards, "__host")
     dealt = parsed.withColumn("__shard", F.pmod(F.xxhash64("__blocks", *[c for c in rest if c in ("page_id", url_col)]), F.col("__shards")))
-    return dealt.drop("__shards").groupBy("__host", "__shard").applyInArrow(run, T.StructType([*fields, T.StructField("text", T.StringType())]))
+    # dealt by host and shard even where the join has dealt by host: a hot host must not meet in one task
+    return dealt.drop("__shards").repartition("__host", "__shard").groupBy("__host", "__shard").applyInArrow(run, T.StructType([*fields, T.StructField("text", T.StringType())]))
 
 
 def op3(pages: DataFrame) -> DataFrame:
