@@ -161,17 +161,30 @@ def _(t):
 # -- quality ------------------------------------------------------------------------------------
 
 
-@query("quality_metrics", """
+METRICS = """
 select (select count(*) from v_signals s where not exists (select 1 from v_events e where e.raw_signal_id = s.id)) as orphans, (select count(*) from v_signals where not processed) as unprocessed,
   round(100e0 * count(*) filter (where company_id is null) / count(*), 1) as null_company_pct, round(100e0 * count(*) filter (where event_type = 'General News') / count(*), 1) as general_news_pct,
   (select count(*) from (select 1 from v_events group by raw_signal_id having count(*) > 1) d) as dup_raw_signal_id,
   round(100e0 * count(*) filter (where event_type like '%Funding%' and coalesce(amount_usd, 0) = 0 and m) / count(*) filter (where event_type like '%Funding%' and m), 1) as pct_funding_no_amount
-from (select *, regexp_matches(lower(description), 'million|billion|raised|\\$|series ') as m from v_events) e""")
+from (select *, regexp_matches(lower(description), 'million|billion|raised|\\$|series ') as m from v_events) e"""
+
+
+@query("quality_metrics", METRICS)
 def _(t):
     return quality.quality_metrics(t("v_signals"), t("v_events"), t("v_companies")).drop("actionable_null_pct")
 
 
-@query("quality_gate")
+# How many orphan events name a company, and how many of these the cascade can link.
+ACTIONABLE = """select count(*) as actionable, count(*) filter (where id in (select id from cascade)) as missed from (
+  select e.raw_signal_id as id from v_events e join v_signals s on s.id = e.raw_signal_id where e.company_id is null and exists (
+    select 1 from v_companies n where length(n.name) >= 4 and contains(lower(concat_ws(' ', e.description, s.title, s.summary, s.url)), lower(n.name)))) x"""
+FAILED = ", ".join(
+    f"case when {n} > {most} then '{n}=' || {n} end"
+    for n, most in (("orphans", 0), ("unprocessed", 0), ("null_company_pct", 40), ("actionable_null_pct", 5), ("general_news_pct", 65), ("dup_raw_signal_id", 0), ("pct_funding_no_amount", 25)))
+
+
+@query("quality_gate", f"select failed, failed = '' as passed from (select concat_ws(', ', {FAILED}) as failed from (select m.*, round(100e0 * a.missed / a.actionable, 1) as actionable_null_pct from metrics m, actionable a) x) y",
+       **CASCADE_PARTS, cascade=CASCADE, metrics=METRICS, actionable=ACTIONABLE)
 def _(t):
     gate = quality.quality_gate(quality.quality_metrics(t("v_signals"), t("v_events"), t("v_companies")))
     return gate.select(F.array_join("failed", ", ").alias("failed"), "passed")
