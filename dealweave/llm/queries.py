@@ -24,7 +24,28 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
-@query("op1_decontamination")
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op1_decontamination",
+    f"""
+    with i as (select cast(item_id as varchar) as item, {_WORDS} as w from benchmark),
+    iw as (
+        select distinct item, n, array_to_string(w[p:p + n - 1], ' ') as k
+        from (select item, w, least(10, len(w)) as n, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) as p from i where len(w) > 0) x
+    ), d as (select row_number() over () as r, doc_id, {_WORDS} as w from documents),
+    dw as (
+        select r, n, p, array_to_string(w[p:p + n - 1], ' ') as k
+        from (select r, w, n, unnest(generate_series(1, len(w) - n + 1)) as p from d, (select distinct n from iw) y where len(w) >= n) x
+    ), hits as (select r, p, n, item from dw join iw using (n, k)),
+    words as (select r, count(distinct q) as n_hit from (select r, unnest(generate_series(p, p + n - 1)) as q from hits) x group by r),
+    items as (select r, list_sort(list_filter(list(distinct item), lambda x: x is not null)) as own from hits group by r)
+    select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(len(own), 0) as n_items, sha256(coalesce(array_to_string(own, ','), '')) as items_sha256,
+        coalesce(n_hit, 0) > 0 as contaminated
+    from d left join words using (r) left join items using (r)
+    """,
+)
 def op1(spark, sf_dir):
     return decontamination.op1(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
