@@ -222,9 +222,16 @@ def _(t):
     return claims.team_claims(claims.event_texts(t("v_events"), t("v_signals"))).select("id", "company_id", "name", "role")
 
 
-@query("product_claims")
+PRODUCT_NAMES = r"""select distinct id, company_id, trim(trim(unnest(regexp_extract_all(text, '(?i)(?:launches?|unveils?|introduces?|releases?)\s+["'']?([A-Z][\w\s\-]{2,48})["'']?', 1))), '"''') as name
+  from (select t.*, e.event_type, lower(e.source) as source from team_texts t join v_events e on e.id = t.id) p
+  where length(text) >= 20 and (source = 'producthunt' or regexp_matches(lower(event_type), 'product|launch|feature'))"""
+
+
+@query("product_claims", r"select id, company_id, name, lower(regexp_replace(name, '\s+', ' ', 'g')) as name_normalized from product_names where length(name) between 3 and 60",
+       team_texts=TEAM_TEXTS, product_names=PRODUCT_NAMES)
 def _(t):
-    return claims.with_tier(claims.product_claims(claims.event_texts(t("v_events"), t("v_signals"))), t("v_companies"))
+    out = claims.with_tier(claims.product_claims(claims.event_texts(t("v_events"), t("v_signals"))), t("v_companies"))
+    return out.select("id", "company_id", "name", "name_normalized")
 
 
 @query("license_claims", """
