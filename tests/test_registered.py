@@ -44,4 +44,3 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_every_oracle_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert all("opN_" not in n and "pipeline" not in n for n in entry.queries())
