@@ -18,7 +18,13 @@ from ..session import shared_folder
 SLICE_BYTES = 1 << 20
 
 
+#: Largest Arrow batch handed to Python workers, whatever a session asks for: texts vary in length, so rows bound nothing.
+BATCH_BYTES = "8m"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; operators on it get batches of bounded size."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

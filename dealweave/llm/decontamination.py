@@ -113,15 +113,17 @@ def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "
 _SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
-def scan(docs: DataFrame, items: list, text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def scan(docs: DataFrame, items: list, text_col: str = "text", window: int = WINDOW, drop_share: float | None = None) -> DataFrame:
     """``docs`` with n_words, n_hit, hit_items (sorted) and hit_spans: [start, end) in bytes, from one block of items.
 
     Columns of those names in ``docs`` are replaced. A null or wordless text has no words and no hits; rows keep no state, so
-    repeated rows give repeated results.
+    repeated rows give repeated results. With ``drop_share`` the same pass cuts the spans out of the text and drops the rows
+    with at least that share of their words hit; the columns are then those of ``docs``.
     """
     windows = Windows(items, window)
     docs = docs.drop(*ADDED)
-    schema = T.StructType([*docs.schema, T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("hit_items", T.ArrayType(T.StringType())), T.StructField("hit_spans", _SPAN)])
+    added = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("hit_items", T.ArrayType(T.StringType())), T.StructField("hit_spans", _SPAN)]
+    schema = docs.schema if drop_share is not None else T.StructType([*docs.schema, *added])
 
     def run(batches):
         for batch in batches:
@@ -140,6 +142,10 @@ def scan(docs: DataFrame, items: list, text_col: str = "text", window: int = WIN
                 spans += own
                 names += [sorted(found.get(i, ())) for i in range(len(part))]
             whole = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
+            if drop_share is not None:
+                hit, words = whole(n_hit), whole(n_words)
+                yield _cut(batch, text_col, spans).filter(pa.array((hit == 0) | (hit < drop_share * words)))
+                continue
             added = [pa.array(whole(n_words), pa.int64()), pa.array(whole(n_hit), pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, *ADDED])
 
@@ -201,6 +207,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "spans",
     if clash:
         plain = decontaminate(docs.withColumnsRenamed({c: f"__own_{c}" for c in clash}), benchmark, action, text_col, drop_share)
         return plain.withColumnsRenamed({f"__own_{c}": c for c in clash})
+    blocks = item_blocks(benchmark)
+    first = next(blocks)
+    if action == "spans" and next(blocks, None) is None:
+        return _counted(scan(docs, first, text_col, drop_share=drop_share), docs, text_col)
     found = match(docs, benchmark, text_col)
     if action == "documents":
         return found.filter("n_hit = 0").select(*docs.columns)
@@ -208,20 +218,26 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "spans",
 
     def run(batches):
         for batch in batches:
-            field = batch.schema.get_field_index
-            texts_now = []
-            for t, own in zip(batch.column(field(text_col)).to_pylist(), batch.column(field("hit_spans")).to_pylist()):
-                if own:
-                    raw = t.encode()
-                    ends = [0, *(s["end"] for s in own)]
-                    starts = [*(s["start"] for s in own), len(raw)]
-                    t = b"".join(raw[a:b] for a, b in zip(ends, starts)).decode()
-                texts_now.append(t)
-            columns = list(batch.columns)
-            columns[field(text_col)] = pa.array(texts_now, columns[field(text_col)].type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            yield _cut(batch, text_col, batch.column(batch.schema.get_field_index("hit_spans")).to_pylist())
+
+    return _counted(kept.mapInArrow(run, kept.schema).select(*docs.columns), docs, text_col)
+
+
+def _cut(batch: pa.RecordBatch, text_col: str, spans: list) -> pa.RecordBatch:
+    """The batch with the spans cut out of its texts."""
+    at = batch.schema.get_field_index(text_col)
+    column = batch.column(at)
+    now = column.to_pylist()
+    for i, own in enumerate(spans):
+        if own:
+            raw = now[i].encode()
+            ends = [0, *(s["end"] for s in own)]
+            starts = [*(s["start"] for s in own), len(raw)]
+            now[i] = b"".join(raw[a:b] for a, b in zip(ends, starts)).decode()
+    return pa.RecordBatch.from_arrays([pa.array(now, column.type) if k == at else c for k, c in enumerate(batch.columns)], names=batch.schema.names)
+
 
-    cut = kept.mapInArrow(run, kept.schema).select(*docs.columns)
+def _counted(cut: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     return cut.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
 
 
