@@ -72,13 +72,6 @@ def mention_stats(signals: DataFrame, companies: DataFrame, as_of, days: int = 3
     return stats
 
 
-def newest_ids(rows: DataFrame, most: int = 50) -> DataFrame:
-    first = keyed.top_n(rows, ["name"], [F.desc("detected_at"), F.desc("id")], most, rank="n")
-    return first.groupBy("name").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("n", "id"))), lambda x: x["id"]).alias("signal_ids")
-    )
-
-
 def attention_score(stats: DataFrame) -> DataFrame:
     volume = F.least(F.col("signals") / 15.0, F.lit(1.0))
     diversity = F.least(F.col("sources") / 5.0, F.lit(1.0))
