@@ -26,7 +26,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)  # piece types of the format
 UNKNOWN_PENALTY = 10.0
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 100_000  # of either age
+SLICE_BYTES = 1 << 18  # text solved at once
+LONG_CHUNK = 64  # characters; longer chunks are solved one by one
 
 
 def _fields(raw: bytes):
@@ -70,7 +72,7 @@ class DoubleArray:
     @classmethod
     def of(cls, keys: dict[bytes, int]) -> DoubleArray:
         names = sorted(keys)
-        size = 4096 + 8 * sum(map(len, names))
+        size = 4096 + 3 * sum(map(len, names))
         base, check, value = [0] * size, [-1] * size, [-1] * size
         check[0] = 0
         # states with one child fill holes from below; the others go near the end, where room is found at once
@@ -191,6 +193,67 @@ class Model:
             at = came[at]
         return tuple(path[::-1])
 
+    def best_of(self, chunks: list[str]) -> list[tuple[int, ...]]:
+        """As :meth:`best` for many chunks at once: all walk the trie side by side, and all paths grow a byte at a time."""
+        if not chunks:
+            return []
+        data = np.frombuffer("".join(chunks).encode(), np.uint8).astype(np.int64)
+        sizes = np.array([len(c.encode()) for c in chunks], np.int64)
+        first = np.cumsum(sizes) - sizes
+        stop = np.repeat(first + sizes, sizes)  # where each byte's chunk ends
+        place = np.arange(len(data)) - np.repeat(first, sizes)  # in its chunk
+        heads = np.flatnonzero((data & 0xC0) != 0x80)
+        width = _width_at(data, heads)
+        starts, ends, pieces = [], [], []
+        at, state, depth = heads, np.zeros(len(heads), np.int64), 0
+        base, check, value = self.trie.base, self.trie.check, self.trie.value
+        while len(at):
+            at, state = at[at + depth < stop[at]], state[at + depth < stop[at]]
+            to = base[state] + data[at + depth]
+            ok = (check[to] == state) & (to != 0)
+            at, state = at[ok], to[ok]
+            depth += 1
+            hit = value[state] >= 0
+            starts.append(at[hit])
+            ends.append(at[hit] + depth)
+            pieces.append(value[state[hit]].astype(np.int64))
+        start, end, piece = (np.concatenate(x) for x in (starts, ends, pieces))
+        alone = np.zeros(len(data) + 1, bool)  # a character that is a piece by itself
+        alone[start[end - start == _width_at(data, start)]] = True
+        lost = heads[~alone[heads]]
+        start, end, piece = np.r_[start, lost], np.r_[end, lost + width[~alone[heads]]], np.r_[piece, np.full(len(lost), -1)]
+        weight = np.where(piece >= 0, np.array(self.weights)[piece], self.least)
+        # scores stand at the byte before an end, so that neighbouring chunks do not share a place
+        score, came, by = np.full(len(data), -np.inf), np.zeros(len(data), np.int64), np.full(len(data), -1)
+        # by place; arcs of one chunk that leave one place end in different ones, so their order is free
+        order = np.argsort(place[start].astype(np.uint16), kind="stable")
+        start, end, piece, weight = start[order], end[order], piece[order], weight[order]
+        turns = np.searchsorted(place[start], np.arange(int(sizes.max()) + 1))
+        for lo, hi in zip(turns, turns[1:]):
+            if lo < hi:  # all arcs that leave this place of any chunk; they end in different places
+                a, b = start[lo:hi], end[lo:hi] - 1
+                got = weight[lo:hi] if place[a[0]] == 0 else score[a - 1] + weight[lo:hi]
+                better = got > score[b]
+                b = b[better]
+                score[b], came[b], by[b] = got[better], a[better], piece[lo:hi][better]
+        # all paths are walked back at once, a piece at a time; chunks whose path has a lost character are done again alone
+        at, live, back = first + sizes, np.arange(len(chunks)), []
+        count, whole = np.zeros(len(chunks), np.int64), np.ones(len(chunks), bool)
+        while len(live):
+            own = by[at - 1]
+            back.append((live, own))
+            count[live] += 1
+            whole[live[own < 0]] = False
+            at = came[at - 1]
+            on = at > first[live]
+            at, live = at[on], live[on]
+        stops = np.cumsum(count)
+        flat = np.zeros(int(stops[-1]), np.int64)
+        for k, (live, own) in enumerate(back):
+            flat[stops[live] - 1 - k] = own
+        flat = flat.tolist()
+        return [tuple(flat[a:b]) if ok else self.best(c) for a, b, ok, c in zip((stops - count).tolist(), stops.tolist(), whole.tolist(), chunks)]
+
     @functools.cached_property
     def _lists(self):
         return self.trie.base.tolist(), self.trie.check.tolist(), self.trie.value.tolist()
@@ -199,8 +262,16 @@ class Model:
     def cache(self) -> _Cache:
         return _Cache(self)
 
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; the chunks that are new to the cache are solved together, but for very long ones."""
+        lists = [self.chunks.findall(self.normalised(t)) for t in texts]
+        self.cache.provide(set(itertools.chain.from_iterable(lists)))
+        return [self._ids(chunks) for chunks in lists]
+
     def encode(self, text: str) -> np.ndarray:
-        chunks = self.chunks.findall(self.normalised(text))
+        return self._ids(self.chunks.findall(self.normalised(text)))
+
+    def _ids(self, chunks: list[str]) -> np.ndarray:
         ids = np.fromiter(itertools.chain.from_iterable(map(self.cache.__getitem__, chunks)), np.int32)
         if not self.bytes_at and len(ids):  # neighbouring unknowns are one
             ids = ids[np.r_[True, (ids[1:] != self.unknown) | (ids[:-1] != self.unknown)]]
@@ -214,16 +285,31 @@ class Model:
         return raw.decode("utf-8", "replace")
 
 
+def _width_at(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Bytes of the character that begins at each place."""
+    b = data[at]
+    return 1 + (b >= 0xC0).astype(np.int64) + (b >= 0xE0) + (b >= 0xF0)
+
+
 class _Cache(dict):
-    """chunk -> ids; emptied when full."""
+    """chunk -> ids of the newer chunks; what is older is kept until as many are newer, or used again."""
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model = model
+        self.model, self.older = model, {}
 
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
-        if len(self) >= CACHE_ENTRIES:
+    def provide(self, chunks: set[str]) -> None:
+        """Make room for ``chunks`` and solve those that are not known."""
+        fresh = chunks - self.keys()
+        if len(self) + len(fresh) > CACHE_ENTRIES:
+            self.older, fresh = dict(self), chunks
             self.clear()
+        for c in fresh & self.older.keys():
+            self[c] = self.older[c]
+        new = [c for c in fresh if c not in self and len(c) <= LONG_CHUNK]
+        self.update(zip(new, self.model.best_of(new)))
+
+    def __missing__(self, chunk: str) -> tuple[int, ...]:
         ids = self[chunk] = self.model.best(chunk)
         return ids
 
@@ -247,8 +333,8 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str =
     def run(batches):
         own = _model(model)
         for batch in batches:
-            for part in texts(batch.column(batch.schema.get_field_index(text_col))):
-                ids = [None if part.null[i] else own.encode(part.row(i).decode()) for i in range(len(part))]
+            for part in texts(batch.column(batch.schema.get_field_index(text_col)), SLICE_BYTES):
+                ids = [None if none else got for none, got in zip(part.null, own.encode_all([part.row(i).decode() for i in range(len(part))]))]
                 yield pa.RecordBatch.from_arrays([*(c.slice(part.first, len(part)) for c in batch.columns), pa.array(ids, pa.list_(pa.int32()))], names=[*batch.schema.names, ids_col])
 
     return docs.mapInArrow(run, schema)
@@ -283,13 +369,12 @@ def op5(docs: DataFrame, path: str = MODEL) -> DataFrame:
         is_byte = np.array([k == BYTE for k in own.kinds])
         for batch in batches:
             doc_id, column = batch.column(0), batch.column(1)
-            for part in texts(column):
+            for part in texts(column, SLICE_BYTES):
                 ids, same = [], []
-                for i in range(len(part)):
-                    text = part.row(i).decode()
-                    got = own.encode(text)
-                    same.append(bool(part.null[i]) or own.decode(got.tolist()) == text)
-                    ids.append(None if part.null[i] else got)
+                text = [part.row(i).decode() for i in range(len(part))]
+                for none, t, got in zip(part.null, text, own.encode_all(text)):
+                    same.append(bool(none) or own.decode(got.tolist()) == t)
+                    ids.append(None if none else got)
                 sizes = [0 if x is None else len(x) for x in ids]
                 fell = [0 if x is None else int(is_byte[x].sum()) for x in ids]
                 yield pa.RecordBatch.from_arrays(

@@ -56,6 +56,13 @@ def test_chunks_do_not_change_the_best_path(model):
         assert sum(model.weights[i] if model.kinds[i] != S.BYTE else 0 for i in model.encode(text)) == sum(model.weights[i] if model.kinds[i] != S.BYTE else 0 for i in model.best(marked))
 
 
+def test_many_chunks_at_once_equal_one_by_one(model):
+    rng = random.Random(11)
+    chunks = ["".join(rng.choice("▁abthßé日😀𒀀.in") for _ in range(rng.randrange(1, 20))) for _ in range(3000)] + ["▁the", "x" * 60, "▁"]
+    assert model.best_of(chunks) == [model.best(c) for c in chunks]
+    assert model.best_of([]) == []
+
+
 def test_round_trips_and_columns(spark, model):
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(ODD)] + [(None, "no id", "x"), (1, "", "x")], "doc_id long, text string, ids string")
     out = S.op5(docs).collect()
