@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import html as entities
 import itertools
+import json
 import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -215,33 +217,34 @@ def extract(pages: DataFrame, html_col: str = "html", url_col: str = "url", shar
     """``pages`` without the html column and with ``text``, the main text ("" if there is none).
 
     Null html is empty; a null url, or one without host, has the host "". Repeated rows count as one distinct page, so copies
-    alone make nothing boilerplate. Html is parsed where it is read; only block texts are shuffled, by host and shard. A column
+    alone make nothing boilerplate. Html is parsed where it is read; only block texts are shuffled, packed,
+    by host and shard. A column
     named text is replaced.
     """
-    rest = [c for c in pages.columns if c not in (html_col, "text", "__host", "__kinds", "__blocks", "__shard")]
+    rest = [c for c in pages.columns if c not in (html_col, "text", "__host", "__packed", "__shard")]
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     own = pages.select(*rest, F.col(html_col), host.alias("__host"))
     size = F.sum(F.coalesce(F.octet_length(html_col), F.lit(0)).cast("long") + 1)
     # written first, so that Spark knows how small the table of hosts is and need not deal pages by host to join it
     shards = settle(own.groupBy("__host").agg(F.ceil(size / shard_bytes).cast("int").alias("__shards")), scratch(pages.sparkSession, "hosts"))
     fields = [own.schema[c] for c in rest]
-    parsed_schema = T.StructType([*fields, own.schema["__host"], T.StructField("__kinds", T.ArrayType(T.IntegerType())), T.StructField("__blocks", T.ArrayType(T.StringType()))])
+    parsed_schema = T.StructType([*fields, own.schema["__host"], T.StructField("__packed", T.BinaryType())])
 
     def parse(batches):
         for batch in batches:
             for part in texts(batch.column(batch.schema.get_field_index(html_col)), PARSE_BYTES):
                 got = [blocks(part.row(i).decode()) for i in range(len(part))]
                 columns = [batch.column(batch.schema.get_field_index(c)).slice(part.first, len(part)) for c in [*rest, "__host"]]
-                added = [pa.array([[k for k, _ in b] for b in got], pa.list_(pa.int32())), pa.array([[t for _, t in b] for b in got], pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays([*columns, *added], names=[*rest, "__host", "__kinds", "__blocks"])
+                packed = pa.array([zlib.compress(json.dumps(b).encode(), 1) for b in got], pa.binary())
+                yield pa.RecordBatch.from_arrays([*columns, packed], names=[*rest, "__host", "__packed"])
 
     def run(table: pa.Table) -> pa.Table:
-        kinds = [np.array(k, np.int64) for k in table.column("__kinds").to_pylist()]
-        text = shard_texts(kinds, table.column("__blocks").to_pylist())
+        pages = [json.loads(zlib.decompress(p)) for p in table.column("__packed").to_pylist()]
+        text = shard_texts([np.array([k for k, _ in own], np.int64) for own in pages], [[t for _, t in own] for own in pages])
         return table.select(rest).append_column("text", pa.array(text, pa.string()))
 
     parsed = own.mapInArrow(parse, parsed_schema).join(shards, "__host")
-    dealt = parsed.withColumn("__shard", F.pmod(F.xxhash64("__blocks", *[c for c in rest if c in ("page_id", url_col)]), F.col("__shards")))
+    dealt = parsed.withColumn("__shard", F.pmod(F.xxhash64("__packed", *[c for c in rest if c in ("page_id", url_col)]), F.col("__shards")))
     # dealt by host and shard even where the join has dealt by host: a hot host must not meet in one task
     return dealt.drop("__shards").repartition("__host", "__shard").groupBy("__host", "__shard").applyInArrow(run, T.StructType([*fields, T.StructField("text", T.StringType())]))
 
