@@ -4,7 +4,8 @@ A tolerant scan turns each page into blocks of text: of its article, of its chro
 element, role, class or id), or open where the page names no article. The pages of a host, in shards of bounded size, become
 one stream of tokens whose suffixes are sorted by prefix doubling; neighbours that share ``LEAST_TOKENS`` tokens are strings
 that repeat, and those on enough distinct pages are boilerplate. Chrome goes. In open text the runs that no boilerplate covers
-stay. An article's block goes only if it is covered by what more than half of the distinct pages repeat.
+stay. An article's block goes only if all of it is covered. Boilerplate is what more than half of the distinct pages repeat;
+a page that would lose too much to it is a near copy of others and stays whole.
 """
 
 from __future__ import annotations
@@ -25,14 +26,16 @@ from pyspark.sql import types as T
 from .common import scratch, settle, texts
 
 LEAST_TOKENS = 8
-LEAST_PAGES = 3  # distinct pages that make a string in open text boilerplate
-MOST_SHARE = 0.5  # share of a shard's distinct pages beyond which an article's block is boilerplate
+LEAST_PAGES = 3  # distinct pages that make a string in open text boilerplate, if they are also
+MOST_SHARE = 0.5  # more than this share of the distinct pages
 SHARE_PAGES = 8  # distinct pages that such a share needs
 #: Bytes of html in one shard of a host: a host of more is split by a hash of the page, and each shard finds its own repeats.
 SHARD_BYTES = 4 << 20
 #: Html parsed at a time.
 PARSE_BYTES = 2 << 20
 MAIN, OPEN, CHROME = 0, 1, 2
+#: Share of a page's text, by kind, beyond which it is a near copy of others: open text has chrome in it.
+MOST_LOSS = {MAIN: 0.5, OPEN: 0.75}
 
 # Element names of the HTML standard.
 RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "object", "textarea", "title", "head"}
@@ -192,24 +195,26 @@ def shard_texts(kinds: list[np.ndarray], pages: list[list[str]]) -> list[str]:
     content = np.array([same[tuple(own)] for own in pages], np.int64)
     distinct = len(same)
     open_pages = np.array([bool((k == OPEN).any()) for k in kinds])
-    few = covered(tokens, page, content[page], LEAST_PAGES) if open_pages.any() else np.zeros(len(tokens), bool)
-    many = covered(tokens, page, content[page], int(distinct * MOST_SHARE) + 1) if distinct >= SHARE_PAGES else np.zeros(len(tokens), bool)
+    least = int(distinct * MOST_SHARE) + 1
+    few = covered(tokens, page, content[page], max(LEAST_PAGES, least)) if open_pages.any() else np.zeros(len(tokens), bool)
+    many = covered(tokens, page, content[page], least) if distinct >= SHARE_PAGES else np.zeros(len(tokens), bool)
     out, at = [], 0
     for own, kind, size in zip(pages, kinds, sizes):
-        kept, gone, main = [], 0, sum(s for s, k in zip(size, kind) if k == MAIN)
+        kept, gone, whole = [], 0, 0
         for block, k, n in zip(own, kind, size):
             here = slice(at, at + n)
             at += n
             if k == MAIN:
                 bad = bool(many[here].all())
+                kept.append((k, block, "" if bad else block))
                 gone += n if bad else 0
-                kept.append((block, bad))
             elif k == OPEN:
-                run = " ".join(w for w, c in zip(block.split(" "), few[here]) if not c)
-                if run:
-                    kept.append((run, False))
-        # an article that would lose more than half is a near copy of others, not boilerplate
-        out.append("\n\n".join(t for t, bad in kept if not bad or 2 * gone > main))
+                kept.append((k, block, " ".join(w for w, c in zip(block.split(" "), few[here]) if not c)))
+                gone += int(few[here].sum())
+            whole += n if k != CHROME else 0
+        # a page that would lose so much is a near copy of others, not boilerplate
+        near = bool(kept) and gone > MOST_LOSS[kept[0][0]] * whole
+        out.append("\n\n".join(t for _, block, left in kept if (t := block if near else left)))
     return out
 
 

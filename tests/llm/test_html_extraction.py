@@ -64,3 +64,16 @@ def test_hot_hosts_are_split(spark):
     got = {r.page_id: r.text for r in H.extract(df, shard_bytes=500).collect()}
     assert got == {i: f"{i} text of its own" for i in range(50)}
     assert H.op3(df.limit(0)).count() == 0
+
+
+def test_near_copies_and_quoted_passages_of_open_pages_stay(spark):
+    rng = random.Random(4)
+    prose = lambda n: " ".join(f"{rng.choice('abc')}{rng.randrange(10**6)}" for _ in range(n))
+    story, quote = prose(60).split(" "), prose(15)
+    near = [" ".join([*story[:30], f"word{i}", *story[31:]]) for i in range(3)]
+    pages = [(i, "http://near.example.com/a", f"<body><div>{t}</div></body>") for i, t in enumerate(near)]
+    own = [f"{prose(30)} {quote if i < 3 else prose(15)}" for i in range(40)]
+    pages += [(100 + i, "http://quotes.example.com/a", f"<body><p>{t}</p></body>") for i, t in enumerate(own)]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(3)] == near
+    assert [got[100 + i] for i in range(40)] == own
