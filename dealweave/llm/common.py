@@ -33,9 +33,9 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, folder: str) -> DataFrame:
+def settle(df: DataFrame, folder: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` and read it back: its lineage ends in files that outlive executors."""
-    df.write.mode("overwrite").parquet(folder)
+    df.write.mode("overwrite").parquet(folder, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

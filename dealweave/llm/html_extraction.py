@@ -2,8 +2,9 @@
 
 A tolerant scan turns each page into blocks of text: of its article, of its chrome (menus, forms, adverts and the like, by
 element, role, class or id), or open where the page names no article. The pages of a host, in shards of bounded size, become
-one stream of tokens whose suffixes are sorted by prefix doubling; neighbours that share ``LEAST_TOKENS`` tokens are strings
-that repeat, and those on enough distinct pages are boilerplate. Chrome goes. In open text the runs that no boilerplate covers
+streams of tokens whose suffixes are sorted by prefix doubling; neighbours that share ``LEAST_TOKENS`` tokens are strings
+that repeat, and those on enough distinct pages of the host are boilerplate. What is on more than half of the host's pages is
+on more than half of some shard's, so shards name candidates, and all shards of the host count these. Chrome goes. In open text the runs that no boilerplate covers
 stay. An article's block goes only if all of it is covered. Boilerplate is what more than half of the distinct pages repeat;
 a page that would lose too much to it is a near copy of others and stays whole.
 """
@@ -15,21 +16,23 @@ import itertools
 import json
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import scratch, settle, texts
+from .common import mix, release, scratch, settle, texts
 
 LEAST_TOKENS = 8
-LEAST_PAGES = 3  # distinct pages that make a string in open text boilerplate, if they are also
-MOST_SHARE = 0.5  # more than this share of the distinct pages
-SHARE_PAGES = 8  # distinct pages that such a share needs
-#: Bytes of html in one shard of a host: a host of more is split by a hash of the page, and each shard finds its own repeats.
+LEAST_PAGES = 3  # distinct pages that make a string boilerplate, if they are also
+MOST_SHARE = 0.5  # more than this share of the host's distinct pages
+SHARE_PAGES = 8  # distinct pages of the host from which blocks of articles are judged: fewer share lines by chance
+#: Bytes of html in one shard of a host: a host of more is split by a hash of the content. Results do not depend on it.
 SHARD_BYTES = 4 << 20
 #: Html parsed at a time.
 PARSE_BYTES = 2 << 20
@@ -163,95 +166,187 @@ def sorted_suffixes(tokens: np.ndarray, least: int = LEAST_TOKENS) -> tuple[np.n
     return np.argsort(rank, kind="stable"), rank
 
 
-def covered(tokens: np.ndarray, page: np.ndarray, content: np.ndarray, least_pages: int) -> np.ndarray:
-    """Which tokens lie in strings of LEAST_TOKENS tokens of one page that ``least_pages`` distinct contents hold."""
-    if len(tokens) < LEAST_TOKENS:
-        return np.zeros(len(tokens), bool)
-    order, rank = sorted_suffixes(tokens)
-    inside = np.zeros(len(tokens), bool)
-    inside[: len(tokens) - LEAST_TOKENS + 1] = page[: len(tokens) - LEAST_TOKENS + 1] == page[LEAST_TOKENS - 1:]
-    order = order[inside[order]]
-    # neighbours in the sorted order share their first tokens if their ranks are equal; count contents per run
-    pairs = np.unique(rank[order] * (content.max() + 1) + content[order])
-    pages = np.bincount(pairs // (content.max() + 1), minlength=rank.max() + 1)
-    starts = np.flatnonzero(inside & (pages[rank] >= least_pages))
-    edge = np.zeros(len(tokens) + 1, np.int64)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, starts + LEAST_TOKENS, -1)
-    return np.cumsum(edge[:-1]) > 0
-
-
-def shard_texts(kinds: list[np.ndarray], pages: list[list[str]]) -> list[str]:
-    """The main text of each page of one shard of a host."""
-    number: dict[str, int] = defaultdict(itertools.count().__next__)
-    streams, sizes = [], []
-    for own in pages:
-        numbered = [np.fromiter(map(number.__getitem__, t.split(" ")), np.int32) for t in own]
-        sizes.append([len(n) for n in numbered])
-        streams += numbered
-    tokens = np.concatenate(streams).astype(np.int64) if streams else np.zeros(0, np.int64)
-    page = np.repeat(np.arange(len(pages)), [sum(s) for s in sizes])
-    same: dict[tuple, int] = defaultdict(itertools.count().__next__)
-    content = np.array([same[tuple(own)] for own in pages], np.int64)
-    distinct = len(same)
-    open_pages = np.array([bool((k == OPEN).any()) for k in kinds])
-    least = int(distinct * MOST_SHARE) + 1
-    few = covered(tokens, page, content[page], max(LEAST_PAGES, least)) if open_pages.any() else np.zeros(len(tokens), bool)
-    many = covered(tokens, page, content[page], least) if distinct >= SHARE_PAGES else np.zeros(len(tokens), bool)
-    out, at = [], 0
-    for own, kind, size in zip(pages, kinds, sizes):
-        kept, gone, whole = [], 0, 0
-        for block, k, n in zip(own, kind, size):
-            here = slice(at, at + n)
-            at += n
-            if k == MAIN:
-                bad = bool(many[here].all())
-                kept.append((k, block, "" if bad else block))
-                gone += n if bad else 0
-            elif k == OPEN:
-                kept.append((k, block, " ".join(w for w, c in zip(block.split(" "), few[here]) if not c)))
-                gone += int(few[here].sum())
-            whole += n if k != CHROME else 0
-        # a page that would lose so much is a near copy of others, not boilerplate
-        near = bool(kept) and gone > MOST_LOSS[kept[0][0]] * whole
-        out.append("\n\n".join(t for _, block, left in kept if (t := block if near else left)))
-    return out
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Shard:
+    """Pages of a host as one stream of numbered tokens; ``counts`` tells which pages count (the first of each content)."""
+
+    def __init__(self, pages: list[list], counts: list[bool]):
+        number: dict[str, int] = defaultdict(itertools.count().__next__)
+        self.pages, streams, self.sizes = pages, [], []
+        for own in pages:
+            numbered = [np.fromiter(map(number.__getitem__, t.split(" ")), np.int32) for _, t in own]
+            self.sizes.append([len(n) for n in numbered])
+            streams += numbered
+        self.tokens = np.concatenate(streams).astype(np.int64) if streams else np.zeros(0, np.int64)
+        self.words = list(number)
+        page = np.repeat(np.arange(len(pages)), [sum(s) for s in self.sizes])
+        same: dict[tuple, int] = defaultdict(itertools.count().__next__)
+        own_content = np.array([same[tuple(t for _, t in own)] if c else -1 for own, c in zip(pages, counts)], np.int64)
+        self.content, self.distinct = own_content[page], len(same)
+        n = max(0, len(self.tokens) - LEAST_TOKENS + 1)
+        self.inside = np.zeros(len(self.tokens), bool)  # where a string of LEAST_TOKENS tokens of one page starts
+        self.inside[:n] = page[:n] == page[LEAST_TOKENS - 1:]
+
+    def hashes(self) -> np.ndarray:
+        """A hash of the string at each token, equal for equal strings in all shards; zero where none starts."""
+        out = np.zeros(len(self.tokens), np.uint64)
+        n = len(self.tokens) - LEAST_TOKENS + 1
+        if n > 0:
+            own = np.array([xxhash.xxh64_intdigest(w) for w in self.words], np.uint64)[self.tokens]
+            for k in range(LEAST_TOKENS):
+                out[:n] = out[:n] * _BASE + own[k:n + k]
+        return np.where(self.inside, mix(out), np.uint64(0)).view(np.int64)
+
+    def pages_of(self, names: np.ndarray) -> np.ndarray:
+        """How many distinct contents hold each string; ``names`` numbers the string at each token."""
+        at = np.flatnonzero(self.inside & (self.content >= 0))
+        pairs = np.unique(names[at] * (self.distinct + 1) + self.content[at])
+        return np.bincount(pairs // (self.distinct + 1), minlength=int(names.max(initial=0)) + 1)
+
+    def frequent(self, least: int) -> np.ndarray:
+        """Where the strings start that ``least`` distinct contents hold."""
+        if len(self.tokens) < LEAST_TOKENS:
+            return np.zeros(len(self.tokens), bool)
+        _, rank = sorted_suffixes(self.tokens)
+        return self.inside & (self.pages_of(rank)[rank] >= least)
+
+    def counted(self, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the hashed ``strings`` those that occur, and how many distinct contents hold each."""
+        strings = np.unique(strings)
+        own = self.hashes()
+        found = np.minimum(np.searchsorted(strings, own), len(strings) - 1)
+        pages = self.pages_of(np.where(strings[found] == own, found, len(strings)))
+        pages = np.pad(pages, (0, max(0, len(strings) - len(pages))))[: len(strings)]
+        return strings[pages > 0], pages[pages > 0]
+
+    def texts(self, starts: np.ndarray, host_pages: int) -> list[str]:
+        """The main text of each page without the boilerplate strings that begin at ``starts``, on a host of so many distinct pages."""
+        edge = np.zeros(len(self.tokens) + 1, np.int64)
+        at = np.flatnonzero(starts)
+        np.add.at(edge, at, 1)
+        np.add.at(edge, at + LEAST_TOKENS, -1)
+        covered = np.cumsum(edge[:-1]) > 0
+        out, at = [], 0
+        for own, size in zip(self.pages, self.sizes):
+            kept, gone, whole = [], 0, 0
+            for (k, block), n in zip(own, size):
+                here = covered[at:at + n]
+                at += n
+                if k == MAIN:
+                    bad = host_pages >= SHARE_PAGES and bool(here.all())
+                    kept.append((k, block, "" if bad else block))
+                    gone += n if bad else 0
+                elif k == OPEN:
+                    kept.append((k, block, " ".join(w for w, c in zip(block.split(" "), here) if not c) if here.any() else block))
+                    gone += int(here.sum())
+                whole += n if k != CHROME else 0
+            # a page that would lose so much is a near copy of others, not boilerplate
+            near = bool(kept) and gone > MOST_LOSS[kept[0][0]] * whole
+            out.append("\n\n".join(t for _, block, left in kept if (t := block if near else left)))
+        return out
+
+
+def _least(distinct: int) -> int:
+    return int(distinct * MOST_SHARE) + 1
+
+
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(raw: bytes) -> tuple[pa.Table, Shard]:
+    table = pa.ipc.open_stream(raw).read_all()
+    return table, Shard([json.loads(b) for b in table.column("__blocks").to_pylist()], [c == 0 for c in table.column("__copy").to_pylist()])
 
 
 def extract(pages: DataFrame, html_col: str = "html", url_col: str = "url", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``pages`` without the html column and with ``text``, the main text ("" if there is none).
 
     Null html is empty; a null url, or one without host, has the host "". Repeated rows count as one distinct page, so copies
-    alone make nothing boilerplate. Html is parsed where it is read; only block texts are shuffled, packed,
-    by host and shard. A column
-    named text is replaced.
+    alone make nothing boilerplate. Html is parsed where it is read; only block texts are shuffled, packed, by host and
+    shard, and once: a shard of a host of several is written as one row, which the second pass reads. Equal contents count in
+    the same shard; further copies in an input partition do not count and are dealt out. A column named text is replaced.
     """
-    rest = [c for c in pages.columns if c not in (html_col, "text", "__host", "__packed", "__shard")]
+    spark = pages.sparkSession
+    rest = [c for c in pages.columns if c not in (html_col, "text", "__host", "__packed", "__content", "__copy", "__shards", "__shard", "__distinct", "__strings", "__pages")]
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     own = pages.select(*rest, F.col(html_col), host.alias("__host"))
     size = F.sum(F.coalesce(F.octet_length(html_col), F.lit(0)).cast("long") + 1)
     # written first, so that Spark knows how small the table of hosts is and need not deal pages by host to join it
-    shards = settle(own.groupBy("__host").agg(F.ceil(size / shard_bytes).cast("int").alias("__shards")), scratch(pages.sparkSession, "hosts"))
-    fields = [own.schema[c] for c in rest]
-    parsed_schema = T.StructType([*fields, own.schema["__host"], T.StructField("__packed", T.BinaryType())])
+    shards = settle(own.groupBy("__host").agg(F.ceil(size / shard_bytes).cast("int").alias("__shards")), scratch(spark, "hosts"))
+    fields = [T.StructField(c, own.schema[c].dataType) for c in rest]
+    text_field = T.StructField("text", T.StringType())
+    packed_fields = [T.StructField("__host", T.StringType()), T.StructField("__packed", T.BinaryType()), T.StructField("__content", T.LongType()), T.StructField("__copy", T.LongType())]
+    shard_fields = [T.StructField("__host", T.StringType()), T.StructField("__distinct", T.LongType()), T.StructField("__strings", T.ArrayType(T.LongType())), T.StructField("__pages", T.BinaryType())]
 
     def parse(batches):
+        seen: Counter = Counter()
         for batch in batches:
+            hosts = batch.column(batch.schema.get_field_index("__host"))
             for part in texts(batch.column(batch.schema.get_field_index(html_col)), PARSE_BYTES):
                 got = [blocks(part.row(i).decode()) for i in range(len(part))]
+                content, copy = [], []
+                for h, b in zip(hosts.slice(part.first, len(part)).to_pylist(), got):
+                    key = xxhash.xxh64_intdigest(json.dumps([h, [t for _, t in b]])) - 2**63
+                    content.append(key)
+                    copy.append(seen[key])
+                    seen[key] += 1
                 columns = [batch.column(batch.schema.get_field_index(c)).slice(part.first, len(part)) for c in [*rest, "__host"]]
-                packed = pa.array([zlib.compress(json.dumps(b).encode(), 1) for b in got], pa.binary())
-                yield pa.RecordBatch.from_arrays([*columns, packed], names=[*rest, "__host", "__packed"])
+                packed = pa.array([zlib.compress(json.dumps(b).encode(), 6) for b in got], pa.binary())
+                yield pa.RecordBatch.from_arrays([*columns, packed, pa.array(content, pa.int64()), pa.array(copy, pa.int64())], names=[*rest, "__host", "__packed", "__content", "__copy"])
 
-    def run(table: pa.Table) -> pa.Table:
-        pages = [json.loads(zlib.decompress(p)) for p in table.column("__packed").to_pylist()]
-        text = shard_texts([np.array([k for k, _ in own], np.int64) for own in pages], [[t for _, t in own] for own in pages])
-        return table.select(rest).append_column("text", pa.array(text, pa.string()))
+    def first(table: pa.Table) -> pa.Table:
+        """Texts of a host's only shard; else one row with the shard's pages and the strings on over half of its contents."""
+        raw = [zlib.decompress(p) for p in table.column("__packed").to_pylist()]
+        shard = Shard([json.loads(b) for b in raw], [c == 0 for c in table.column("__copy").to_pylist()])
+        one = table.column("__shards")[0].as_py() == 1
+        starts = shard.frequent(max(LEAST_PAGES, _least(shard.distinct)) if one else _least(shard.distinct))
+        if one:
+            out = {**{c: table.column(c) for c in rest}, "text": pa.array(shard.texts(starts, shard.distinct), pa.string())}
+        else:
+            kept = table.select([*rest, "__copy"]).append_column("__blocks", pa.array(raw, pa.binary()))
+            strings = np.unique(shard.hashes()[starts])
+            out = {"__host": [table.column("__host")[0].as_py()], "__distinct": [shard.distinct], "__strings": [strings.tolist()], "__pages": [_packed(kept)]}
+        n = table.num_rows if one else 1
+        columns = [out.get(f.name, pa.nulls(n, f.type)) for f in first_arrow]
+        return pa.table([pa.array(c, f.type) if isinstance(c, list) else c.cast(f.type) for c, f in zip(columns, first_arrow)], schema=first_arrow)
+
+    def count(batches):
+        for batch in batches:
+            for host, strings, raw in zip(*(batch.column(batch.schema.get_field_index(c)) for c in ("__host", "__strings", "__pages"))):
+                found, pages = _unpacked(raw.as_py())[1].counted(np.array(strings.as_py(), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array([host.as_py()] * len(found), pa.string()), pa.array(found, pa.int64()), pa.array(pages, pa.int64())], names=["__host", "__string", "__n"])
+
+    def mark(batches):
+        for batch in batches:
+            for strings, distinct, raw in zip(*(batch.column(batch.schema.get_field_index(c)) for c in ("__strings", "__distinct", "__pages"))):
+                table, shard = _unpacked(raw.as_py())
+                found = strings.as_py()
+                starts = shard.inside & np.isin(shard.hashes(), np.array(found, np.int64)) if found else np.zeros(len(shard.tokens), bool)
+                yield from table.select(rest).append_column("text", pa.array(shard.texts(starts, distinct.as_py() or 0), pa.string())).to_batches()
 
-    parsed = own.mapInArrow(parse, parsed_schema).join(shards, "__host")
-    dealt = parsed.withColumn("__shard", F.pmod(F.xxhash64("__packed", *[c for c in rest if c in ("page_id", url_col)]), F.col("__shards")))
+    first_schema = T.StructType([*fields, text_field, *shard_fields])
+    first_arrow = to_arrow_schema(first_schema)
+    parsed = own.mapInArrow(parse, T.StructType([*fields, *packed_fields])).join(shards, "__host")
+    dealt = parsed.withColumn("__shard", F.pmod(F.xxhash64("__content", "__copy"), F.col("__shards")))
     # dealt by host and shard even where the join has dealt by host: a hot host must not meet in one task
-    return dealt.drop("__shards").repartition("__host", "__shard").groupBy("__host", "__shard").applyInArrow(run, T.StructType([*fields, T.StructField("text", T.StringType())]))
+    known = settle(dealt.repartition("__host", "__shard").groupBy("__host", "__shard").applyInArrow(first, first_schema), scratch(spark, "shards"), "zstd")
+    release(spark)
+    alone, several = known.filter("__pages is null").select(*rest, "text"), known.filter("__pages is not null")
+    names = several.select("__host", F.explode("__strings").alias("__string")).groupBy("__host").agg(F.collect_set("__string").alias("__strings"))
+    names = settle(names, scratch(spark, "candidates"))
+    counts = several.select("__host", "__pages").join(names, "__host").mapInArrow(count, "__host string, __string long, __n long")
+    total = several.groupBy("__host").agg(F.sum("__distinct").alias("__distinct"))
+    summed = counts.groupBy("__host", "__string").agg(F.sum("__n").alias("__n")).join(total, "__host")
+    summed = summed.filter((F.col("__n") >= LEAST_PAGES) & (F.col("__n") >= F.floor(F.col("__distinct") * MOST_SHARE) + 1))
+    boilerplate = settle(summed.groupBy("__host").agg(F.collect_list("__string").alias("__strings"), F.max("__distinct").alias("__distinct")), scratch(spark, "boilerplate"))
+    marked = several.select("__host", "__pages").join(boilerplate, "__host", "left").mapInArrow(mark, T.StructType([*fields, text_field]))
+    return alone.unionByName(marked)
 
 
 def op3(pages: DataFrame) -> DataFrame:

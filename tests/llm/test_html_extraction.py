@@ -77,3 +77,21 @@ def test_near_copies_and_quoted_passages_of_open_pages_stay(spark):
     got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     assert [got[i] for i in range(3)] == near
     assert [got[100 + i] for i in range(40)] == own
+
+
+def test_results_do_not_depend_on_the_size_of_shards(spark):
+    rng = random.Random(6)
+    prose = lambda n: " ".join(f"{rng.choice('abc')}{rng.randrange(10**6)}" for _ in range(n))
+    legal, often, rare = prose(12), prose(12), prose(12)
+    texts = [(prose(40), legal, often if i % 5 < 3 else prose(12), rare if i % 5 < 2 else prose(12)) for i in range(60)]
+    texts += texts[:1] * 50  # copies are one distinct page
+    page = lambda t: "".join(f"<p>{b}</p>" for b in t)
+    rows = [(i, "http://hot.example.com/", f"<article>{page(t)}</article>") for i, t in enumerate(texts)]
+    rows += [(1000 + i, "http://open.example.com/", f"<body>{page(t)}</body>") for i, t in enumerate(texts)]
+    rows += [(2000 + i, "http://few.example.com/", f"<article>{page((prose(40), legal))}</article>") for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    whole, cut = ({r.page_id: r.text for r in H.extract(df, shard_bytes=n).collect()} for n in (H.SHARD_BYTES, 3000))
+    assert whole == cut and len(cut) == len(rows)
+    for i, (own, _, third, fourth) in enumerate(texts):
+        assert cut[i] == cut[1000 + i] == "\n\n".join([own, *([third] if third != often else []), fourth])
+    assert all(legal in cut[2000 + i] for i in range(5))  # too few pages to judge an article by
