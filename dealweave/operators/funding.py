@@ -87,6 +87,7 @@ def parse_deals(rows: DataFrame) -> DataFrame:
         F.col("__terms.pre_money").alias("pre_money_valuation_usd"),
         F.col("__terms.post_money").alias("post_money_valuation_usd"),
         snippet(text, 800).alias("deal_terms_text"),
+        text.alias("deal_text"),
     )
 
 
@@ -161,10 +162,15 @@ def with_trust(claims: DataFrame, companies: DataFrame) -> DataFrame:
     )
 
 
+def claim_text(claims: DataFrame) -> Column:
+    """The whole text of a claim; headline and snippet, which are cut for display, only of claims without it."""
+    shown = strip(F.concat_ws(" ", F.coalesce("headline", F.lit("")), F.coalesce("snippet", F.lit(""))))
+    return F.coalesce(F.col("deal_text"), shown) if "deal_text" in claims.columns else shown
+
+
 def backfill_participants(claims: DataFrame) -> DataFrame:
-    """Lead and co-investors read again from headline and snippet where these name any."""
-    text = strip(F.concat_ws(" ", F.coalesce("headline", F.lit("")), F.coalesce("snippet", F.lit(""))))
-    rows = claims.withColumn("__who", deals.investors(text))
+    """Lead and co-investors read again from the claim's text where it names any."""
+    rows = claims.withColumn("__who", deals.investors(claim_text(claims)))
     co = F.when(F.size("__who.co") > 0, F.to_json("__who.co"))
     return (
         rows.withColumn("lead_investor", F.coalesce("__who.lead", "lead_investor"))
@@ -174,9 +180,8 @@ def backfill_participants(claims: DataFrame) -> DataFrame:
 
 
 def backfill_terms(claims: DataFrame) -> DataFrame:
-    """Instrument and pre/post-money read again from headline and snippet."""
-    text = strip(F.concat_ws(" ", F.coalesce("headline", F.lit("")), F.coalesce("snippet", F.lit(""))))
-    rows = claims.withColumn("__text", text).withColumn("__terms", deals.deal_terms(F.col("__text")))
+    """Instrument and pre/post-money read again from the claim's text."""
+    rows = claims.withColumn("__text", claim_text(claims)).withColumn("__terms", deals.deal_terms(F.col("__text")))
     has = F.col("__text") != ""
     pick = lambda new, old: F.when(has, F.coalesce(F.nullif(new, F.lit(0).cast("bigint")), old)).otherwise(old)
     return (

@@ -246,8 +246,8 @@ def url_fanout(signals: DataFrame) -> DataFrame:
     rows = rows.filter(F.coalesce(field("url_fanout_done"), F.lit("false")) != "true")
     rows = rows.select(
         F.col("id").alias("parent_raw_signal_id"), "company_id", F.col("source").alias("discovered_via"),
-        F.substring(F.coalesce(first_filled(field("title"), field("text")), F.lit("")), 1, 240).alias("title"),
-        F.substring(F.coalesce(first_filled(field("text"), field("summary")), F.lit("")), 1, 1500).alias("summary"),
+        F.coalesce(first_filled(field("title"), field("text")), F.lit("")).alias("title"),
+        F.coalesce(first_filled(field("text"), field("summary")), F.lit("")).alias("summary"),
         F.coalesce(filled(field("category")), F.lit("funding")).alias("category"),
         deal_worded().alias("__worded"), F.explode_outer(outbound_urls(rows)).alias("url"),
     )

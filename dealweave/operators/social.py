@@ -33,7 +33,7 @@ STARTUP_WORDS = [
     "github", "api", "saas", "developer tools", "led by", "million", "valuation", "round", "hiring", "platform",
     "marketplace", "fintech", "health",
 ]
-LONGEST_COMMENT, SHORTEST_COMMENT, FIRST_COMMENTS, BUSY_THREAD = 500, 40, 6, 3
+SHORTEST_COMMENT, FIRST_COMMENTS, BUSY_THREAD = 40, 6, 3
 
 
 def social_category(text):
@@ -58,16 +58,17 @@ def startup_relevant(title, text):
     return contains_any(low, STARTUP_WORDS) | has_hype(low)
 
 
-def thread_comments(stories: DataFrame, comments: DataFrame) -> DataFrame:
-    """(id, comments): first replies of busy stories, long enough and cut.
+def thread_comments(stories: DataFrame, comments: DataFrame, first: int | None = FIRST_COMMENTS, longest: int | None = None) -> DataFrame:
+    """(id, comments): the ``first`` replies of busy stories (None: all) that are long enough, whole or cut to ``longest``.
 
     ``stories``: id, kids (ordered array), descendants. ``comments``: id, type, text.
     """
     wanted = stories.filter(F.coalesce("descendants", F.lit(0)) >= BUSY_THREAD)
-    kids = wanted.select(F.col("id").alias("story"), F.posexplode(F.slice("kids", 1, FIRST_COMMENTS)).alias("pos", "id"))
+    own = F.col("kids") if first is None else F.slice("kids", 1, first)
+    kids = wanted.select(F.col("id").alias("story"), F.posexplode(own).alias("pos", "id"))
     body = comments.filter("type = 'comment'").select("id", strip_tags(F.col("text")).alias("body"))
     rows = kids.join(body.filter(F.length("body") > SHORTEST_COMMENT), "id")
-    ordered = F.array_sort(F.collect_list(F.struct("pos", F.substring("body", 1, LONGEST_COMMENT).alias("body"))))
+    ordered = F.array_sort(F.collect_list(F.struct("pos", (F.col("body") if longest is None else F.substring("body", 1, longest)).alias("body"))))
     return rows.groupBy(F.col("story").alias("id")).agg(F.transform(ordered, lambda c: c["body"]).alias("comments"))
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 import random
 
 import pytest
@@ -201,3 +202,21 @@ def test_social_shapes(spark):
     lines = ['{"batches": [{"query": "q", "results": [{"post_id": "1", "text": "t"}]}]}', '{"text": "bare"}', '[{"posts": [{"url": "u"}]}]', "{}"]
     df = spark.createDataFrame([(v,) for v in lines], "value string")
     assert sorted(r.query for r in social.social_batches(df).collect()) == ["grok_query", "inline_post", "q"]
+
+
+def test_texts_past_the_display_cut_decide(spark):
+    long = "Acme raised $12 million in a Series A round. " + "More words about the company. " * 80
+    text = long + "The round was led by Northgate Ventures. It was structured as a convertible note at a $50 million pre-money valuation."
+    rows = spark.createDataFrame([(1, text, "Funding Round", None)], "id long, text string, event_type string, event_amount long")
+    claim = funding.parse_deals(rows)
+    want = claim.select("lead_investor", "instrument_type", "pre_money_valuation_usd").first()
+    assert None not in tuple(want) and len(claim.first().snippet) <= 500
+    assert funding.backfill_terms(funding.backfill_participants(claim)).select(*want.__fields__).first() == want
+    post = json.dumps({"title": "t" * 300 + " raised", "text": text, "url": "https://news.example.org/a"})
+    raw = spark.createDataFrame([(1, "hackernews", 5, post)], "id long, source string, company_id long, data_json string")
+    child = signals.url_fanout(raw).first()
+    assert child.title == "t" * 300 + " raised" and child.summary == text
+    stories = spark.createDataFrame([(1, list(range(2, 12)), 10)], "id long, kids array<long>, descendants long")
+    replies = spark.createDataFrame([(i, "comment", f"{i} {text}") for i in range(2, 12)], "id long, type string, text string")
+    assert social.thread_comments(stories, replies).first().comments == [f"{i} {text}" for i in range(2, 8)]
+    assert len(social.thread_comments(stories, replies, first=None).first().comments) == 10
