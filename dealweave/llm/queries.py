@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_extraction, language_id, quality, sentencepiece_codec, sharding, simhash_dedup, suffix_dedup, topk_search, toxicity
+from . import decontamination, html_extraction, language_id, quality, sentencepiece_codec, sharding, simhash_dedup, spelling_variants, suffix_dedup, topk_search, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,8 @@ def op9(spark, sf_dir):
 @query("op10_simhash")
 def op10(spark, sf_dir):
     return simhash_dedup.op10(table(spark, sf_dir, "documents"))
+
+
+@query("op13_spelling_variants")
+def op13(spark, sf_dir):
+    return spelling_variants.op13(table(spark, sf_dir, "documents"))
