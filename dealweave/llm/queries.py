@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_extraction, language_id, quality, sentencepiece_codec, sharding, simhash_dedup, spelling_variants, suffix_dedup, topk_search, toxicity
+from . import decontamination, html_extraction, language_id, packing, quality, sentencepiece_codec, sharding, simhash_dedup, spelling_variants, suffix_dedup, topk_search, toxicity, whitening
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,16 @@ def op10(spark, sf_dir):
     return simhash_dedup.op10(table(spark, sf_dir, "documents"))
 
 
+@query("op11_packing")
+def op11(spark, sf_dir):
+    return packing.op11(table(spark, sf_dir, "documents"))
+
+
+@query("op12_whitening")
+def op12(spark, sf_dir):
+    return whitening.op12(table(spark, sf_dir, "embeddings"))
+
+
 @query("op13_spelling_variants")
 def op13(spark, sf_dir):
     return spelling_variants.op13(table(spark, sf_dir, "documents"))
