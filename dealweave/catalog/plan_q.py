@@ -126,7 +126,7 @@ def landed(t, df, order: str, key: str):
 def _(t):
     folder = scratch(t)
     rows = t("v_signals").select("id", "source", "signal_type", "detected_at")
-    streams.run_batches(landed(t, rows, "id", "id"), streams.append_unseen(f"{folder}/log", ["source", "signal_type"], ["detected_at", "id"]), f"{folder}/cp")
+    streams.run_to_files(streams.unseen(landed(t, rows, "id", "id"), ["source", "signal_type"], ["detected_at", "id"]), f"{folder}/log", f"{folder}/cp")
     return t.spark.read.parquet(f"{folder}/log").select("source", "signal_type")
 
 
@@ -144,7 +144,7 @@ def _(t):
     # every event comes twice, in different batches: the second time it must not be sent again
     folder, events = scratch(t), t("v_events")
     twice = events.withColumn("turn", F.col("id")).unionByName(events.withColumn("turn", -F.col("id")))
-    streams.run_batches(landed(t, twice, "turn", "id").drop("turn"), streams.alert_step(f"{folder}/ledger", RULES, "chat"), f"{folder}/cp")
+    streams.run_to_files(streams.unsent_alerts(landed(t, twice, "turn", "id").drop("turn"), RULES, "chat"), f"{folder}/ledger", f"{folder}/cp")
     return t.spark.read.parquet(f"{folder}/ledger").select("event_id", "alert_type")
 
 
@@ -165,5 +165,5 @@ where ph is not null and (hash <> ph or title <> pt)""", snaps=SNAP)
 def _(t):
     folder = scratch(t)
     snap = snapshots(t).select("page_id", "host", "hash", "title", "meta_description")
-    streams.run_batches(landed(t, snap, "page_id", "host"), streams.page_change_step(f"{folder}/changes", f"{folder}/state", "host", "page_id"), f"{folder}/cp")
+    streams.run_to_files(streams.page_changes(landed(t, snap, "page_id", "host"), "host", "page_id"), f"{folder}/changes", f"{folder}/cp")
     return t.spark.read.parquet(f"{folder}/changes").select("page_id", "host", "content_changed", "title_changed")

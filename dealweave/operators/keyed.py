@@ -57,10 +57,10 @@ def merge_upsert(
     target: DataFrame, source: DataFrame, keys: list[str], policy: dict[str, str],
     default: str = "overwrite",
 ) -> DataFrame:
-    """Upsert as a new snapshot: full outer join on unique keys, one policy per column."""
-    t, s = target.alias("t"), source.alias("s")
+    """Upsert as a new snapshot: full outer join on unique keys, one policy per column. Rows whose key is null match none and stay."""
+    t, s = target.withColumn("__old", F.lit(True)).alias("t"), source.withColumn("__new", F.lit(True)).alias("s")
     both = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full_outer")
-    is_old, is_new = F.col(f"t.{keys[0]}").isNotNull(), F.col(f"s.{keys[0]}").isNotNull()
+    is_old, is_new = F.col("t.__old").isNotNull(), F.col("s.__new").isNotNull()
     out = []
     for name in target.columns:
         old = F.col(f"t.{name}")
