@@ -224,6 +224,36 @@ def resolve_names(names: DataFrame, companies: DataFrame, aliases: DataFrame | N
     return recorded.unionByName(matched)
 
 
+#: Matches of this confidence are recorded as aliases.
+LEARN = 0.85
+
+
+def alias_table(spark, folder: str):
+    """Recorded aliases as versions: (alias_normalized, company_id, confidence), one row an alias."""
+    from ..sources.snapshots import SnapshotTable
+
+    table = SnapshotTable(spark, folder, ["alias_normalized"])
+    if table.newest() is None:
+        table.create(spark.createDataFrame([], "alias_normalized string, company_id long, confidence double"))
+    return table
+
+
+def resolve_and_learn(names: DataFrame, companies: DataFrame, aliases, folder: str) -> DataFrame:
+    """(name, company_id, company, confidence, method) of a batch of names; what it learns, the next batch reads first.
+
+    Fuzzy matches of LEARN or more enter the alias table, in the spelling that aliases are compared in; of several matches of one such
+    spelling the surest, then the earlier company. A recorded alias keeps its company. The batch's result is written to ``folder``
+    first, so matches are found once and what is learned is what was returned.
+    """
+    resolve_names(names, companies, aliases.read()).write.mode("overwrite").parquet(folder)
+    found = names.sparkSession.read.parquet(folder)
+    sure = found.filter((F.col("method") == "fuzzy") & (F.col("confidence") >= LEARN)).withColumn("alias_normalized", alias_key(F.col("name")))
+    best = F.max_by(F.struct("company_id", "confidence"), F.struct(F.col("confidence"), -F.col("company_id").cast("decimal(20,0)"))).alias("m")
+    learned = sure.filter(F.length("alias_normalized") >= 2).groupBy("alias_normalized").agg(best).select("alias_normalized", "m.*")
+    aliases.merge(learned, default="keep")
+    return found
+
+
 # -- one strategy each: (id, company_id, name, score) ------------------------------------------
 
 

@@ -145,7 +145,7 @@ class SnapshotTable:
         """The source written once, and the buckets it has keys in: a list of at most as many numbers as there are buckets."""
         held = self._manifest(self._known(None))
         name = f"staged/{uuid.uuid4().hex}"
-        source.withColumn(_BUCKET, self._bucket_of(held["buckets"])).write.partitionBy(_BUCKET).parquet(f"{self.folder}/{name}")
+        source.withColumn(_BUCKET, self._bucket_of(held["buckets"])).hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(f"{self.folder}/{name}")
         touched = sorted(int(n.split("=")[1]) for n in self._names(name) if n.startswith(f"{_BUCKET}="))
         paths = [f"{self.folder}/{name}/{_BUCKET}={b}" for b in touched]
         staged = self.spark.read.schema(source.schema).parquet(*paths) if paths else self.spark.createDataFrame([], source.schema)
