@@ -41,7 +41,7 @@ MAIN, OPEN, CHROME = 0, 1, 2
 MOST_LOSS = {MAIN: 0.5, OPEN: 0.75}
 
 # Element names of the HTML standard.
-RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "object", "textarea", "title", "head"}
+RAW = {"script", "style", "noscript", "template", "iframe", "svg", "object", "textarea", "title", "head"}
 DROPPED = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "select", "button", "fieldset", "audio", "video", "canvas"}
 VOID = {"br", "img", "hr", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 BLOCK = {
@@ -56,23 +56,35 @@ CHROME_WORDS = {
     "comment", "comments", "commentlist", "disqus", "respond", "replies", "share", "sharing", "social", "related", "recommended", "recommendations", "widget", "toolbar", "pagination", "pager",
     "login", "signup", "search", "skip", "copyright", "disclaimer",
 }
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
+#: Article elements of these classes lead to other articles.
+TEASER_WORDS = {"comment", "comments", "teaser", "teasers", "related", "recommended", "recommendations", "promo", "promoted", "sponsored", "advertisement"}
+#: Elements that hold a piece of running text: in an article their classes count as whole words only.
+RUNNING = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "blockquote", "pre", "figcaption", "caption", "td", "th", "tr", "span", "a", "b", "i", "em", "strong", "code", "q", "cite", "small", "sup", "sub"}
+#: An article counts as the page's main text if the text outside of it and of all chrome is at most so many times as long.
+MOST_OUTSIDE = 2
+# A quotation mark closes only before white space, a slash or the end of its tag; another one belongs to an unclosed value, which ends at the next ">".
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"(?=[\s/>]|$)|'[^']*'(?=[\s/>]|$)|[\"'])*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
-def _is_chrome(name: str, raw: str) -> bool:
-    """Does a start tag open something that is not the article's own text?"""
+#: As lower(), but never changes the number of characters.
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def _is_chrome(name: str, raw: str, inside: bool = False) -> bool:
+    """Does a start tag open something that is not the article's own text? ``inside``: an article or main element is open."""
     if name in DROPPED:
         return True
-    if not raw or name in ("html", "body", "article", "main"):
+    if not raw or name in ("html", "body", "main"):
         # such an element is dropped only as a comment or a hidden one
         only = {"comment", "comments"}
     else:
-        only = CHROME_WORDS
+        only = TEASER_WORDS if name == "article" else CHROME_WORDS
+    whole = inside and name in RUNNING
     for key, value in _ATTRIBUTE.findall(raw):
         key, value = key.lower(), value.strip("\"'")
-        if key in ("class", "id") and any(w.lower() in only for token in value.split() for w in [token, *_PARTS.findall(token)]):
+        if key in ("class", "id") and any(w.lower() in only for token in value.split() for w in ([token] if whole else [token, *_PARTS.findall(token)])):
             return True
         if key == "role" and value.lower() in CHROME_ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
             return True
@@ -84,10 +96,17 @@ def _is_chrome(name: str, raw: str) -> bool:
 def blocks(page: str | None) -> list[tuple[int, str]]:
     """(kind, text) of a page's blocks in order. White space is one space, references are decoded, empty blocks go.
 
-    Where the page has an article (or main) element outside its chrome, text outside of it is chrome too.
+    Where the page has an article (or main) element outside its chrome, text outside of it is chrome too, unless that is over MOST_OUTSIDE times as long.
     """
     page = page or ""
-    low = page.lower()
+    low = page.translate(_LOWER)
+    last: dict[str, int] = {}  # where the last end tag of a name begins
+
+    def closed(name: str, at: int) -> bool:
+        if name not in last:
+            last[name] = low.rfind(f"</{name}")
+        return last[name] >= at
+
     out: list[tuple[int, bool, str]] = []  # chrome, inside the main element, text
     text: list[str] = []
     depth = 0  # of article and main elements
@@ -115,7 +134,7 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
         if start and name in RAW:
             if name == "head":
                 continue
-            stop = low.find(f"</{name}", at)
+            stop = low.find(f"</{name}", at) if closed(name, at) else -1
             if stop < 0:  # never closed: it holds the rest, but a title or head only up to the body
                 stop = low.find("<body", at) if name == "title" else len(page)
                 stop = len(page) if stop < 0 else stop
@@ -136,18 +155,19 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
                 chrome = None
             else:
                 continue
-        if start and name not in VOID and not m[3].rstrip().endswith("/") and _is_chrome(name, m[3]):
+        if start and name not in VOID and not m[3].rstrip().endswith("/") and _is_chrome(name, m[3], depth > 0):
             if name == "header" and depth:  # an article's own header holds its title; what else is in it is dropped by itself
                 continue
             end_block()
             chrome, nested = name, 1
-            to_block = name in ENDED_BY_BLOCK or low.find(f"</{name}", at) < 0
+            to_block = name in ENDED_BY_BLOCK or not closed(name, at)
         elif name in ("article", "main"):
             depth = max(0, depth + (1 if start else -1))
         elif name == "footer" or name in ("body", "html") and not start:
             depth = 0
     end_block()
-    named = any(inside and not gone for gone, inside, _ in out)
+    within, outside = (sum(len(t) for gone, own, t in out if not gone and own == which) for which in (True, False))
+    named = within > 0 and outside <= MOST_OUTSIDE * within
     return [(CHROME if gone or named and not inside else MAIN if named else OPEN, t) for gone, inside, t in out]
 
 
@@ -270,25 +290,26 @@ def extract(pages: DataFrame, html_col: str = "html", url_col: str = "url", shar
     Null html is empty; a null url, or one without host, has the host "". Repeated rows count as one distinct page, so copies
     alone make nothing boilerplate. Html is parsed where it is read; only block texts are shuffled, packed, by host and
     shard, and once: a shard of a host of several is written as one row, which the second pass reads. Equal contents count in
-    the same shard; further copies in an input partition do not count and are dealt out. A column named text is replaced.
+    the same shard; further copies in an input partition do not count and are dealt out. A column named text is replaced; all others stay, whatever they are called.
     """
     spark = pages.sparkSession
-    rest = [c for c in pages.columns if c not in (html_col, "text", "__host", "__packed", "__content", "__copy", "__shards", "__shard", "__distinct", "__strings", "__pages")]
+    names_out = [c for c in pages.columns if c not in (html_col, "text")]
+    rest = [f"__c{i}" for i in range(len(names_out))]  # so that no column clashes with the names used here
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
-    own = pages.select(*rest, F.col(html_col), host.alias("__host"))
-    size = F.sum(F.coalesce(F.octet_length(html_col), F.lit(0)).cast("long") + 1)
+    own = pages.select(*[F.col(f"`{c}`").alias(r) for c, r in zip(names_out, rest)], F.col(html_col).alias("__html"), host.alias("__host"))
+    size = F.sum(F.coalesce(F.octet_length("__html"), F.lit(0)).cast("long") + 1)
     # written first, so that Spark knows how small the table of hosts is and need not deal pages by host to join it
     shards = settle(own.groupBy("__host").agg(F.ceil(size / shard_bytes).cast("int").alias("__shards")), scratch(spark, "hosts"))
     fields = [T.StructField(c, own.schema[c].dataType) for c in rest]
     text_field = T.StructField("text", T.StringType())
     packed_fields = [T.StructField("__host", T.StringType()), T.StructField("__packed", T.BinaryType()), T.StructField("__content", T.LongType()), T.StructField("__copy", T.LongType())]
-    shard_fields = [T.StructField("__host", T.StringType()), T.StructField("__distinct", T.LongType()), T.StructField("__strings", T.ArrayType(T.LongType())), T.StructField("__pages", T.BinaryType())]
+    shard_fields = [T.StructField("__host", T.StringType()), T.StructField("__shard", T.LongType()), T.StructField("__distinct", T.LongType()), T.StructField("__strings", T.ArrayType(T.LongType())), T.StructField("__pages", T.BinaryType())]
 
     def parse(batches):
         seen: Counter = Counter()
         for batch in batches:
             hosts = batch.column(batch.schema.get_field_index("__host"))
-            for part in texts(batch.column(batch.schema.get_field_index(html_col)), PARSE_BYTES):
+            for part in texts(batch.column(batch.schema.get_field_index("__html")), PARSE_BYTES):
                 got = [blocks(part.row(i).decode()) for i in range(len(part))]
                 content, copy = [], []
                 for h, b in zip(hosts.slice(part.first, len(part)).to_pylist(), got):
@@ -311,7 +332,7 @@ def extract(pages: DataFrame, html_col: str = "html", url_col: str = "url", shar
         else:
             kept = table.select([*rest, "__copy"]).append_column("__blocks", pa.array(raw, pa.binary()))
             strings = np.unique(shard.hashes()[starts])
-            out = {"__host": [table.column("__host")[0].as_py()], "__distinct": [shard.distinct], "__strings": [strings.tolist()], "__pages": [_packed(kept)]}
+            out = {"__host": [table.column("__host")[0].as_py()], "__shard": [table.column("__shard")[0].as_py()], "__distinct": [shard.distinct], "__strings": [strings.tolist()], "__pages": [_packed(kept)]}
         n = table.num_rows if one else 1
         columns = [out.get(f.name, pa.nulls(n, f.type)) for f in first_arrow]
         return pa.table([pa.array(c, f.type) if isinstance(c, list) else c.cast(f.type) for c, f in zip(columns, first_arrow)], schema=first_arrow)
@@ -340,13 +361,21 @@ def extract(pages: DataFrame, html_col: str = "html", url_col: str = "url", shar
     alone, several = known.filter("__pages is null").select(*rest, "text"), known.filter("__pages is not null")
     names = several.select("__host", F.explode("__strings").alias("__string")).groupBy("__host").agg(F.collect_set("__string").alias("__strings"))
     names = settle(names, scratch(spark, "candidates"))
-    counts = several.select("__host", "__pages").join(names, "__host").mapInArrow(count, "__host string, __string long, __n long")
+
+    def to_shards(of_host: DataFrame) -> DataFrame:
+        """One row for each shard of the host, so that the shards of a hot host do not meet in one task."""
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__shards").cast("long") - 1)).alias("__shard")
+        return of_host.join(shards, "__host").select(*of_host.columns, every)
+
+    by_shard = ["__host", "__shard"]
+    counts = several.select(*by_shard, "__pages").join(to_shards(names), by_shard).mapInArrow(count, "__host string, __string long, __n long")
     total = several.groupBy("__host").agg(F.sum("__distinct").alias("__distinct"))
     summed = counts.groupBy("__host", "__string").agg(F.sum("__n").alias("__n")).join(total, "__host")
     summed = summed.filter((F.col("__n") >= LEAST_PAGES) & (F.col("__n") >= F.floor(F.col("__distinct") * MOST_SHARE) + 1))
     boilerplate = settle(summed.groupBy("__host").agg(F.collect_list("__string").alias("__strings"), F.max("__distinct").alias("__distinct")), scratch(spark, "boilerplate"))
-    marked = several.select("__host", "__pages").join(boilerplate, "__host", "left").mapInArrow(mark, T.StructType([*fields, text_field]))
-    return alone.unionByName(marked)
+    marked = several.select(*by_shard, "__pages").join(to_shards(boilerplate), by_shard, "left").mapInArrow(mark, T.StructType([*fields, text_field]))
+    out = alone.unionByName(marked)
+    return out.select(*[F.col(r).alias(c) for r, c in zip(rest, names_out)], "text")
 
 
 def op3(pages: DataFrame) -> DataFrame:

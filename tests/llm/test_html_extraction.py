@@ -28,6 +28,42 @@ def test_structure():
     assert main("<main><p>" + "long " * 50000 + "</p></main>") == ("long " * 50000).strip()
 
 
+def test_letters_that_grow_in_lower_case_and_open_quotes():
+    for n in (5, 50):
+        page = "<article><p>" + "\u0130" * n + "</p><script>x</script><p>abc def</p><p>ghi</p></article>"
+        assert main(page) == "\n\n".join(["\u0130" * n, "abc def", "ghi"])
+    assert main('<article><p title="abc>Text one</p><p class="x">Two</p></article>') == "Text one\n\nTwo"
+    assert main("<article><p title='abc>Text one</p></article>") == "Text one"
+    assert main('<article><p title="a > b">One</p><a href="x"class="y">two</a></article>') == "One\n\ntwo"
+
+
+def test_an_article_must_be_the_main_text():
+    assert main('<div id="content"><p>Long main text.</p></div><article class="teaser"><p>Teaser</p></article>') == "Long main text."
+    assert main("<div><p>Long main text of this page.</p></div><article><p>Next</p></article>") == "Long main text of this page.\n\nNext"
+    assert main("<div><p>Outside</p></div><article><p>The main text</p></article>") == "The main text"
+
+
+def test_classes_of_running_text_count_as_whole_words():
+    page = '<article><p class="market-share">A</p><p class="search-engine">B</p><p id="header-2">C</p><p class="share">D</p><div class="share-box">E</div><p>F<math><mi>x</mi></math></p></article>'
+    assert main(page) == "A\n\nB\n\nC\n\nFx"
+
+
+def test_unclosed_elements_are_fast():
+    import time
+
+    began = time.perf_counter()
+    assert main("<nav>" * 40000 + "<p>x</p>") == "x"
+    assert time.perf_counter() - began < 2
+
+
+def test_columns_with_clashing_names_stay(spark):
+    rows = [(i, f"http://a.example.com/{i}", f"<p>page {i}</p>", i + 0.5, i, f"s{i}") for i in range(4)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, __host double, __copy long, `a.b` string")
+    out = H.extract(df)
+    assert out.columns == ["page_id", "url", "__host", "__copy", "a.b", "text"]
+    assert sorted(map(tuple, out.collect())) == [(i, u, h, c, s, f"page {i}") for i, u, _, h, c, s in rows]
+
+
 def test_sorted_suffixes_against_plain_sort():
     rng = np.random.default_rng(0)
     tokens = rng.integers(0, 3, 200)
