@@ -34,6 +34,8 @@ MOST_SHARE = 0.5  # more than this share of the host's distinct pages
 SHARE_PAGES = 8  # distinct pages of the host from which blocks of articles are judged: fewer share lines by chance
 #: Bytes of html in one shard of a host: a host of more is split by a hash of the content. Results do not depend on it.
 SHARD_BYTES = 4 << 20
+#: Strings of all hosts together that are sent to every task; more of them meet the shards by an equi-join.
+SENT_STRINGS = 1 << 20
 #: Html parsed at a time.
 PARSE_BYTES = 2 << 20
 MAIN, OPEN, CHROME = 0, 1, 2
@@ -99,7 +101,9 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
     Where the page has an article (or main) element outside its chrome, text outside of it is chrome too, unless that is over MOST_OUTSIDE times as long.
     """
     page = page or ""
-    low = page.translate(_LOWER)
+    low = page.lower()
+    if len(low) != len(page):  # a letter that grows: offsets in the one would not hold in the other
+        low = page.translate(_LOWER)
     last: dict[str, int] = {}  # where the last end tag of a name begins
 
     def closed(name: str, at: int) -> bool:
@@ -362,18 +366,22 @@ def extract(pages: DataFrame, html_col: str = "html", url_col: str = "url", shar
     names = several.select("__host", F.explode("__strings").alias("__string")).groupBy("__host").agg(F.collect_set("__string").alias("__strings"))
     names = settle(names, scratch(spark, "candidates"))
 
-    def to_shards(of_host: DataFrame) -> DataFrame:
-        """One row for each shard of the host, so that the shards of a hot host do not meet in one task."""
+    by_shard = ["__host", "__shard"]
+
+    def with_strings(of_host: DataFrame, how: str) -> DataFrame:
+        """The shards with the strings of their host: sent to the shards where they lie if they are few, else one copy a shard joins it."""
+        packed = several.select(*by_shard, "__pages")
+        if (of_host.agg(F.sum(F.size("__strings") + 16)).first()[0] or 0) <= SENT_STRINGS:
+            return packed.join(F.broadcast(of_host), "__host", how)
         every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__shards").cast("long") - 1)).alias("__shard")
-        return of_host.join(shards, "__host").select(*of_host.columns, every)
+        return packed.join(of_host.join(shards, "__host").select(*of_host.columns, every), by_shard, how)
 
-    by_shard = ["__host", "__shard"]
-    counts = several.select(*by_shard, "__pages").join(to_shards(names), by_shard).mapInArrow(count, "__host string, __string long, __n long")
+    counts = with_strings(names, "inner").mapInArrow(count, "__host string, __string long, __n long")
     total = several.groupBy("__host").agg(F.sum("__distinct").alias("__distinct"))
     summed = counts.groupBy("__host", "__string").agg(F.sum("__n").alias("__n")).join(total, "__host")
     summed = summed.filter((F.col("__n") >= LEAST_PAGES) & (F.col("__n") >= F.floor(F.col("__distinct") * MOST_SHARE) + 1))
     boilerplate = settle(summed.groupBy("__host").agg(F.collect_list("__string").alias("__strings"), F.max("__distinct").alias("__distinct")), scratch(spark, "boilerplate"))
-    marked = several.select(*by_shard, "__pages").join(to_shards(boilerplate), by_shard, "left").mapInArrow(mark, T.StructType([*fields, text_field]))
+    marked = with_strings(boilerplate, "left").mapInArrow(mark, T.StructType([*fields, text_field]))
     out = alone.unionByName(marked)
     return out.select(*[F.col(r).alias(c) for r, c in zip(rest, names_out)], "text")
 

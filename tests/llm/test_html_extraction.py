@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 from dealweave.llm import html_extraction as H
 
@@ -115,7 +116,9 @@ def test_near_copies_and_quoted_passages_of_open_pages_stay(spark):
     assert [got[100 + i] for i in range(40)] == own
 
 
-def test_results_do_not_depend_on_the_size_of_shards(spark):
+@pytest.mark.parametrize("sent", [0, H.SENT_STRINGS])
+def test_results_do_not_depend_on_the_size_of_shards(spark, monkeypatch, sent):
+    monkeypatch.setattr(H, "SENT_STRINGS", sent)
     rng = random.Random(6)
     prose = lambda n: " ".join(f"{rng.choice('abc')}{rng.randrange(10**6)}" for _ in range(n))
     legal, often, rare = prose(12), prose(12), prose(12)
