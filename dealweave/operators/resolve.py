@@ -1,18 +1,22 @@
 """Which tracked company a signal is about.
 
-Every strategy is an equi-join on something both sides can be cut into (host, alias, word run,
+Every strategy is an equi-join on something both sides can be cut into (host, alias, piece of text,
 string segment), so no strategy compares all signals with all companies. Names are matched once
-per distinct name.
+per distinct name; names and aliases within texts are found by word postings.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import alias_key, base_domain, capture, filled, link_host, strip
+from ..session import shared_folder
+from . import postings
+from .postings import pieces as _pieces
 
 # Confidence per strategy and acceptance bars.
 WEBSITE_SCORE, SLUG_SCORE, REPO_SCORE = 0.95, 0.75, 0.92
@@ -74,11 +78,6 @@ def _cut(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("__pieces", _pieces(F.col(text)))
 
 
-def _pieces(text: Column) -> Column:
-    """Text cut at every word boundary: words and the runs between them."""
-    return F.filter(F.split(text, r"\b"), lambda p: p != "")
-
-
 def _runs(sizes: list[int] | None = None) -> Column:
     """All runs of consecutive pieces of a text column whose count is in ``sizes`` (default: any).
 
@@ -100,14 +99,6 @@ def _runs(sizes: list[int] | None = None) -> Column:
     return F.array_distinct(F.flatten(F.filter(per_size, lambda a: a.isNotNull())))
 
 
-
-
-def run_sizes(companies: DataFrame) -> list[int]:
-    """The piece counts that occur in company names: one short list from the dimension."""
-    rows = companies.select(F.size(_pieces(F.lower("name"))).alias("n")).distinct().collect()
-    return sorted(r.n for r in rows)
-
-
 # -- fuzzy names ------------------------------------------------------------------------------
 
 
@@ -280,79 +271,41 @@ def _earlier(company: str, pos: str | None = None) -> Column:
     return F.struct((-F.col(company).cast("decimal(20,0)")).alias("company"), (-place).cast("int").alias("pos"))
 
 
-def _alias_heads(companies: DataFrame) -> DataFrame:
-    """Aliases long enough to search for, keyed by their first characters; earlier ones rank higher."""
+def _alias_ranks(companies: DataFrame) -> DataFrame:
+    """(entry, company_id, name, rank) of aliases long enough to search for; the longer and then the earlier one ranks higher."""
     index = alias_index(companies).filter(F.length("alias") >= MIN_NAME)
-    return index.select(
-        F.substring("alias", 1, MIN_NAME).alias("key"), "company_id", "name", F.col("alias").alias("full"),
-        F.struct(F.length("alias").alias("len"), _earlier("first_seen.company_id", "first_seen.pos").alias("back")).alias("rank"),
-    )
+    rank = F.struct(F.length("alias").alias("len"), _earlier("first_seen.company_id", "first_seen.pos").alias("back"))
+    return index.select(F.col("alias").alias("entry"), "company_id", "name", rank.alias("rank"))
 
 
-def _name_runs(companies: DataFrame) -> DataFrame:
-    """Company names long enough to look for as whole words, the longer one ranking higher."""
+def _name_ranks(companies: DataFrame) -> DataFrame:
+    """(entry, company_id, name, rank) of company names long enough to look for, the longer one ranking higher."""
     low = F.lower("name")
-    return companies.filter(F.length("name") >= MIN_NAME).select(
-        low.alias("key"), "company_id", "name", F.lit(None).cast("string").alias("full"),
-        F.struct(F.length(low).alias("len"), _earlier("company_id").alias("back")).alias("rank"),
-    )
+    rank = F.struct(F.length(low).alias("len"), _earlier("company_id").alias("back"))
+    return companies.filter(F.length("name") >= MIN_NAME).select(low.alias("entry"), "company_id", "name", rank.alias("rank"))
 
 
-def _spots(df: DataFrame, text: str, width: int) -> DataFrame:
-    """One row per place of the text, with the next ``width`` characters as ``key``.
+def _best_entry(found: DataFrame, ranks: DataFrame, score: float) -> DataFrame:
+    best = found.join(ranks, "entry").groupBy("id").agg(F.max_by(F.struct("company_id", "name"), "rank").alias("m"))
+    return best.select("id", "m.*", F.lit(score).alias("score"))
 
-    Places are exploded from a plain number sequence and the characters cut afterwards, which
-    keeps the whole step in generated code.
-    """
-    places = F.sequence(F.lit(1), F.length(text) - width + 1)
-    rows = df.filter(F.length(text) >= width).withColumn("place", F.explode_outer(places))
-    return rows.withColumn("key", F.substring(F.col(text), F.col("place"), F.lit(width)))
 
-
-#: A run is numbered place * RUN + length, so one exploded number says both.
-RUN = 1000
-
-
-def _run_codes(sizes: list[int]) -> list[Column]:
-    pieces = F.size("__pieces")
-    return [
-        F.when(pieces >= n, F.sequence(F.lit(RUN + n), (pieces - n + 1) * RUN + n, F.lit(RUN))).otherwise(
-            F.array().cast("array<int>"))
-        for n in sizes
-    ]
-
-
-def _run_at(code: Column) -> Column:
-    return F.array_join(F.slice(F.col("__pieces"), F.floor(code / RUN).cast("int"), code % RUN), "")
+def _phrases(ranks: DataFrame) -> DataFrame:
+    return ranks.select("entry").distinct().withColumn("phrase", F.col("entry"))
 
 
 def by_title_alias(titles: DataFrame, companies: DataFrame) -> DataFrame:
-    """Longest alias contained anywhere in the title.
-
-    Every place of the title offers its next four characters; aliases meet on their first four
-    and are then compared in full against the rest of the title.
-    """
-    spots = _spots(titles.select("id", F.lower("title").alias("t")), "t", MIN_NAME)
-    spots = spots.select("id", "key", F.substring(F.col("t"), F.col("place"), F.length("t")).alias("rest"))
-    hits = spots.join(_alias_heads(companies), "key").filter(F.col("rest").startswith(F.col("full")))
-    best = hits.groupBy("id").agg(F.max_by(F.struct("company_id", "name"), "rank").alias("m"))
-    return best.select("id", "m.*", F.lit(TITLE_ALIAS_SCORE).alias("score"))
-
-
-def _text_runs(texts: DataFrame, sizes: list[int]) -> DataFrame:
-    """(id, key): the word runs of ``text`` as long as some company name."""
-    low = _cut(texts.select("id", F.lower("text").alias("t")).filter("t is not null"), "t")
-    runs = low.withColumn("code", F.explode_outer(F.concat(*_run_codes(sizes)))).filter("code is not null")
-    runs = runs.select("id", "t", _run_at(F.col("code")).alias("key"))
-    return runs.filter((F.length("key") >= MIN_NAME) & _whole_words(F.col("key"), F.col("t"))).select("id", "key")
+    """Longest alias contained anywhere in the title."""
+    ranks = _alias_ranks(companies)
+    found = postings.find(titles.select("id", F.lower("title").alias("text")), _phrases(ranks))
+    return _best_entry(found, ranks, TITLE_ALIAS_SCORE)
 
 
-def by_name_in_text(texts: DataFrame, companies: DataFrame, sizes: list[int] | None = None):
+def by_name_in_text(texts: DataFrame, companies: DataFrame):
     """Longest company name that stands in the text as whole words."""
-    sizes = (run_sizes(companies) if sizes is None else sizes) or [1]
-    hits = _text_runs(texts, sizes).join(_name_runs(companies), "key")
-    best = hits.groupBy("id").agg(F.max_by(F.struct("company_id", "name"), "rank").alias("m"))
-    return best.select("id", "m.*", F.lit(NAME_IN_TEXT_SCORE).alias("score"))
+    ranks = _name_ranks(companies)
+    found = postings.find(texts.select("id", F.lower("text").alias("text")), _phrases(ranks), inside_words=False)
+    return _best_entry(found.filter("whole"), ranks, NAME_IN_TEXT_SCORE)
 
 
 def by_handle(posts: DataFrame, companies: DataFrame) -> DataFrame:
@@ -370,24 +323,15 @@ def by_handle(posts: DataFrame, companies: DataFrame) -> DataFrame:
 
 
 def mentions(texts: DataFrame, companies: DataFrame) -> DataFrame:
-    """(id, mention): names, slug words and handles whose first occurrence stands alone.
-
-    The first occurrence is found per candidate; candidates meet the text on their first three
-    characters at a place where the text opens a word.
-    """
+    """(id, mention): names, slug words and handles whose first occurrence stands alone."""
     names = companies.select(
         F.explode(
             F.array("name", F.replace("slug", F.lit("-"), F.lit(" ")), F.regexp_replace("x_handle", "^@+", ""))
         ).alias("mention")
     )
-    names = names.filter("mention is not null").distinct().withColumn("m", F.lower("mention"))
-    names = names.filter(F.length("m") >= 3).withColumn("head", F.substring("m", 1, 3))
-    spots = _spots(texts.select("id", F.lower("text").alias("t")), "t", 3).withColumnRenamed("key", "head")
-    hits = spots.join(names, "head").withColumn("p", F.instr("t", F.col("m"))).filter("p = place")
-    before = F.when(F.col("p") > 1, F.substring(F.col("t"), F.col("p") - 1, F.lit(1))).otherwise("")
-    after = F.substring(F.col("t"), F.col("p") + F.length("m"), F.lit(1))
-    alone = ~before.rlike(r"[\p{L}\p{N}]") & ~after.rlike(r"[\p{L}\p{N}]")
-    return hits.filter(alone).select("id", "mention").distinct()
+    names = names.filter("mention is not null").distinct().withColumn("entry", F.lower("mention")).filter(F.length("entry") >= 3)
+    found = postings.find(texts.select("id", F.lower("text").alias("text")), _phrases(names))
+    return found.filter("alone").join(names, "entry").select("id", "mention").distinct()
 
 
 def by_name_slug_handle(names: DataFrame, companies: DataFrame, variations: dict | None = None):
@@ -457,103 +401,75 @@ METHODS = [
 ]
 
 
-def resolve_company(payloads: DataFrame, companies: DataFrame, sizes: list[int] | None = None):
+def resolve_company(payloads: DataFrame, companies: DataFrame) -> DataFrame:
     """(id, company_id, name, score, method) per payload by the first strategy that answers.
 
-    Input columns: id, company_ref, company_hint, url, channel, listed (array), title, headline,
-    blob. Each strategy runs once over all payloads; the smallest method rank wins.
+    Input columns: id (unique), company_ref, company_hint, url, channel, listed (array), title, headline,
+    blob. The payloads are parsed into a written table once; strategies run in stages over its columns, each stage on
+    the ids that the ones before left open, and write what they find.
     """
-    methods = {name: rank for rank, name in enumerate(METHODS)}
+    folder = f"{shared_folder(payloads.sparkSession)}/dealweave-resolve/{uuid.uuid4().hex}"
+
+    def settle(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
     title = F.coalesce(filled(F.col("title")), filled(F.col("headline")), F.lit(""))
-    tries = F.array(
-        F.struct(F.lit(methods["company"]).alias("rank"), F.lit(0).alias("ord"), F.trim("company_hint").alias("name")),
-        F.struct(F.lit(methods["channel"]).alias("rank"), F.lit(0).alias("ord"), F.col("channel").alias("name")),
-        F.struct(
-            F.lit(methods["fuzzy_title"]).alias("rank"), F.lit(0).alias("ord"),
-            F.when(F.length(title) > MIN_TITLE, title).alias("name"),
-        ),
-    )
-    listed = F.transform(
-        F.coalesce("listed", F.array().cast("array<string>")),
-        lambda n, i: F.struct(F.lit(methods["listed"]).alias("rank"), i.alias("ord"), n.alias("name")),
-    )
-    probes = payloads.select("id", F.explode_outer(F.concat(tries, listed)).alias("p")).select("id", "p.*")
-    probes = probes.filter(F.coalesce("name", F.lit("")) != "")
-    matched = fuzzy_match(probes, companies)
-    hits = probes.join(matched, "name")
-    hits = hits.filter((F.col("rank") != methods["fuzzy_title"]) | (F.col("score") >= TITLE_BAR))
-    hits = hits.select("id", "rank", "ord", "company_id", F.col("company").alias("name"), "score")
-
-    found = _direct_hits(payloads, companies, sizes).unionByName(hits, allowMissingColumns=True)
-    best = F.min_by(
-        F.struct("company_id", "name", "score", "rank"),
-        F.struct("rank", "ord", -F.coalesce("len", F.lit(0)), -F.col("back.company"), -F.col("back.pos")),
-    )
-    out = found.groupBy("id").agg(best.alias("m")).select("id", "m.*")
-    names = F.array(*[F.lit(n) for n in METHODS])
-    return out.withColumn("method", F.get(names, F.col("rank"))).drop("rank")
+    rows = settle(payloads.select(
+        "id", "company_ref", F.trim("company_hint").alias("hint"), "channel", "listed", F.lower("title").alias("t"), F.lower("blob").alias("b"),
+        F.when(F.length(title) > MIN_TITLE, title).alias("headline"), link_host(F.col("url")).alias("host"),
+        F.lower(capture(F.col("url"), r"(?i)github\.com/([^/]+)")).alias("org"),
+    ), "rows")
 
+    def found(hits: DataFrame, method: str) -> DataFrame:
+        return hits.select("id", "company_id", "name", "score", F.lit(method).alias("method"))
 
-def _direct_hits(payloads: DataFrame, companies: DataFrame, sizes: list[int] | None) -> DataFrame:
-    """Hits of all strategies that need one key: explicit id, repository, host, alias and name.
+    stages = [
+        lambda todo: _by_key(todo, companies),
+        lambda todo: found(by_title_alias(todo.select("id", F.col("t").alias("title")), companies), "title_alias"),
+        lambda todo: found(by_name_in_text(todo.select("id", F.col("b").alias("text")), companies), "name_in_text"),
+        lambda todo: found(_by_headline(todo, companies), "fuzzy_title"),
+    ]
+    todo, results = rows, []
+    for i, stage in enumerate(stages):
+        results.append(settle(stage(todo), f"found{i}"))
+        todo = todo.join(results[-1].select("id"), "id", "left_anti")
+    return reduce(DataFrame.unionByName, results)
 
-    Each payload is read once and offers (kind, key) probes; all indexes are stacked under the
-    same two columns and joined once.
-    """
-    sizes = (run_sizes(companies) if sizes is None else sizes) or [1]
+
+def _by_headline(rows: DataFrame, companies: DataFrame) -> DataFrame:
+    """(id, company_id, name, score): the title as a whole, as a company name."""
+    titles = rows.filter("headline is not null").select("id", F.col("headline").alias("name"))
+    hits = titles.join(fuzzy_match(titles, companies), "name").filter(F.col("score") >= TITLE_BAR)
+    return hits.select("id", "company_id", F.col("company").alias("name"), "score")
+
+
+def _by_key(rows: DataFrame, companies: DataFrame) -> DataFrame:
+    """(id, company_id, name, score, method) by what a payload says outright: id, name, repository, host, channel, listed names."""
     rank = {name: i for i, name in enumerate(METHODS)}
-    none = F.lit(None)
-    low = payloads.select(
-        "id", "company_ref", F.lower("title").alias("t"), F.lower("blob").alias("b"), link_host(F.col("url")).alias("host"),
-        F.lower(capture(F.col("url"), r"(?i)github\.com/([^/]+)")).alias("org"),
-    ).withColumn("__pieces", _pieces(F.col("b")))
-    # One number per probe: runs are positive, title places negative, single keys further down.
-    single = -1_000_000
-    keys = [
-        ("company_id", 0, F.col("company_ref").cast("string")), ("repo", 0, F.col("org")), ("domain", 0, F.col("host")),
-        ("domain", 1, base_domain(F.col("host"))),
-    ]
-    none_yet = F.array().cast("array<int>")
-    places = F.when(
-        F.length("t") >= MIN_NAME, F.sequence(F.lit(-1), -(F.length("t") - MIN_NAME + 1), F.lit(-1))
-    ).otherwise(none_yet)
-    codes = F.concat(
-        F.array(*[F.lit(single - i) for i in range(len(keys))]), F.coalesce(places, none_yet), *_run_codes(sizes)
-    )
-    # The outer form keeps the optimizer from repeating the payload parsing in an inferred filter.
-    probes = low.withColumn("code", F.explode_outer(codes))
-    code = F.col("code")
-    is_run, is_place = code > 0, code.between(single + 1, -1)
-    key = F.when(is_run, _run_at(code)).when(is_place, F.substring(F.col("t"), -code, F.lit(MIN_NAME)))
-    number = F.when(is_run, rank["name_in_text"]).when(is_place, rank["title_alias"])
-    order = F.lit(0)
-    for i, (method, ord_, value) in enumerate(keys):
-        key, number = key.when(code == single - i, value), number.when(code == single - i, rank[method])
-        order = F.when(code == single - i, ord_).otherwise(order)
-    probes = probes.select(
-        "id", number.alias("rank"), order.alias("ord"), key.alias("key"), is_run.alias("run"), "b",
-        F.when(is_place, F.substring(F.col("t"), -code, F.length("t"))).alias("rest"),
-    )
-    probes = probes.filter(
-        "key is not null and key <> ''"
-    ).filter(~F.col("run") | ((F.length("key") >= MIN_NAME) & _whole_words(F.col("key"), F.col("b")))).drop("run", "b")
-
-    def stacked(df, method, key, score):
-        return df.select(
-            F.lit(rank[method]).alias("rank"), key.cast("string").alias("key"), "company_id", "name",
-            score.alias("score"),
-            (F.col("full") if "full" in df.columns else none.cast("string")).alias("full"),
-            (F.col("rank.len") if "full" in df.columns else F.lit(0)).alias("len"),
-            (F.col("rank.back") if "full" in df.columns else F.lit(None).cast("struct<company: decimal(20,0), pos: int>")).alias("back"),
-        )
+
+    def probe(method: str, order, key):
+        return F.struct(F.lit(rank[method]).alias("rank"), order.alias("ord"), key.cast("string").alias("key"))
+
+    keys = rows.select("id", F.explode(F.array(
+        probe("company_id", F.lit(0), F.col("company_ref")), probe("repo", F.lit(0), F.col("org")), probe("domain", F.lit(0), F.col("host")),
+        probe("domain", F.lit(1), base_domain(F.col("host"))),
+    )).alias("p")).select("id", "p.*").filter("key is not null and key <> ''")
+
+    def indexed(df, method, key, score):
+        return df.select(F.lit(rank[method]).alias("rank"), key.cast("string").alias("key"), "company_id", "name", score.alias("score"))
 
     index = reduce(DataFrame.unionByName, [
-        stacked(companies, "company_id", F.col("company_id"), F.lit(1.0)),
-        stacked(repo_index(companies), "repo", F.col("org"), F.col("score")),
-        stacked(domain_index(companies), "domain", F.col("domain"), F.col("score")),
-        stacked(_alias_heads(companies), "title_alias", F.col("key"), F.lit(TITLE_ALIAS_SCORE)),
-        stacked(_name_runs(companies), "name_in_text", F.col("key"), F.lit(NAME_IN_TEXT_SCORE)),
+        indexed(companies, "company_id", F.col("company_id"), F.lit(1.0)), indexed(repo_index(companies), "repo", F.col("org"), F.col("score")),
+        indexed(domain_index(companies), "domain", F.col("domain"), F.col("score")),
     ])
-    hits = probes.join(index, ["rank", "key"])
-    hits = hits.filter(F.col("full").isNull() | F.col("rest").startswith(F.col("full")))
-    return hits.select("id", "rank", "ord", "company_id", "name", "score", "len", "back")
+    direct = keys.join(index, ["rank", "key"]).select("id", "rank", "ord", "company_id", "name", "score")
+
+    listed = F.transform(F.coalesce("listed", F.array().cast("array<string>")), lambda n, i: probe("listed", i, n))
+    named = F.concat(F.array(probe("company", F.lit(0), F.col("hint")), probe("channel", F.lit(0), F.col("channel"))), listed)
+    named = rows.select("id", F.explode(named).alias("p")).select("id", "p.rank", "p.ord", F.col("p.key").alias("name"))
+    named = named.filter(F.coalesce("name", F.lit("")) != "")
+    by_name = named.join(fuzzy_match(named, companies), "name").select("id", "rank", "ord", "company_id", F.col("company").alias("name"), "score")
+    best = F.min_by(F.struct("company_id", "name", "score", "rank"), F.struct("rank", "ord", F.col("company_id")))
+    out = direct.unionByName(by_name).groupBy("id").agg(best.alias("m")).select("id", "m.*")
+    return out.select("id", "company_id", "name", "score", F.get(F.array(*[F.lit(n) for n in METHODS]), F.col("rank")).alias("method"))

@@ -132,7 +132,7 @@ def payload_hints(df: DataFrame) -> DataFrame:
     )
 
 
-def process_signals(signals: DataFrame, events: DataFrame, companies: DataFrame, sizes=None):
+def process_signals(signals: DataFrame, events: DataFrame, companies: DataFrame):
     """One event row per signal that has none yet.
 
     Every unprocessed signal is parsed, linked to a company, classified and priced. Where an
@@ -145,7 +145,7 @@ def process_signals(signals: DataFrame, events: DataFrame, companies: DataFrame,
     )
     parsed = signal_text(parse_payloads(todo))
     missing = parsed.filter("company_id is null")
-    found = resolve.resolve_company(payload_hints(missing), companies, sizes)
+    found = resolve.resolve_company(payload_hints(missing), companies)
     found = found.select("id", F.col("company_id").alias("__found"))
     rows = parsed.join(found, "id", "left").withColumn("company_id", F.coalesce("company_id", "__found"))
     rows = classify.classify(rows, "text", "source")
