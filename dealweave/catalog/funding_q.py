@@ -155,20 +155,37 @@ def _(t):
     return rounds_of(t)[1].select(*[c.strip() for c in ROUND_COLS.split(",")])
 
 
-@query("field_provenance", """
+_FIELDS = funding.ROUND_FIELDS
+PROVENANCE = f"""
 select merged_key, field, v.value, v.source_tier, coalesce(u.reports, 0) as reports, u.urls as reporting_sources from (
-  select merged_key, 'amount_usd' as field, cast(amount_usd as string) as value, source_tier from ranked where r1 = 1
-  union all select merged_key, 'lead_investor', lead_investor, source_tier from ranked where r1 = 1) v
+  {" union all ".join(f"select merged_key, '{f}' as field, cast({f} as string) as value, source_tier from ranked where r1 = 1" for f in _FIELDS)}) v
 left join (select merged_key, field, count(*) as reports, array_to_string(list(source_url order by cluster_pos, claim_pos)[1:10], ' ') as urls from (
-  select merged_key, 'amount_usd' as field, source_url, cluster_pos, claim_pos from merged where amount_usd is not null
-  union all select merged_key, 'lead_investor', source_url, cluster_pos, claim_pos from merged where coalesce(lead_investor, '') <> '') w group by merged_key, field) u
-using (merged_key, field) where v.value is not null""", **{k: v for k, v in ROUNDS.items() if k in (*CLUSTERS, "ranked")})
+  {" union all ".join(f"select merged_key, '{f}' as field, source_url, cluster_pos, claim_pos from merged where coalesce(cast({f} as string), '') <> ''" for f in _FIELDS)}) w
+  group by merged_key, field) u using (merged_key, field) where v.value is not null"""
+CLUSTERED = {k: v for k, v in ROUNDS.items() if k in (*CLUSTERS, "ranked")}
+
+
+@query("field_provenance", PROVENANCE, **CLUSTERED)
 def _(t):
     out = funding.field_provenance(funding.merge_clusters(t("v_claims")))
-    out = out.filter("field in ('amount_usd', 'lead_investor')")
     return out.withColumn("reporting_sources", F.array_join("reporting_sources", " "))
 
 
+@query("investor_provenance", """
+select merged_key, investor, array_to_string(list_sort(list(distinct role)), ' ') as roles, count(distinct source_url) as reports,
+  array_to_string(list_sort(list(distinct tier_first)), ' ') as source_tiers, array_to_string(list_distinct_in_order[1:10], ' ') as reporting_sources
+from (select *, list(source_url order by cluster_pos, claim_pos) filter (where k = 1) over (partition by merged_key, investor) as list_distinct_in_order from (
+  select *, first_value(source_tier) over w as tier_first, row_number() over w as k from (
+    select merged_key, trim(lead_investor) as investor, 'lead' as role, source_url, source_tier, cluster_pos, claim_pos from merged where trim(lead_investor) <> ''
+    union all select merged_key, trim(co1), 'participant', source_url, source_tier, cluster_pos, claim_pos from merged where co1 is not null
+    union all select merged_key, trim(co2), 'participant', source_url, source_tier, cluster_pos, claim_pos from merged where co2 is not null) n
+  window w as (partition by merged_key, investor, source_url order by cluster_pos, claim_pos)) r) q
+group by merged_key, investor, list_distinct_in_order""", **CLUSTERED)
+def _(t):
+    out = funding.investor_provenance(funding.merge_clusters(t("v_claims")))
+    return out.select("merged_key", "investor", "reports", *[F.array_join(c, " ").alias(c) for c in ("roles", "source_tiers", "reporting_sources")])
+
+
 PEOPLE = """select id as claim_id, 0 as position, lead_investor as name, 'lead' as role, true as is_lead from v_claims where lead_investor is not null
 union all select id, position, name, 'participant', false from (select id, lead_investor, 1 as position, co1 as name from v_claims union all select id, lead_investor, 2, co2 from v_claims) c
 where name is not null and (lead_investor is null or lower(""" + CLEAN.format("name") + ") <> lower(" + CLEAN.format("lead_investor") + "))"

@@ -190,21 +190,6 @@ def _(t):
     return gate.select(F.array_join("failed", ", ").alias("failed"), "passed")
 
 
-@query("claims_audit", """
-select 'funding_round_claims' as table_name, count(*) as rows, '' as missing_columns from v_claims union all select 'team_member_claims', count(*), '' from v_team
-union all select 'product_claims', count(*), '' from v_products union all select 'job_posting_claims', count(*), '' from v_jobs""")
-def _(t):
-    return quality.row_counts({
-        "funding_round_claims": t("v_claims"), "team_member_claims": t("v_team"), "product_claims": t("v_products"), "job_posting_claims": t("v_jobs"),
-    })
-
-
-@query("enrichment_coverage", """
-select 'companies' as table_name, count(*) as rows from v_companies union all select 'license_claims', count(*) from v_licenses union all select 'github_metrics', count(*) from v_metrics""")
-def _(t):
-    return quality.row_counts({"companies": t("v_companies"), "license_claims": t("v_licenses"), "github_metrics": t("v_metrics")}).drop("missing_columns")
-
-
 @query("classifier_eval", """
 select expected as label, count(*) as rows, cast(sum(hit) as bigint) as correct, round(cast(sum(hit) as double) / count(*), 4) as accuracy
 from (select e.event_type as expected, cast(c.event_type = e.event_type as int) as hit from v_event_rows e join classified c on c.id = e.raw_signal_id) x group by rollup (expected)""",
@@ -262,12 +247,6 @@ def _(t):
     return brief.export_rows(brief.events_export(t("v_events").select("id", "company_id", "amount_usd", "created_at"), t("v_companies"))).select("id", "company", "amount_usd")
 
 
-@query("profile_listing", "select c.name, p.n as fields, c.score from (select company_id, count(*) as n from v_profile group by company_id) p join v_companies c using (company_id) order by c.score desc, c.name limit 20")
-def _(t):
-    fields = t("v_profile").groupBy("company_id").agg(F.count("*").alias("fields"))
-    return fields.join(t("v_companies"), "company_id").select("name", "fields", "score").orderBy(F.desc("score"), "name").limit(20)
-
-
 # -- alerts -------------------------------------------------------------------------------------
 
 RULES = [

@@ -97,6 +97,14 @@ def profile_rollup(claims: DataFrame) -> DataFrame:
     return out
 
 
+def profile_listing(profiles: DataFrame, companies: DataFrame, most: int | None = None) -> DataFrame:
+    """Companies with a rolled-up profile, the highest score first; all of them unless a limit is given."""
+    own = profiles.select("company_id", "founded_year", "headquarters", "team_size", "business_model")
+    out = companies.select("company_id", "name", "industry", "github_stars", "score").join(own, "company_id")
+    out = out.orderBy(F.desc_nulls_last("score"), "company_id")
+    return out if most is None else out.limit(most)
+
+
 def team_rollup(claims: DataFrame) -> DataFrame:
     """Per company and person: most voted role (first on ties), founder flag, heaviest attributes."""
     rows = claims.withColumn("__key", _person_key())

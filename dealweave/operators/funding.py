@@ -401,6 +401,29 @@ def field_provenance(clustered: DataFrame, most: int = 10) -> DataFrame:
     return out.withColumn("reports", F.coalesce("reports", F.lit(0)))
 
 
+def investor_provenance(clustered: DataFrame, most: int = 10) -> DataFrame:
+    """Per round and investor: roles, tiers and number of the reports that name it, and the first ``most`` of them.
+
+    Two aggregates, first per report and then per investor, so that however often a round is reported no list of its claims is made.
+    """
+    lead = F.nullif(F.trim("lead_investor"), F.lit(""))
+    person = lambda n, is_lead: F.struct(F.trim(n).alias("investor"), F.lit(is_lead).alias("is_lead"))
+    named = F.concat(
+        F.when(lead.isNotNull(), F.array(person(lead, True))).otherwise(F.array().cast("array<struct<investor:string,is_lead:boolean>>")),
+        F.transform(F.filter(corroboration.co_list(F.col("co_investors")), lambda n: n != ""), lambda n: person(n, False)),
+    )
+    rows = clustered.select("merged_key", F.nullif("source_url", F.lit("")).alias("source_url"), "source_tier", F.struct("cluster_early", "early").alias("order"), F.explode(named).alias("p"))
+    keys = ["merged_key", "investor"]
+    reports = rows.select("merged_key", "source_url", "source_tier", "order", "p.*").groupBy(*keys, "source_url").agg(
+        F.bool_or("is_lead").alias("as_lead"), F.bool_or(~F.col("is_lead")).alias("as_participant"), F.max("order").alias("order"), F.max_by("source_tier", "order").alias("tier"),
+    )
+    role = F.array_compact(F.array(F.when(F.bool_or("as_lead"), "lead"), F.when(F.bool_or("as_participant"), "participant")))
+    out = reports.groupBy(*keys).agg(role.alias("roles"), F.count("source_url").alias("reports"), F.array_sort(F.collect_set(F.when(F.col("source_url").isNotNull(), F.col("tier")))).alias("source_tiers"))
+    first = keyed.top_n(reports.filter("source_url is not null"), keys, [F.desc("order")], most, rank="n")
+    lists = first.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "source_url"))), lambda x: x["source_url"]).alias("reporting_sources"))
+    return out.join(lists, keys, "left").withColumn("reporting_sources", F.coalesce("reporting_sources", F.array().cast("array<string>")))
+
+
 # -- confidence back to events ----------------------------------------------------------------
 
 
