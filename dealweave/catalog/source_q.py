@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import social, web
-from ..sources import landed
+from ..session import shared_folder
+from ..sources import files, landed
 from .registry import query
 
 
+def _folder(t) -> str:
+    return f"{shared_folder(t.spark)}/dealweave-landed/{uuid.uuid4().hex}"
+
+
+def _arrays(t, rows, key: str) -> str:
+    """A folder of files of one json array each, of about 1,000 rows."""
+    folder, n = _folder(t), max(1, rows.count() // 1000)
+    dealt = rows.groupBy(F.pmod(F.xxhash64(key), F.lit(n)).alias("part")).agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+    dealt.repartition("part").write.partitionBy("part").text(folder)
+    return folder
+
+
 @query("scan_staged_signals", """
 select source, url, company_id, case when id % 3 = 0 then 'k' || id else substr(sha256(regexp_replace(regexp_extract(url, '^([^#?]*)', 1), '/+$', '') || regexp_extract(url, '(\\?[^#]*)', 1)), 1, 16) end as signal_type, detected_at
 from v_signals where url is not null or id % 3 = 0""")
@@ -45,14 +60,12 @@ select cast(o_custkey as string) as cik, case o_orderstatus when 'F' then 'D' el
 from orders where o_orderstatus <> 'P' and o_orderdate >= timestamp '1998-01-01'""")
 def _(t):
     form = F.when(F.col("o_orderstatus") == "F", "D").when(F.col("o_orderstatus") == "O", "D/A").otherwise("10-K").alias("form")
-    one = t("orders").select(
-        F.col("o_custkey").cast("string").alias("cik"),
-        F.struct(F.struct(
-            F.array(form).alias("form"), F.array(F.substring(F.col("o_orderdate").cast("string"), 1, 10)).alias("filingDate"),
-            F.array(F.concat(F.lit("N"), F.col("o_orderkey").cast("string"))).alias("accessionNumber")).alias("recent")).alias("filings"))
-    text = one.select(F.to_json(F.struct("*")).alias("v"))
-    rows = text.select(F.from_json("v", landed.SUBMISSIONS_SCHEMA).alias("r")).select("r.*")
-    return landed.filings_columnar(rows, "1998-01-01").drop("dedup_key")
+    row = F.struct(form.alias("form"), F.substring(F.col("o_orderdate").cast("string"), 1, 10).alias("date"), F.concat(F.lit("N"), F.col("o_orderkey").cast("string")).alias("acc"))
+    own = t("orders").groupBy(F.col("o_custkey").cast("string").alias("cik")).agg(F.collect_list(row).alias("f"))
+    side = lambda name, alias: F.transform("f", lambda x: x[name]).alias(alias)
+    one = own.select("cik", F.struct(F.struct(side("form", "form"), side("date", "filingDate"), side("acc", "accessionNumber")).alias("recent")).alias("filings"))
+    read = files.read_json(t.spark, _arrays(t, one, "cik"), landed.SUBMISSIONS_SCHEMA)
+    return landed.filings_columnar(read.rows, "1998-01-01").drop("dedup_key")
 
 
 @query("scan_yc_directory", """
@@ -62,7 +75,8 @@ left join v_companies s on b.website = 'https://www.' || replace(s.name, ' ', ''
 def _(t):
     b = t("v_base").withColumnRenamed("company", "name")
     e = b.select(F.col("id").alias("row_id"), "name", F.lit("").alias("slug"), F.when(F.col("id") % 2 == 0, F.concat(F.lit("https://www."), "tight", F.lit(".io"))).alias("website"))
-    return landed.yc_directory(e, t("v_companies")).select("row_id", "slug", "url", "company_id")
+    read = files.read_json(t.spark, _arrays(t, e, "row_id"), "row_id long, name string, slug string, website string")
+    return landed.yc_directory(read.rows, t("v_companies")).select("row_id", "slug", "url", "company_id")
 
 
 @query("scan_mica_register", """
@@ -72,8 +86,16 @@ def _(t):
     name = F.when(F.col("id") % 4 == 3, F.lit("Zqxjv Wkkpt Holdings")).otherwise(F.col("company"))
     e = b.select(
         F.col("id").alias("row_id"), F.when(F.col("id") % 2 == 0, name).otherwise("").alias("ae_commercial_name"), name.alias("ae_lei_name"),
-        F.lit(None).cast("string").alias("ae_website"), F.concat(F.lit("L"), F.col("id").cast("string")).alias("ae_lei"))
-    return landed.mica_register(e, t("v_companies")).select("row_id", "dedup_key", "company_id")
+        F.lit("").alias("ae_website"), F.concat(F.lit("L"), F.col("id").cast("string")).alias("ae_lei"))
+    folder = _folder(t)
+    e.write.option("header", True).csv(folder)
+    # lines that are no rows of the register, in files of their own
+    torn = b.filter("id % 10 = 0").select(F.concat(F.lit("torn "), F.col("id").cast("string"), F.lit(",x")).alias("value"))
+    torn.coalesce(1).write.mode("append").text(folder)
+    rows, unreadable, counts = files.quarantine(files.read_csv(t.spark, folder, "row_id long, ae_commercial_name string, ae_lei_name string, ae_website string, ae_lei string"), f"{folder}-read")
+    if counts["rows"] + counts["unreadable"] != e.count() + max(0, torn.count() - 1):  # a file's first line is its header
+        raise ValueError(f"lines of the register got lost: {counts}")
+    return landed.mica_register(rows, t("v_companies")).select("row_id", "dedup_key", "company_id")
 
 
 @query("scan_rss_items")
@@ -108,7 +130,9 @@ def _(t):
     kids = lines.groupBy(F.col("l_orderkey").alias("id")).agg(F.array_sort(F.collect_list(cid)).alias("kids"), F.count("*").alias("descendants"))
     title = F.when(F.col("template") == 5, F.concat(F.lit("Show HN: "), "title")).otherwise(F.col("title"))
     stories = t("v_signals").select("id", F.lit("story").alias("type"), title.alias("title"), F.lit("").alias("text"), "url").join(kids, "id", "left")
-    out = landed.hn_stories(stories.unionByName(comments))
+    folder = _folder(t)
+    stories.unionByName(comments).select(F.to_json(F.struct("*")).alias("value")).write.text(folder)
+    out = files.thread_stories(files.payloads(t.spark, folder).rows)
     return out.select("id", "url", "story_type", F.size("comments").cast("bigint").alias("comments"))
 
 
@@ -160,7 +184,9 @@ def _(t):
         F.struct((F.col("id") % 90).alias("like_count")).alias("public_metrics"),
         F.struct(F.array(F.struct(F.concat(F.lit("https://news.example.org/"), sid).alias("expanded_url"))).alias("urls")).alias("entities"))
     users = F.struct(F.array(F.struct(F.lit("u1").alias("id"), author.alias("username"))).alias("users"))
-    out = landed.search_posts(s.select(F.to_json(F.struct(F.array(tweet).alias("data"), users.alias("includes"))).alias("value")))
+    folder = _folder(t)
+    s.select(F.to_json(F.struct(F.array(tweet).alias("data"), users.alias("includes"))).alias("value")).write.text(folder)
+    out = files.social_posts(files.payloads(t.spark, folder).rows)
     return out.select("post_id", "text", "author", "likes", "url", F.array_join("urls", " ").alias("urls"))
 
 
@@ -189,8 +215,39 @@ def _(t):
     lv = F.to_json(F.array(F.struct("id", F.col("title").alias("text"), F.col("u").alias("hostedUrl"), F.col("at").alias("createdAt"), F.struct(F.col("p_brand").alias("department")).alias("categories"))))
     a = F.to_json(F.struct(F.array(F.struct("id", "title", F.col("u").alias("jobUrl"), F.col("at").alias("publishedAt"), F.col("p_brand").alias("department"))).alias("jobs")))
     k = F.col("k")
-    rows = p.select(F.when(k == 0, "greenhouse").when(k == 1, "lever").otherwise("ashby").alias("board"), F.col("p_name").alias("slug"), F.when(k == 0, g).when(k == 1, lv).otherwise(a).alias("value"))
-    return landed.board_jobs(rows).select("ats_platform", "external_id", "title", "department", "source_url", "posted_at")
+    folder = _folder(t)
+    p.select(F.when(k == 0, g).when(k == 1, lv).otherwise(a).alias("value")).write.text(folder)
+    return files.job_shapes(files.payloads(t.spark, folder).rows).select("ats_platform", "external_id", "title", "department", "source_url", "posted_at")
+
+
+@query("union_job_shapes", f"""
+select board as ats_platform, cast(id as string) as external_id, 'Engineer ' || p_name as title from ({BOARD_ROWS}) x""")
+def _(t):
+    # postings of all boards, stories and posts lie in one folder; each payload goes by its shape
+    folder = _folder(t)
+    p = t("part").select(F.col("p_partkey").cast("string").alias("id"), F.concat(F.lit("Engineer "), "p_name").alias("title"), F.concat(F.lit("https://b.example/"), F.col("p_partkey").cast("string")).alias("u"), (F.col("p_partkey") % 3).alias("k"))
+    k = F.col("k")
+    g = F.to_json(F.struct(F.array(F.struct("id", "title", F.col("u").alias("absolute_url"))).alias("jobs")))
+    lv = F.to_json(F.array(F.struct("id", F.col("title").alias("text"), F.col("u").alias("hostedUrl"))))
+    a = F.to_json(F.struct(F.array(F.struct("id", "title", F.col("u").alias("jobUrl"))).alias("jobs")))
+    p.select(F.when(k == 0, g).when(k == 1, lv).otherwise(a).alias("value")).write.text(folder)
+    _hits(t).write.mode("append").text(folder)
+    t("v_signals").select(F.concat(F.lit("{torn "), "title").alias("value")).write.mode("append").text(folder)
+    return files.job_shapes(files.payloads(t.spark, folder).rows).select("ats_platform", "external_id", "title")
+
+
+def _hits(t):
+    """Search hits, one payload a line."""
+    hit = F.struct(F.col("id").cast("string").alias("objectID"), F.concat(F.lit("Show HN: "), "title").alias("title"), "url", (F.col("id") % 50).alias("points"))
+    return t("v_signals").select(F.to_json(F.struct(F.array(hit).alias("hits"))).alias("value"))
+
+
+@query("scan_search_hits", """
+select id, trim('Show HN: ' || title) as title, coalesce(url, 'https://news.ycombinator.com/item?id=' || id) as url, 'show_hn' as story_type, id % 50 as points from v_signals""")
+def _(t):
+    folder = _folder(t)
+    _hits(t).write.text(folder)
+    return files.thread_stories(files.payloads(t.spark, folder).rows).select("id", "title", "url", "story_type", "points")
 
 
 @query("scan_repo_metrics", """

@@ -120,7 +120,7 @@ def mica_register(entries: DataFrame, companies: DataFrame) -> DataFrame:
     """Register rows of known companies; the commercial name, else the legal name, names them."""
     rows = entries.withColumn("commercial_name", F.trim(first_filled(F.col("ae_commercial_name"), F.col("ae_lei_name"))))
     rows = rows.filter("coalesce(commercial_name, '') <> ''").withColumn("website", filled(F.trim("ae_website"))).withColumn("lei", F.trim("ae_lei"))
-    fallback = F.replace(F.lower(F.substring("commercial_name", 1, 48)), F.lit(" "), F.lit("_"))
+    fallback = F.replace(F.lower("commercial_name"), F.lit(" "), F.lit("_"))
     rows = rows.withColumn("dedup_key", F.concat(F.lit("mica_"), F.coalesce(filled(F.col("lei")), fallback)))
     return resolved_by_site_then_name(rows, companies, "commercial_name", "website").filter("company_id is not null")
 
@@ -180,16 +180,21 @@ def hn_stories(items: DataFrame) -> DataFrame:
 # -- posts ------------------------------------------------------------------------------------------
 
 SEARCH_SCHEMA = (
-    "data array<struct<id:string,text:string,created_at:string,author_id:string,public_metrics:struct<retweet_count:bigint,reply_count:bigint,"
-    "like_count:bigint>,entities:struct<urls:array<struct<expanded_url:string,url:string>>>>>, includes struct<users:array<struct<id:string,username:string>>>"
+    "data:array<struct<id:string,text:string,created_at:string,author_id:string,public_metrics:struct<retweet_count:bigint,reply_count:bigint,"
+    "like_count:bigint>,entities:struct<urls:array<struct<expanded_url:string,url:string>>>>>,includes:struct<users:array<struct<id:string,username:string>>>"
 )
 
 
 def search_posts(payloads: DataFrame) -> DataFrame:
     """Search payloads (column ``value``) to posts with author, metrics and links of text and entities."""
-    rows = payloads.select(F.from_json("value", SEARCH_SCHEMA).alias("p")).select(F.explode("p.data").alias("t"), F.col("p.includes.users").alias("users"))
+    rows = payloads.select(F.from_json("value", f"struct<{SEARCH_SCHEMA}>").alias("p")).select(F.explode("p.data").alias("t"), F.col("p.includes.users").alias("users"))
     user = F.get(F.filter("users", lambda u: u["id"] == F.col("t.author_id")), 0)["username"]
-    rows = rows.withColumn("author", F.coalesce(user, F.lit("i")))
+    return posts_of(rows.withColumn("author", user))
+
+
+def posts_of(rows: DataFrame) -> DataFrame:
+    """Posts of (t, author), a post as the search interface gives it and its author's name, if that is known."""
+    rows = rows.withColumn("author", F.coalesce("author", F.lit("i")))
     inline = F.regexp_extract_all("t.text", F.lit(r"""https?://[^\s\])"'<>]+"""), F.lit(0))
     linked = F.filter(F.transform("t.entities.urls", lambda u: F.coalesce(u["expanded_url"], u["url"])), lambda u: u.startswith("http"))
     none = F.array().cast("array<string>")
@@ -214,26 +219,35 @@ BOARD_SCHEMAS = {
 
 def board_jobs(payloads: DataFrame) -> DataFrame:
     """Board payloads (board, slug, value) of all shapes as landed postings."""
-    day = lambda *c: filled(F.substring(first_filled(*[F.col(x) for x in c]), 1, 10))
-    none = F.lit(None).cast("string")
 
     def jobs(board):
         parsed = F.from_json("value", BOARD_SCHEMAS[board])
         items = parsed if board == "lever" else parsed["jobs"]
         return payloads.filter(F.col("board") == board).select("slug", F.explode(items).alias("j"))
 
-    def shape(df, board, title, department, team, location, url, posted, text, commitment):
-        return df.select(
-            F.coalesce("j.id", F.lit("")).alias("external_id"), F.coalesce(title, F.lit("")).alias("title"), department.alias("department"),
-            team.alias("team"), location.alias("location"), url.alias("source_url"), posted.alias("posted_at"), strip_tags(text).alias("description"),
-            F.lit(board).alias("ats_platform"), F.lit(board).alias("source"), commitment.alias("commitment"), "slug",
-        )
-
-    c = F.col
-    g = shape(jobs("greenhouse"), "greenhouse", c("j.title"), F.get(c("j.departments"), 0)["name"], none, c("j.location.name"), c("j.absolute_url"), day("j.updated_at", "j.created_at"), c("j.content"), none)
-    lv = shape(jobs("lever"), "lever", first_filled(c("j.text"), c("j.title")), c("j.categories.department"), c("j.categories.team"), c("j.categories.location"), first_filled(c("j.hostedUrl"), c("j.applyUrl")), day("j.createdAt"), first_filled(c("j.descriptionPlain"), c("j.description")), c("j.categories.commitment"))
-    a = shape(jobs("ashby"), "ashby", c("j.title"), c("j.department"), c("j.team"), c("j.location"), first_filled(c("j.jobUrl"), c("j.applyUrl")), day("j.publishedAt", "j.updatedAt"), first_filled(c("j.descriptionPlain"), c("j.description")), c("j.employmentType"))
-    return g.unionByName(lv).unionByName(a)
+    g, lever, ashby = (board_shape(jobs(board), board) for board in ("greenhouse", "lever", "ashby"))
+    return g.unionByName(lever).unionByName(ashby)
+
+
+def board_shape(df: DataFrame, board: str) -> DataFrame:
+    """Jobs (slug, j) of one board's shape as landed postings."""
+    c, none = (lambda name: F.col(f"j.{name}")), F.lit(None).cast("string")
+    day = lambda *names: filled(F.substring(first_filled(*map(c, names)), 1, 10))
+    shape = {
+        "greenhouse": lambda: (c("title"), F.get(c("departments"), 0)["name"], none, c("location.name"), c("absolute_url"), day("updated_at", "created_at"), c("content"), none),
+        "lever": lambda: (
+            first_filled(c("text"), c("title")), c("categories.department"), c("categories.team"), c("categories.location"), first_filled(c("hostedUrl"), c("applyUrl")), day("createdAt"),
+            first_filled(c("descriptionPlain"), c("description")), c("categories.commitment")),
+        "ashby": lambda: (
+            c("title"), c("department"), c("team"), c("location"), first_filled(c("jobUrl"), c("applyUrl")), day("publishedAt", "updatedAt"),
+            first_filled(c("descriptionPlain"), c("description")), c("employmentType")),
+    }
+    title, department, team, location, url, posted, text, commitment = shape[board]()
+    return df.select(
+        F.coalesce("j.id", F.lit("")).alias("external_id"), F.coalesce(title, F.lit("")).alias("title"), department.alias("department"),
+        team.alias("team"), location.alias("location"), url.alias("source_url"), posted.alias("posted_at"), strip_tags(text).alias("description"),
+        F.lit(board).alias("ats_platform"), F.lit(board).alias("source"), commitment.alias("commitment"), "slug",
+    )
 
 
 # -- repositories and catalogs ------------------------------------------------------------------------
