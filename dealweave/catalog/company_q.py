@@ -52,7 +52,7 @@ CLAIMED = f"""select *, split_part(tr, '|', 1) as source_tier, cast(split_part(t
 from (select p.*, case when ats_platform in ({BOARDS}) then case when coalesce(ends_with(host, home), false) then 'company_official|1.0|true' else 'company_official|0.92|false' end
     else {trust_sql('source', 'host', 'ends_with(host, home)', 'false')} end as tr
   from (select p.* exclude (source_url), url as source_url, {HOST.format('url')} as host, replace(c.name, ' ', '') || '.io' as home from (select *, coalesce(nullif(source_url, ''),
-      'job:' || company_id || ':' || coalesce(ats_platform, source) || ':' || coalesce(external_id, '') || ':' || substr(title, 1, 80)) as url from parsed) p
+      'job:' || company_id || ':' || coalesce(ats_platform, source) || ':' || coalesce(external_id, '') || ':' || title) as url from parsed) p
     join v_companies c on c.company_id = p.company_id) p) q"""
 
 

@@ -6,14 +6,15 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import brief, repair, search, signals
+from ..operators import brief, company, repair, search, signals
 from ..plans import rollups
 from ..session import shared_folder
 from ..streaming import streams
+from . import company_q  # noqa: F401 - its SQL is used here
 from .extract_q import SIGNAL_TEXT, classify_ctes
-from .funding_q import latest_github
+from .funding_q import latest_github, rounds_of
 from .rank_q import ALERTED, RULES
-from .registry import NOW_SQL, query
+from .registry import NOW_SQL, ORACLES, query
 from .source_q import SNAP, snapshots
 
 
@@ -86,16 +87,48 @@ def _(t):
     return t.spark.read.json(f"{folder}/json").select("company_id", "name", "industry")
 
 
-def letter_counts(texts: list[str]) -> list[list[float]]:
-    """Stand-in model: letter frequencies."""
-    return [[float(x.lower().count(chr(97 + i))) for i in range(26)] for x in texts]
+ASKED = "Robotics maker series A funding round"
+_VECTOR = search.query_vector(ASKED)
 
 
-@query("job_embed_and_search")
+def _embedded(kind: str, most: int, boost: str, rows: str) -> str:
+    """SQL of the best rows of (id, text, ...) by cosine to the query, with a boost."""
+    q = ", ".join(f"{v:.1f}::double" for v in _VECTOR)
+    norm = repr(sum(v * v for v in _VECTOR) ** 0.5)
+    return f"""(select '{kind}' as kind, id, score from (
+  select id, least(1.0::double, case when nn > 0 then dot / (sqrt(nn) * {norm}::double) else 0 end + {boost}) as score from (
+    select id, any_value(amount_usd) as amount_usd, any_value(company_score) as company_score, any_value(confidence) as confidence, sum(n * n)::double as nn, sum(n * [{q}][part + 1])::double as dot from (
+      select id, part, any_value(amount_usd) as amount_usd, any_value(company_score) as company_score, any_value(confidence) as confidence, count(*) as n from (
+        select *, ('0x' || substr(md5(unnest(regexp_extract_all(lower(text), '[a-z0-9]+'))), 1, 4))::int % {len(_VECTOR)} as part from ({rows}) x) y group by id, part) z group by id) s) v
+  order by score desc, id limit {most})"""
+
+
+def _or_blank(value: str, text: str) -> str:
+    return f"case when coalesce({value}::varchar, '') <> '' then {text} end"
+
+
+def _usd(column: str) -> str:
+    return f"'$' || format('{{:,}}', {column})"
+
+
+EMBEDDED = " union all ".join([
+    "select * from " + _embedded("company", 5, "coalesce(company_score, 0) * 0.05", f"""select c.company_id::varchar as id, null::bigint as amount_usd, c.score as company_score, null::double as confidence,
+      concat_ws(' ', c.name, {_or_blank("c.description", "c.description")}, {_or_blank("p.business_model", "'Business model: ' || p.business_model")},
+        {_or_blank("p.headquarters", "'HQ: ' || p.headquarters")}, {_or_blank("p.team_size", "'Team: ' || p.team_size || ' people'")}) as text
+      from v_companies c left join ({ORACLES["profile_rollup"]}) p on p.company_id = c.company_id"""),
+    "select * from " + _embedded("funding", 5, "least(0.1::double, coalesce(amount_usd, 0) / 1e10)", f"""select r.cluster_key as id, r.amount_usd, null::double as company_score, null::double as confidence,
+      concat_ws(' ', c.name, r.round_type, case when coalesce(r.amount_usd, 0) <> 0 then {_usd("r.amount_usd")} end, case when coalesce(r.valuation_usd, 0) <> 0 then 'at ' || {_usd("r.valuation_usd")} || ' valuation' end,
+        {_or_blank("r.lead_investor", "'led by ' || r.lead_investor")}) as text from ({ORACLES["funding_rounds"]}) r left join v_companies c on c.company_id = r.company_id"""),
+    "select * from " + _embedded("event", 10, "coalesce(nullif(confidence, 0), 0.5) * 0.05", f"""select e.id::varchar as id, null::bigint as amount_usd, null::double as company_score, e.confidence,
+      concat_ws(' ', coalesce(c.name, 'Unknown'), e.event_type, case when coalesce(e.amount_usd, 0) <> 0 then {_usd("e.amount_usd")} end, 'from ' || e.source) as text
+      from v_events e left join v_companies c on c.company_id = e.company_id"""),
+])
+
+
+@query("job_embed_and_search", f"select kind, id, round(score, 6) as score from ({EMBEDDED}) f order by f.score desc, kind, id limit 15")
 def _(t):
-    c = t("v_companies").select(F.col("company_id").alias("id"), F.concat_ws(" ", "name", "description", "industry").alias("text"))
-    rows = search.embed(c, "text", letter_counts)
-    return search.top_k(rows, letter_counts(["robotics maker"])[0], F.lit(0.0), 10).select("id", F.round("score", 6).alias("score"))
+    out = rollups.embed_and_search(t("v_companies"), company.profile_rollup(t("v_profile")), rounds_of(t)[1], t("v_events"), ASKED, run_of(t))
+    return out["found"].select("kind", "id", F.round("score", 6).alias("score"))
 
 
 @query("job_daily")

@@ -41,7 +41,7 @@ def _(t):
 
 
 @query("company_candidates", """
-select name, score, 'Mentioned in ' || signals || ' signals (' || substr(source_list, 1, 200) || ')' as description from scored_stats where score >= 0.08 or signals >= 2""",
+select name, score, 'Mentioned in ' || signals || ' signals (' || source_list || ')' as description from scored_stats where score >= 0.08 or signals >= 2""",
        **STAT_PARTS, scored_stats=SCORED)
 def _(t):
     return ranking.company_candidates(year_stats(t)).select("name", "score", "description")

@@ -114,7 +114,7 @@ select s.id, s.url, case when s.title like 'Show HN%' then 'show_hn' when contai
   when regexp_matches(lower(s.title), 'acquired|acquisition|bought') then 'acquisition' else 'discussion' end as story_type, coalesce(k.n, 0) as comments
 from (select id, template, coalesce(url, 'https://news.ycombinator.com/item?id=' || id) as url, case when template = 5 then 'Show HN: ' || title else title end as title from v_signals) s
 left join (select l_orderkey, count(*) filter (where length(trim(l_returnflag || ' comment on the launch with enough words ' || l_partkey)) > 40) as n from
-  (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) rn, count(*) over (partition by l_orderkey) as c from lineitem) l where rn <= 6 and c >= 3 group by l_orderkey) k on k.l_orderkey = s.id
+  (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) rn, count(*) over (partition by l_orderkey) as c from lineitem) l where c >= 3 group by l_orderkey) k on k.l_orderkey = s.id
 where regexp_matches(lower(s.title), 'launch|show hn|startup|funding|raised|series a|series b|seed|acquired|open source|github|api|saas|developer tools|led by|million|valuation|round|hiring|platform|marketplace|fintech|health|raises|series c|pre-seed|billion|closes|closed|secured|investors|acquisition|introducing|debuts|ipo')""")
 def _(t):
     from pyspark.sql import Window
@@ -138,7 +138,7 @@ def _(t):
 
 @query("thread_comments", """
 select l_orderkey as id, count(*) as comments from (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) rn,
-  count(*) over (partition by l_orderkey) as c from lineitem) l where rn <= 6 and c >= 3 group by l_orderkey""")
+  count(*) over (partition by l_orderkey) as c from lineitem) l where c >= 3 group by l_orderkey""")
 def _(t):
     from pyspark.sql import Window
 

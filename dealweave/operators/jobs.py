@@ -63,7 +63,7 @@ def job_claims(raw: DataFrame, companies: DataFrame) -> DataFrame:
     ats = F.coalesce(filled(F.col("ats_platform")), filled(F.col("source")), F.lit("unknown"))
     own = F.concat_ws(
         ":", F.lit("job"), F.col("company_id").cast("string"), ats, F.coalesce("external_id", F.lit("")),
-        F.substring("title", 1, 80),
+        "title",
     )
     rows = rows.withColumn("source_url", F.coalesce(filled(strip(F.col("source_url"))), own))
     rows = rows.drop("website").join(companies.select("company_id", "website"), "company_id")
@@ -82,7 +82,7 @@ def event_job_rows(events: DataFrame) -> DataFrame:
     """Hiring events shaped as landed postings."""
     none = F.lit(None).cast("string")
     return hiring_events(events).select(
-        "id", "company_id", F.substring("description", 1, 200).alias("title"), "description",
+        "id", "company_id", F.col("description").alias("title"), "description",
         none.alias("location"), none.alias("department"), none.alias("team"), none.alias("commitment"),
         F.coalesce(filled(F.col("source_url")), F.concat(F.lit("intel-event:"), F.col("id").cast("string"))).alias("source_url"),
         F.coalesce(filled(F.col("source")), F.lit("intelligence_event")).alias("source"),
@@ -158,7 +158,7 @@ def hiring_velocity(postings: DataFrame, today) -> DataFrame:
 
 
 def board_slugs(companies: DataFrame) -> DataFrame:
-    """Up to eight ordered distinct board slugs from organisation and name."""
+    """Ordered distinct board slugs from organisation and name."""
     low = F.lower(F.trim("name"))
     dash = F.regexp_replace(F.regexp_replace(low, "[^a-z0-9]+", "-"), "^-+|-+$", "")
     tries = F.array(
@@ -166,4 +166,4 @@ def board_slugs(companies: DataFrame) -> DataFrame:
         dash, F.regexp_replace(low, "[^a-z0-9]+", ""),
     )
     usable = F.array_distinct(F.filter(tries, lambda s: s.isNotNull() & (s != "")))
-    return companies.select("company_id", F.posexplode(F.slice(usable, 1, 8)).alias("position", "slug"))
+    return companies.select("company_id", F.posexplode(usable).alias("position", "slug"))

@@ -86,7 +86,7 @@ def attention_score(stats: DataFrame) -> DataFrame:
 def company_candidates(stats: DataFrame) -> DataFrame:
     """Names worth a candidate row: enough attention or at least two signals."""
     scored = attention_score(stats).filter((F.col("score") >= LEAST_ATTENTION) | (F.col("signals") >= LEAST_SIGNALS))
-    sources = F.substring("source_list", 1, 200)
+    sources = F.col("source_list")
     return scored.select(
         "name", F.format_string("Mentioned in %d signals (%s)", "signals", sources).alias("description"),
         F.coalesce(F.nullif(sources, F.lit("")), F.lit("signals")).alias("discovery_source"), "score",

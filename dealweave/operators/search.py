@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -75,6 +77,34 @@ def event_text() -> Column:
     )
 
 
+#: Parts of a hashed term vector.
+TERM_PARTS = 64
+
+
+def terms(text: Column) -> Column:
+    """Lower-cased words and numbers of a text."""
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+"), lambda w: w != "")
+
+
+def _part(term: Column, parts: int) -> Column:
+    return F.conv(F.left(F.md5(term), F.lit(4)), 16, 10).cast("int") % parts
+
+
+def term_counts(rows: DataFrame, text: Column, parts: int = TERM_PARTS) -> DataFrame:
+    """Rows with ``embedding``, how often terms of each of ``parts`` hash classes occur: a model without weights, all in expressions."""
+    own = F.transform(terms(text), lambda w: _part(w, parts))
+    counts = F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda i: F.size(F.filter("__parts", lambda p: p == i)).cast("double"))
+    return rows.withColumn("__parts", own).withColumn("embedding", counts).drop("__parts")
+
+
+def query_vector(text: str, parts: int = TERM_PARTS) -> list[float]:
+    """The vector of a query's text, as :func:`term_counts` makes it."""
+    out = [0.0] * parts
+    for w in re.findall("[a-z0-9]+", text.lower()):
+        out[int(hashlib.md5(w.encode()).hexdigest()[:4], 16) % parts] += 1
+    return out
+
+
 def embed(rows: DataFrame, text: str, model: Callable[[list[str]], list[list[float]]]) -> DataFrame:
     """Rows with an ``embedding`` from a pluggable model, called per Arrow batch."""
 

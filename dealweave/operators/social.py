@@ -33,7 +33,7 @@ STARTUP_WORDS = [
     "github", "api", "saas", "developer tools", "led by", "million", "valuation", "round", "hiring", "platform",
     "marketplace", "fintech", "health",
 ]
-SHORTEST_COMMENT, FIRST_COMMENTS, BUSY_THREAD = 40, 6, 3
+SHORTEST_COMMENT, BUSY_THREAD = 40, 3
 
 
 def social_category(text):
@@ -58,7 +58,7 @@ def startup_relevant(title, text):
     return contains_any(low, STARTUP_WORDS) | has_hype(low)
 
 
-def thread_comments(stories: DataFrame, comments: DataFrame, first: int | None = FIRST_COMMENTS, longest: int | None = None) -> DataFrame:
+def thread_comments(stories: DataFrame, comments: DataFrame, first: int | None = None, longest: int | None = None) -> DataFrame:
     """(id, comments): the ``first`` replies of busy stories (None: all) that are long enough, whole or cut to ``longest``.
 
     ``stories``: id, kids (ordered array), descendants. ``comments``: id, type, text.

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import brief, claims, company, funding, jobs, keyed, quality, ranking, repair, signals, web
+from ..operators import brief, claims, company, funding, jobs, keyed, quality, ranking, repair, search, signals, web
 from ..session import shared_folder
 
 
@@ -101,8 +101,29 @@ def jobs_rollup(board_rows, events, companies, today, run: str = "jobs", earlier
     return {"claims": rows, "postings": postings, "skills": jobs.posting_skills(rows), "velocity": jobs.hiring_velocity(postings, today)}
 
 
-#: Ids made by hashing start here, above any that were numbered.
-NEW_IDS = 1 << 50
+def embed_and_search(companies, profiles, rounds, events, query: str, run: str = "search") -> dict[str, DataFrame]:
+    """Vectors of companies, rounds and events, written, and the best of all three for a query."""
+    own = profiles.select("company_id", "business_model", "headquarters", "team_size")
+    c = companies.select("company_id", "name", F.col("description").alias("description_long"), F.col("score").alias("company_score"), F.lit("").alias("tech_stack"))
+    c = c.join(own, "company_id", "left").withColumn("id", F.col("company_id").cast("string"))
+    names = companies.select("company_id", "name")
+    r = rounds.select(F.col("cluster_key").alias("id"), "company_id", "round_type", "amount_usd", "valuation_usd", "lead_investor").join(names, "company_id", "left")
+    e = events.select(F.col("id").cast("string").alias("id"), "company_id", "event_type", "amount_usd", "source", "confidence").join(names, "company_id", "left")
+    parts = {
+        "company": (search.term_counts(c, search.company_text()), search.company_boost(), 5),
+        "funding": (search.term_counts(r, search.round_text()), search.funding_boost(), 5),
+        "event": (search.term_counts(e, search.event_text()), search.event_boost(), 10),
+    }
+    vector = search.query_vector(query)
+    out, best = {}, []
+    for kind, (rows, boost, most) in parts.items():
+        out[kind] = settle(rows.select("id", "embedding", boost.alias("boost")), run, f"{kind}-vectors")
+        best.append(search.top_k(out[kind], vector, F.col("boost"), most).select(F.lit(kind).alias("kind"), "id", "score"))
+    return out | {"found": search.unified(best)}
+
+
+#: Ids made by hashing start here, above any that were numbered, and take as many values: two of a hundred million agree once in a thousand runs.
+NEW_IDS = 1 << 62
 
 
 def new_id(*of: str) -> Column:
