@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Pieces to either side that a posting carries at most; longer phrases are verified on the texts of their few candidates.
 REACH = 12
+#: Up to so many pairs of a piece of text and a phrase are sent to the texts; more of them meet postings in a shuffle.
+SENT_PAIRS = 50_000
 GRAM = 3
 _WORD = r"^\w$"
 _LETTER = r"[\p{L}\p{N}]"
@@ -28,14 +30,18 @@ def _blank(piece: Column) -> Column:
     return F.trim(piece) == ""
 
 
+def _cut(texts: DataFrame) -> DataFrame:
+    """(id, all, pos, piece) of every piece that is not blank, with all pieces of its text: only for what stays in place."""
+    cut = texts.filter("text is not null").select("id", pieces(F.col("text")).alias("all"))
+    return cut.select("id", "all", F.posexplode("all").alias("pos", "piece")).filter(~_blank(F.col("piece")))
+
+
 def postings(texts: DataFrame, reach: int) -> DataFrame:
     """(id, piece, place, near) of every piece that is not blank; ``near`` has ``reach`` pieces on either side, "" beyond the text."""
     pad = F.array_repeat(F.lit(""), reach)
-    cut = texts.filter("text is not null").select("id", F.concat(pad, pieces(F.col("text")), pad).alias("__all"))
-    places = F.sequence(F.lit(1), F.size("__all") - 2 * reach)
-    rows = cut.filter(F.size("__all") > 2 * reach).withColumn("place", F.explode_outer(places))
-    rows = rows.select("id", "place", F.slice("__all", F.col("place"), F.lit(2 * reach + 1)).alias("near"))
-    return rows.select("id", F.element_at("near", reach + 1).alias("piece"), "place", "near").filter(~_blank(F.col("piece")))
+    padded = F.concat(pad, F.col("all"), pad)
+    near = F.slice(padded, F.col("pos") + 1, F.lit(2 * reach + 1))
+    return _cut(texts).select("id", "piece", F.col("pos").alias("place"), near.alias("near"))
 
 
 def anchors(phrases: DataFrame, inside_words: bool) -> DataFrame:
@@ -89,41 +95,41 @@ def find(texts: DataFrame, phrases: DataFrame, inside_words: bool = True) -> Dat
     behind it. Compared as they are, so both sides must be in one case. Null texts and phrases hold and are nothing; ids and entries must be
     unique. With ``inside_words`` false only places where the phrase's words are words of the text are found, which is enough for ``whole``.
     """
-    probes = anchors(phrases, inside_words)
-    longest = probes.agg(F.max("k")).first()[0] or 1
+    probes = anchors(phrases, inside_words).persist()  # read several times below
+    size = probes.agg(F.max("k").alias("longest"), F.count(F.lit(1)).alias("n")).first()
+    longest = size["longest"] or 1
     reach = min(longest, REACH)
-    posted = postings(texts, reach)
     short = probes.filter(F.col("k") <= REACH)
-    equal = short.filter("mode = 'equal'").select(F.col("anchor").alias("piece"), "anchor", "mode", F.lit(1).alias("offset")).distinct()
-    held = equal
+    held = short.filter("mode = 'equal'").select(F.col("anchor").alias("piece"), "anchor", "mode", F.lit(1).alias("offset")).distinct()
     if inside_words:
-        distinct = posted.select("piece").distinct()
-        held = equal.unionByName(_held(distinct, short.filter("mode <> 'equal'")))
+        distinct = _cut(texts).select("piece").distinct()
+        held = held.unionByName(_held(distinct, short.filter("mode <> 'equal'")))
     known = held.join(short, ["anchor", "mode"]).drop("anchor", "mode")
-    met = posted.join(known, "piece")
-    window = F.slice("near", F.lit(reach + 1) - F.col("i"), F.col("k"))
-    met = met.withColumn("__text", F.array_join(window, "")).withColumn("__first", F.element_at(window, 1))
-    start = F.when(F.col("k") == 1, F.col("offset")).otherwise(F.length("__first") - F.length(F.element_at("parts", 1)) + 1)
-    met = met.withColumn("__start", start).filter("__start >= 1")
-    met = met.filter(F.substring(F.col("__text"), F.col("__start"), F.length("phrase")) == F.col("phrase"))
-    before = F.when(F.col("__start") > 1, F.substring(F.col("__text"), F.col("__start") - 1, F.lit(1))).otherwise(_edge(reach, before=True))
-    behind = F.col("__start") + F.length("phrase")
-    after = F.when(behind <= F.length("__text"), F.substring(F.col("__text"), behind, F.lit(1))).otherwise(_edge(reach, before=False))
-    met = met.select("id", "entry", F.struct(F.col("place") - F.col("i"), "__start").alias("at"), *_stands(before, after, F.col("phrase")))
+    i, k = F.col("i"), F.col("k")
+    few = known.limit(SENT_PAIRS + 1).persist() if size["n"] <= SENT_PAIRS else None
+    if few is not None and few.count() <= SENT_PAIRS:
+        # the pairs go to the texts, and pieces beside a match are read where the text is
+        met = _cut(texts).join(F.broadcast(few), "piece").filter((F.col("pos") >= i) & (F.col("pos") - i + k <= F.size("all")))
+        first = F.col("pos") - i
+        met = met.select("id", "entry", "phrase", "parts", "k", "offset", first.alias("first"), F.slice("all", F.greatest(first + 1, F.lit(1)), k).alias("window"), F.get("all", first - 1).alias("prev"), F.get("all", first + k).alias("next"))
+    else:
+        met = postings(texts, reach).join(known, "piece")
+        at = F.lit(reach) - i  # of the window in near, from 0
+        met = met.select("id", "entry", "phrase", "parts", "k", "offset", (F.col("place") - i).alias("first"), F.slice("near", F.greatest(at + 1, F.lit(1)), k).alias("window"), F.get("near", at - 1).alias("prev"), F.get("near", at + k).alias("next"))
+    met = met.withColumn("text", F.array_join("window", ""))
+    start = F.when(k == 1, F.col("offset")).otherwise(F.length(F.element_at("window", 1)) - F.length(F.element_at("parts", 1)) + 1)
+    met = met.withColumn("start", start).filter("start >= 1")
+    met = met.filter(F.substring("text", F.col("start"), F.length("phrase")) == F.col("phrase"))
+    behind = F.col("start") + F.length("phrase")
+    before = F.when(F.col("start") > 1, F.substring("text", F.col("start") - 1, F.lit(1))).otherwise(F.right(F.coalesce("prev", F.lit("")), F.lit(1)))
+    after = F.when(behind <= F.length("text"), F.substring("text", behind, F.lit(1))).otherwise(F.left(F.coalesce("next", F.lit("")), F.lit(1)))
+    met = met.select("id", "entry", (F.col("first").cast("long") * (1 << 31) + F.col("start")).alias("at"), *_stands(before, after, F.col("phrase")))
     out = met.groupBy("id", "entry").agg(F.bool_or("whole").alias("whole"), F.min_by("alone", "at").alias("alone"))
     if longest > REACH:
-        out = out.unionByName(_find_long(texts, posted, probes.filter(F.col("k") > REACH), inside_words))
+        out = out.unionByName(_find_long(texts, probes.filter(F.col("k") > REACH), inside_words))
     return out
 
 
-def _edge(reach: int, before: bool) -> Column:
-    """The character next to the window, from the piece before or behind it; "" at an end of the text."""
-    i, k = F.col("i"), F.col("k")
-    at = F.lit(reach) - i if before else F.lit(reach + 1) - i + k
-    piece = F.coalesce(F.get("near", at - 1), F.lit(""))
-    return F.right(piece, F.lit(1)) if before else F.left(piece, F.lit(1))
-
-
 def _stands(before: Column, after: Column, phrase: Column) -> list[Column]:
     word = lambda c: c.rlike(_WORD)
     opens = word(before) != word(F.left(phrase, F.lit(1)))
@@ -131,9 +137,9 @@ def _stands(before: Column, after: Column, phrase: Column) -> list[Column]:
     return [(opens & closes).alias("whole"), (~before.rlike(_LETTER) & ~after.rlike(_LETTER)).alias("alone")]
 
 
-def _find_long(texts: DataFrame, posted: DataFrame, probes: DataFrame, inside_words: bool) -> DataFrame:
+def _find_long(texts: DataFrame, probes: DataFrame, inside_words: bool) -> DataFrame:
     """As :func:`find`, of phrases of more pieces than a posting carries: candidates by the anchor, verified on their texts."""
-    met = posted.select("id", "piece").join(probes.select(F.col("anchor").alias("piece"), "entry", "phrase"), "piece").select("id", "entry", "phrase").distinct()
+    met = _cut(texts).select("id", "piece").join(probes.select(F.col("anchor").alias("piece"), "entry", "phrase"), "piece").select("id", "entry", "phrase").distinct()
     both = met.join(texts, "id").withColumn("__at", F.instr("text", F.col("phrase"))).filter("__at > 0")
     before = F.when(F.col("__at") > 1, F.substring(F.col("text"), F.col("__at") - 1, F.lit(1))).otherwise("")
     after = F.substring(F.col("text"), F.col("__at") + F.length("phrase"), F.lit(1))

@@ -37,8 +37,9 @@ def data(seed):
     return texts, list(enumerate(phrases)) + [(900, None), (901, ""), (902, "nova " * 13 + "nova")]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_against_a_plain_search(spark, seed):
+@pytest.mark.parametrize("seed,sent", [(1, P.SENT_PAIRS), (2, P.SENT_PAIRS), (2, 5)])
+def test_against_a_plain_search(spark, monkeypatch, seed, sent):
+    monkeypatch.setattr(P, "SENT_PAIRS", sent)
     texts, phrases = data(seed)
     t = spark.createDataFrame(texts, "id long, text string")
     p = spark.createDataFrame(phrases, "entry long, phrase string")
