@@ -119,6 +119,40 @@ def op12(spark, sf_dir):
     return whitening.op12(table(spark, sf_dir, "embeddings"))
 
 
-@query("op13_spelling_variants")
+# A checksum a byte at a time, words one edit apart by what is left when a character goes, and forms followed to their ends.
+_OP13 = r"""
+with recursive crc(i, k, v) as (
+    select i, 0, i from (select unnest(generate_series(0, 255))::bigint as i) s
+    union all select i, k + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end from crc where k < 8
+), crcs as (select list(v order by i) as t from crc where k = 8),
+runs as (
+    select doc_id, run, count(*) as n from (
+        select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) as run from documents) x group by doc_id, run
+), hashed as (
+    select r.run, r.n, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(regexp_replace(hex(encode(coalesce(doc_id::varchar, '') || ':' || run)), '(..)', '\1 ', 'g'), ' ')[:-2], lambda h: ('0x' || h)::bigint)),
+        lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) as h
+    from runs r, crcs
+), words as (
+    select word, sum(n)::bigint as n from (
+        select case when h % 97 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, n from hashed) z
+    where length(word) >= 5 group by word having sum(n) >= 3
+), cuts as (
+    select word, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest from (select word, unnest(generate_series(1, length(word))) as i from words) c
+), near as (
+    select a.word, a.other, w.n as other_n from (
+        select a.word, b.word as other from cuts a join cuts b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+        union select c.word, w.word from cuts c join words w on w.word = c.rest
+        union select w.word, c.word from cuts c join words w on w.word = c.rest) a join words w on w.word = a.other
+), best as (
+    select word, count(*) as n_near, arg_min(other, (-other_n, encode(other))) as other, max(other_n) as other_n from near group by word
+), forms as (
+    select w.word, w.n, coalesce(n_near, 0) as n_near, case when other_n >= 2 * w.n then other end as form, case when other_n >= 2 * w.n then other_n end as form_n from words w left join best using (word)
+), walk(word, here) as (select word, word from forms union all select w.word, f.form from walk w join forms f on f.word = w.here where f.form is not null),
+ends as (select w.word, w.here as root from walk w join forms f on f.word = w.here where f.form is null)
+select f.word, form, root, n, n_near, form_n from forms f join ends e on e.word = f.word
+"""
+
+
+@query("op13_spelling_variants", _OP13)
 def op13(spark, sf_dir):
     return spelling_variants.op13(table(spark, sf_dir, "documents"))
