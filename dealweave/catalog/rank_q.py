@@ -35,6 +35,14 @@ def _(t):
     return year_stats(t)
 
 
+@query("candidate_metadata", """
+select name, array_to_string(list(id order by detected_at desc, id desc)[1:50], ' ') as signal_ids, array_to_string(list_sort(list(distinct source)), ',') as sources
+from mentioned where name not in (select name from fuzzy where score >= 0.72) group by name""", **{k: v for k, v in STAT_PARTS.items() if k != "stats"})
+def _(t):
+    out = ranking.candidate_metadata(t("v_signals"), t("v_companies"), t.now(), 365)
+    return out.select("name", F.array_join(F.col("signal_ids").cast("array<string>"), " ").alias("signal_ids"), F.array_join("sources", ",").alias("sources"))
+
+
 @query("attention_score", "select name, score from scored_stats", **STAT_PARTS, scored_stats=SCORED)
 def _(t):
     return ranking.attention_score(year_stats(t)).select("name", "score")

@@ -61,6 +61,22 @@ def _(t):
     return table.read()
 
 
+_BOARDS = """select company_id, source as ats_platform, max(regexp_extract(source_url, '^https?://[^/]+/([^/?#]+)', 1)) as board_slug, max(regexp_extract(source_url, '^(https?://[^/]+/[^/?#]+)', 1)) as board_url,
+  '{}' as last_fetched_at, count(*) as last_job_count from v_jobs where source in ('greenhouse', 'lever') and {} group by company_id, source"""
+
+
+@query("merge_job_boards", f"""
+select n.* from ({_BOARDS.format("2001-06-01", "id % 3 = 0")}) n
+union all select o.* from ({_BOARDS.format("2001-05-01", "id % 2 = 0")}) o anti join ({_BOARDS.format("2001-06-01", "id % 3 = 0")}) n on n.company_id = o.company_id and n.ats_platform = o.ats_platform""")
+def _(t):
+    from ..operators import jobs
+
+    table = SnapshotTable(t.spark, _folder(t), ["company_id", "ats_platform"], buckets=16)
+    table.create(jobs.company_boards(t("v_jobs").filter("id % 2 = 0"), "2001-05-01"))
+    table.merge(jobs.company_boards(t("v_jobs").filter("id % 3 = 0"), "2001-06-01"))
+    return table.read()
+
+
 def _spelt(t):
     """Names as they come in, and the batch they come with."""
     return names_of(t).select("name", F.lit(1).alias("batch")).unionByName(names_of(t).select(F.upper("name").alias("name"), F.lit(2).alias("batch")))

@@ -157,6 +157,20 @@ def hiring_velocity(postings: DataFrame, today) -> DataFrame:
     return out.filter("active_openings > 0")
 
 
+#: Boards whose postings carry the board's own address.
+BOARD_HOSTS = ("greenhouse", "lever", "ashby")
+
+
+def company_boards(postings: DataFrame, as_of: str) -> DataFrame:
+    """(company_id, ats_platform, board_slug, board_url, last_fetched_at, last_job_count): the boards that postings were read from."""
+    url = r"^(https?://[^/]+/([^/?#]+))"
+    rows = postings.filter(F.col("source").isin(*BOARD_HOSTS)).select(
+        "company_id", F.col("source").alias("ats_platform"), F.regexp_extract("source_url", url, 1).alias("board_url"), F.regexp_extract("source_url", url, 2).alias("board_slug"))
+    out = rows.filter("board_slug <> ''").groupBy("company_id", "ats_platform").agg(
+        F.max_by("board_slug", "board_url").alias("board_slug"), F.max("board_url").alias("board_url"), F.count(F.lit(1)).alias("last_job_count"))
+    return out.select("company_id", "ats_platform", "board_slug", "board_url", F.lit(as_of).alias("last_fetched_at"), "last_job_count")
+
+
 def board_slugs(companies: DataFrame) -> DataFrame:
     """Ordered distinct board slugs from organisation and name."""
     low = F.lower(F.trim("name"))

@@ -55,14 +55,31 @@ def signal_names(signals: DataFrame, companies: DataFrame) -> DataFrame:
     return out.filter("name is not null")
 
 
+def untracked_names(signals: DataFrame, companies: DataFrame, as_of, days: int) -> DataFrame:
+    """The rows of :func:`signal_names` of the last ``days`` whose name is no tracked company."""
+    rows = signal_names(signals.filter(F.col("detected_at") >= ago(as_of, days)), companies)
+    tracked = resolve.fuzzy_match(rows.select("name"), companies).filter(F.col("score") >= TRACKED_BAR)
+    return rows.join(tracked.select("name").distinct(), "name", "left_anti")
+
+
+def candidate_metadata(signals: DataFrame, companies: DataFrame, as_of, days: int = 30, most: int = 50) -> DataFrame:
+    """(name, signal_ids, sources): the newest ``most`` signals that bring up an untracked name, and all its sources, sorted.
+
+    Ids are ranked with a limit per input partition, so a name in a third of all signals sends few of them.
+    """
+    rows = untracked_names(signals, companies, as_of, days)
+    newest = keyed.top_n(rows.select("name", "id", "detected_at"), ["name"], [F.desc("detected_at"), F.desc("id")], most, rank="__n")
+    ids = newest.groupBy("name").agg(F.transform(F.array_sort(F.collect_list(F.struct("__n", "id"))), lambda x: x["id"]).alias("signal_ids"))
+    sources = rows.select("name", F.coalesce("source", F.lit("unknown")).alias("source")).distinct().groupBy("name").agg(F.array_sort(F.collect_list("source")).alias("sources"))
+    return ids.join(sources, "name")
+
+
 def mention_stats(signals: DataFrame, companies: DataFrame, as_of, days: int = 30) -> DataFrame:
     """Signals, sources, hype and last sight per name that is no tracked company.
 
     Counts come from partial aggregates and have no limit; scores saturate on their own.
     """
-    rows = signal_names(signals.filter(F.col("detected_at") >= ago(as_of, days)), companies)
-    tracked = resolve.fuzzy_match(rows.select("name"), companies).filter(F.col("score") >= TRACKED_BAR)
-    rows = rows.join(tracked.select("name").distinct(), "name", "left_anti")
+    rows = untracked_names(signals, companies, as_of, days)
     stats = rows.groupBy("name").agg(
         F.count("*").alias("signals"),
         F.count_distinct(F.coalesce("source", F.lit("unknown"))).alias("sources"),
