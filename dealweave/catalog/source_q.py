@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import social, web
+from ..operators import series, social, web
 from ..session import shared_folder
 from ..sources import files, landed
 from .registry import query
@@ -266,6 +266,17 @@ def _(t):
     return out.select("org", "repo", "primary_language", "primary_percent", "contributor_count")
 
 
+@query("repo_growth", """
+select a.company_id, a.day, a.commits, a.contributors, a.commits - b.commits as commits_growth, a.contributors - b.contributors as contributors_growth
+from daily a asof left join daily b on b.company_id = a.company_id and a.due >= b.day""",
+       daily="""select *, cast(day - interval 30 day as date) as due from (select company_id, cast(extracted_at as date) as day, cast(sum(commits_last_30d) as bigint) as commits,
+  max(contributor_count) as contributors from v_metrics group by 1, 2) d""")
+def _(t):
+    daily = t("v_metrics").groupBy("company_id", F.col("extracted_at").cast("date").alias("day")).agg(
+        F.sum("commits_last_30d").alias("commits"), F.max("contributor_count").alias("contributors"))
+    return series.growth(daily, "company_id", "day", ["commits", "contributors"], 30)
+
+
 @query("feed_catalog_summary", """
 select category, count(*) as total, count(*) filter (where enabled) as enabled, count(*) filter (where not enabled) as disabled from (select source as category, n_chars > 500 as enabled from documents) d group by rollup (category)""")
 def _(t):
