@@ -29,7 +29,8 @@ def funding_rollup(events, raw_signals, companies, github, run: str = "funding")
     )
     rows = funding.backfill_terms(funding.backfill_participants(rows))
     rows = settle(funding.with_trust(rows, companies), run, "claims")
-    clustered = settle(funding.merge_clusters(rows), run, "clusters")
+    texts = ("deal_text", "headline", "snippet", "deal_terms_text")  # read for the last time above
+    clustered = settle(funding.merge_clusters(rows.drop(*texts)), run, "clusters")
     rounds = settle(funding.funding_rounds(clustered, github), run, "rounds")
     people = funding.claim_participants(rows)
     links = funding.claim_links(clustered)
