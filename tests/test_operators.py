@@ -218,5 +218,6 @@ def test_texts_past_the_display_cut_decide(spark):
     assert child.title == "t" * 300 + " raised" and child.summary == text
     stories = spark.createDataFrame([(1, list(range(2, 12)), 10)], "id long, kids array<long>, descendants long")
     replies = spark.createDataFrame([(i, "comment", f"{i} {text}") for i in range(2, 12)], "id long, type string, text string")
-    assert social.thread_comments(stories, replies).first().comments == [f"{i} {text}" for i in range(2, 8)]
+    assert social.thread_comments(stories, replies).first().comments == [f"{i} {text}" for i in range(2, 12)]
+    assert social.thread_comments(stories, replies, first=6).first().comments == [f"{i} {text}" for i in range(2, 8)]
     assert len(social.thread_comments(stories, replies, first=None).first().comments) == 10
