@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.entities import has_hype
+from ..functions.entities import HYPE_WORDS
 from ..functions.text import contains_any, first_filled, strip_tags, url_key
 from .keyed import insert_ignore
 
@@ -55,7 +55,7 @@ def story_type(title):
 
 def startup_relevant(title, text):
     low = F.lower(F.concat_ws(" ", F.coalesce(title, F.lit("")), strip_tags(text)))
-    return contains_any(low, STARTUP_WORDS) | has_hype(low)
+    return contains_any(low, [*STARTUP_WORDS, *HYPE_WORDS])
 
 
 def thread_comments(stories: DataFrame, comments: DataFrame, first: int | None = None, longest: int | None = None) -> DataFrame:

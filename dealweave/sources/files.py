@@ -5,6 +5,7 @@ Json payloads of any vendor may lie in one folder: a payload is parsed once into
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql.types import StringType, StructType
 from ..functions import entities
 from ..functions.text import filled, strip_tags
 from ..operators import social
+from ..session import shared_folder
 from . import landed
 
 _BAD = "_corrupt_record"
@@ -72,11 +74,16 @@ def quarantine(read: Read, folder: str) -> tuple[DataFrame, DataFrame, dict[str,
 def payloads(spark: SparkSession, path: str, whole_files: bool = False) -> Read:
     """(payload variant, shape, file, modified) of json payloads, one per line or per file; blank lines are none."""
     df = spark.read.option("wholetext", whole_files).text(path).select("value", *_origin()).filter(F.trim("value") != "")
-    df = df.withColumn("payload", F.try_parse_json("value"))
+    df = df.withColumn("payload", once(F.try_parse_json("value")))
     good = df.filter("payload is not null").select("payload", shape_of(F.col("payload")).alias("shape"), *FROM_FILE)
     return Read(good, df.filter("payload is null").select(F.col("value").alias("content"), *FROM_FILE))
 
 
+def once(value: Column) -> Column:
+    """A column worked out once a row: Spark puts the expression itself into every filter on a plain column, again for each place that names it."""
+    return F.explode(F.array(value))
+
+
 def _at(payload: Column, path: str, kind: str) -> Column:
     return F.try_variant_get(payload, path, kind)
 
@@ -96,13 +103,22 @@ HITS = "array<struct<objectID:string,title:string,url:string,story_text:string,p
 
 
 def _typed(rows: DataFrame, shape: str, path: str, kind: str) -> DataFrame:
-    return rows.filter(F.col("shape") == shape).withColumn("p", _at(F.col("payload"), path, kind)).drop("payload", "shape")
+    return rows.filter(F.col("shape") == shape).withColumn("p", once(_at(F.col("payload"), path, kind))).drop("payload", "shape")
 
 
 def thread_stories(rows: DataFrame) -> DataFrame:
-    """Story rows of item payloads, with their comments, and of search hits, which have none."""
-    items = _typed(rows, "thread_item", "$", ITEM).select("p.*")
-    hit = _typed(rows, "search_hits", "$.hits", HITS).select(F.explode("p").alias("h"))
+    """Story rows of item payloads, with their comments, and of search hits, which have none.
+
+    Stories, their replies and hits are read from one table of what the payloads hold, so that each payload is parsed once.
+    """
+    kinds = {"item": ("thread_item", "$", ITEM), "hits": ("search_hits", "$.hits", HITS)}
+    held = [F.when(F.col("shape") == shape, _at(F.col("payload"), path, kind)).alias(name) for name, (shape, path, kind) in kinds.items()]
+    folder = f"{shared_folder(rows.sparkSession)}/dealweave-payloads/{uuid.uuid4().hex}"
+    parsed = rows.filter(F.col("shape").isin([shape for shape, _, _ in kinds.values()])).select("shape", *held)
+    parsed.write.parquet(folder)
+    parsed = rows.sparkSession.read.schema(parsed.schema).parquet(folder)
+    items = parsed.filter("shape = 'thread_item'").select("item.*")
+    hit = parsed.filter("shape = 'search_hits'").select(F.explode("hits").alias("h"))
     page = F.concat(F.lit(landed.THREAD_LINK), F.col("h.objectID"))
     title = F.trim(F.coalesce("h.title", F.lit("")))
     hits = hit.select(

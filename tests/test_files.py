@@ -56,3 +56,14 @@ def test_payloads_of_all_vendors_in_one_folder(spark, tmp_path):
     stories = {r.id: r for r in files.thread_stories(read.rows).collect()}
     assert set(stories) == {5, 9, 10} and len(stories[5].comments) == 3
     assert (stories[9].title, stories[9].url, stories[9].points, stories[10].url) == ("Show HN: launch", "https://news.ycombinator.com/item?id=9", 3, "https://b.io")
+
+
+def test_a_payload_is_parsed_once_a_row(spark, tmp_path):
+    path = put(tmp_path / "all", a__json='{"id": 5, "type": "story", "title": "Show HN: launch", "text": "", "kids": []}')
+    rows = files.payloads(spark, path).rows
+
+    def parses(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().lower().replace("_", "").count("parsejson")
+
+    assert parses(rows) == parses(rows.filter("shape = 'thread_item'")) == 1
+    assert parses(files.thread_stories(rows)) == 0  # reads the table of what was parsed
