@@ -102,3 +102,15 @@ def test_a_company_added_between_two_batches_is_found(spark, tmp_path):
     streams.run_batches(rows, then, cp)
     got = {r.id: (r.company_id, r.method, r.company_version) for r in spark.read.parquet(out).collect()}
     assert got == {0: (None, None, 1), 1: (1, "domain", 1), 2: (None, None, 1), 10: (2, "alias", 2), 11: (1, "domain", 2), 12: (None, None, 2)}
+
+
+def test_a_batch_of_landed_rows_keeps_all_cores_busy(spark, tmp_path):
+    from dealweave.catalog import plan_q
+    from dealweave.catalog.registry import Tables
+
+    rows = spark.range(3000).selectExpr("id", "id % 50 as host")
+    seen = []
+    streams.run_batches(plan_q.landed(Tables(spark, ""), rows, "id", "host"), lambda batch, i: seen.append((batch.rdd.getNumPartitions(), batch.agg({"id": "min"}).first()[0], batch.count())), str(tmp_path / "cp"))
+    assert sum(n for _, _, n in seen) == 3000 and len(seen) == plan_q.BATCHES
+    assert all(n == spark.sparkContext.defaultParallelism for n, _, _ in seen)
+    assert [low for _, low, _ in seen] == sorted(low for _, low, _ in seen)
