@@ -221,3 +221,23 @@ def test_texts_past_the_display_cut_decide(spark):
     assert social.thread_comments(stories, replies).first().comments == [f"{i} {text}" for i in range(2, 12)]
     assert social.thread_comments(stories, replies, first=6).first().comments == [f"{i} {text}" for i in range(2, 8)]
     assert len(social.thread_comments(stories, replies, first=None).first().comments) == 10
+
+
+def test_claims_are_clustered_once_and_names_counted_in_one_pass(spark):
+    from dealweave import views
+    from dealweave.operators import corroboration
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    clustered = funding.merge_clusters(views.table(spark, "/root/testdata/sf0.001", "v_claims"))
+    assert "_merge_greedily" not in plan(funding.funding_rounds(clustered))  # each result clustered the claims again
+    rows = spark.createDataFrame(
+        [("a", "X", '["Q"]'), ("a", " x ", '["q", "Z"]'), ("a", None, None), ("b", "X", None), ("c", "X", '["Y"]'), ("c", "Y", None), (None, "X", None), (None, "X", None)],
+        "k string, lead_investor string, co_investors string")
+    from pyspark.sql import functions as F
+
+    c = corroboration.prepared(rows)
+    got = {r.k: (r.any, r.co) for r in corroboration._most_named(c, "k", {"any": F.concat(F.array_compact(F.array("__lead")), "__co"), "co": F.col("__co")}).collect()}
+    assert got == {"a": (2, 2), "b": (1, None), "c": (2, 1), None: (2, None)}
+    assert corroboration.corroborate(rows, "k")._jdf.queryExecution().optimizedPlan().collectLeaves().size() <= 3
