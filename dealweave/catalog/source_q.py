@@ -91,7 +91,7 @@ def _(t):
     e.write.option("header", True).csv(folder)
     # lines that are no rows of the register, in files of their own
     torn = b.filter("id % 10 = 0").select(F.concat(F.lit("torn "), F.col("id").cast("string"), F.lit(",x")).alias("value"))
-    torn.coalesce(1).write.mode("append").text(folder)
+    torn.repartition(1).write.mode("append").text(folder)  # only the lines go to one task, not the join before them
     rows, unreadable, counts = files.quarantine(files.read_csv(t.spark, folder, "row_id long, ae_commercial_name string, ae_lei_name string, ae_website string, ae_lei string"), f"{folder}-read")
     if counts["rows"] + counts["unreadable"] != e.count() + max(0, torn.count() - 1):  # a file's first line is its header
         raise ValueError(f"lines of the register got lost: {counts}")
