@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dealweave.functions import classify, entities
-from dealweave.operators import quality, ranking, signals
+from dealweave.operators import funding, quality, ranking, signals
 
 
 def optimized(df) -> str:
@@ -63,3 +63,12 @@ def test_events_that_name_a_company_are_looked_for_once(spark):
     out = quality.actionable_nulls(e, s, c)
     assert "from_json" not in optimized(out)
     assert [tuple(r) for r in out.collect()] == [(1, 1)]
+
+
+def test_deals_are_read_once_from_a_text(spark):
+    texts = ["Acme raises $5 million Series A led by Big Fund with participation from Small Fund", "no deal", None]
+    df = spark.createDataFrame([(i, t, "Funding Round", None) for i, t in enumerate(texts)], "id int, text string, event_type string, event_amount long")
+    out = funding.parse_deals(df)
+    assert optimized(out.select("id", "lead_investor", "co_investors")).count("(?:investment|round|funding)") == 1
+    rows = {r["id"]: r for r in out.collect()}
+    assert list(rows) == [0] and rows[0]["lead_investor"] == "Big Fund" and rows[0]["amount_usd"] == 5_000_000
