@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import count_contained
+from ..functions.text import count_contained, with_once
 from .keyed import insert_ignore
 from .lookup import events_with_company
 
@@ -72,7 +72,7 @@ def match_rules(events: DataFrame, rules: list[dict], companies: DataFrame | Non
     text = F.concat_ws(" ", "event_type")
     fallback = default_label(F.col("event_type"), text)
     label = fallback if out is None else out.otherwise(fallback)
-    rows = events.withColumn("alert_type", label).filter("alert_type is not null")
+    rows = with_once(events, alert_type=label).filter("alert_type is not null")
     return rows.filter((F.col("alert_type") != "funding") | (amount >= LEAST_AMOUNT))
 
 

@@ -72,3 +72,22 @@ def test_deals_are_read_once_from_a_text(spark):
     assert optimized(out.select("id", "lead_investor", "co_investors")).count("(?:investment|round|funding)") == 1
     rows = {r["id"]: r for r in out.collect()}
     assert list(rows) == [0] and rows[0]["lead_investor"] == "Big Fund" and rows[0]["amount_usd"] == 5_000_000
+
+
+def test_the_label_of_an_alert_is_worked_out_once(spark):
+    from dealweave.catalog.rank_q import RULES
+    from dealweave.operators import alerts
+
+    rows = [(1, None, "Funding Round", 0.7, 5_000_000), (2, None, "Funding Round", 0.7, 10), (3, 1, "Hiring", 0.1, None), (4, 1, None, None, None)]
+    e = spark.createDataFrame(rows, "id int, company_id int, event_type string, confidence double, amount_usd long")
+    out = alerts.match_rules(e, RULES).select("id", "alert_type")
+    assert optimized(out).count("Big funding") == 1
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "Big funding"), (3, "hiring_spree"), (4, "Big funding")]
+
+
+def test_registered_queries_leave_no_method_to_the_interpreter(spark):
+    from dealweave.catalog.registry import Tables
+
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    Tables(spark, "")
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
