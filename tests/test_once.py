@@ -91,3 +91,24 @@ def test_registered_queries_leave_no_method_to_the_interpreter(spark):
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
     Tables(spark, "")
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_payloads_read_the_same_where_no_one_asks_for_strictness(spark):
+    texts = ['{"title": "A", "url": null}', "{'title': None, 'name': 'b'}", "{'title': 'None, so far', 'high_signal': True}", '{"title": "True"} x', '{"title": "a", "title": "b"}',
+             '{"title": "T\\\\q"}', "[1]", "no", "", None, '{"title": {"a": 1.50}, "id": False}', '{"title": ', " {'title': 'x'}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, data_json string")
+    a, b = (signals.parse_payloads(df, strict=s).select("id", "payload") for s in (True, False))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert "strict" not in signals.parse_payloads(df, strict=False).columns
+
+
+def test_events_are_parsed_once_for_relinking(spark, monkeypatch):
+    from dealweave.operators import repair, resolve
+
+    s, c = landed(spark)
+    e = spark.createDataFrame([(10, 1, None, "A round"), (11, 2, 1, "Beta"), (12, 2, None, "beta, again"), (13, None, None, "Betamax")], "id int, raw_signal_id int, company_id int, description string")
+    seen = []
+    monkeypatch.setattr(resolve, "resolve_company", lambda hints, companies: seen.append(hints) or hints.withColumn("company_id", F.lit(1)))
+    out = repair.relink_orphans(e, s, c, actionable=True)
+    assert "from_json" not in optimized(seen[0])
+    assert sorted(r["id"] for r in out.collect()) == [10, 12, 13]
