@@ -120,3 +120,27 @@ def test_bulk_claims_parse_only_their_sources(spark):
     rows = [(1, '{"title": "x"}', "SEC_Edgar", 1), (2, '{"title": "x"}', "TechCrunch", 1), (3, '{"title": "x"}', "hackernews", None)]
     df = spark.createDataFrame([(*r, None) for r in rows], SIGNALS.replace("timestamp_ntz", "string"))
     assert [r["id"] for r in claims.bulk_rows(df).collect()] == [1]
+
+
+def test_payloads_of_signals_do_not_go_through_the_driver(spark, tmp_path):
+    from dealweave.operators import claims, repair
+
+    landed(spark)[0].write.parquet(f"{tmp_path}/signals")
+    s = spark.read.parquet(f"{tmp_path}/signals")
+    e = spark.createDataFrame([(10, 1, 1, "Funding Round", "x", "x", "A round of Acme Corp")], "id int, raw_signal_id int, company_id int, event_type string, source string, source_url string, description string")
+    e = e.withColumns({"amount_usd": F.lit(None).cast("long"), "confidence": F.lit(0.5), "announced_date": F.lit("2001-01-01"), "created_at": F.lit("2001-01-01").cast("timestamp_ntz")})
+    for out in (claims.event_texts(e, s), funding.event_claims(e, s), repair.reclassify_misfunded(e, s)):
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 1
+
+
+def test_keys_of_compressed_files_are_not_sent_by_the_files_size(spark, tmp_path):
+    from dealweave.catalog.registry import Tables
+
+    spark.conf.set("spark.sql.sources.fileCompressionFactor", "1.0")
+    Tables(spark, "")
+    for name in ("a", "b"):
+        spark.range(1_000_000).select(F.xxhash64("id").alias("id"), F.lit("x" * 90).alias("text")).write.parquet(f"{tmp_path}/{name}")
+    a, b = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("a", "b"))
+    plan = a.join(b.select("id"), "id", "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan
