@@ -97,6 +97,24 @@ def profile_rollup(claims: DataFrame) -> DataFrame:
     return out
 
 
+def with_profiles(companies: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Companies with the industry and website of their rolled-up profile, where it has any, and its entity type and legal name as notes.
+
+    A company whose notes name the entity type already keeps them.
+    """
+    note = F.concat(F.lit("entity_type="), F.nullif("entity_type", F.lit("")))
+    notes = F.when(note.isNotNull(), F.concat_ws(" ", note, F.concat(F.lit("legal_name="), F.nullif("legal_name", F.lit("")))))
+    own = profiles.select("company_id", F.struct(
+        F.nullif("industry", F.lit("")).alias("industry"), F.nullif("website_url", F.lit("")).alias("website"), note.alias("note"), notes.alias("notes")).alias("__own"))
+    had = companies if "notes" in companies.columns else companies.withColumn("notes", F.lit(None).cast("string"))
+    rows = had.join(own, "company_id", "left")
+    told = F.col("__own.note").isNull() | F.coalesce(F.contains("notes", F.col("__own.note")), F.lit(False))
+    rows = rows.withColumn("notes", F.when(told, F.col("notes")).otherwise(F.trim(F.concat_ws(" ", "notes", "__own.notes"))))
+    for name in ("industry", "website"):
+        rows = rows.withColumn(name, F.coalesce(F.col(f"__own.{name}"), name))
+    return rows.select(*had.columns)
+
+
 def profile_listing(profiles: DataFrame, companies: DataFrame, most: int | None = None) -> DataFrame:
     """Companies with a rolled-up profile, the highest score first; all of them unless a limit is given."""
     own = profiles.select("company_id", "founded_year", "headquarters", "team_size", "business_model")
