@@ -144,3 +144,21 @@ def test_keys_of_compressed_files_are_not_sent_by_the_files_size(spark, tmp_path
     a, b = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("a", "b"))
     plan = a.join(b.select("id"), "id", "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" not in plan
+
+
+def test_repairs_parse_payloads_once_and_classify_general_news_only(spark, monkeypatch):
+    from dealweave.functions import classify as classifier
+    from dealweave.operators import repair, resolve
+
+    s, c = landed(spark)
+    rows = [(10, 1, 1, "General News", None, "x"), (11, 2, 1, "Hiring", None, "Zeta raises $3m"), (12, 1, 1, "General News", None, "older"), (13, 7, 1, "Funding Round", None, "nothing here that speaks of it")]
+    e = spark.createDataFrame(rows, "id int, raw_signal_id int, company_id int, event_type string, amount_usd long, description string").withColumns({"source": F.lit("x"), "confidence": F.lit(0.5)})
+    monkeypatch.setattr(resolve, "resolve_company", lambda hints, companies: hints.limit(0).withColumn("company_id", F.lit(1)))
+    out = repair.repair(e, s, c)
+    assert optimized(out).count("from_json") <= 2  # one for labels and amounts, one for events without a company
+    got = {r["id"]: (r["event_type"], r["amount_usd"]) for r in out.collect()}
+    assert got == {12: ("Funding Round", 5_000_000), 11: ("Hiring", None), 13: ("General News", None)}
+    seen = []
+    monkeypatch.setattr(classifier, "classify", lambda df, text, *rest: seen.append([r[0] for r in df.select(text).collect()]) or df.withColumns({"__label": F.lit("general"), "__conf": F.lit(0.1)}))
+    repair.reclassify_general(e, s)
+    assert sum(t is not None for t in seen[0]) == 2
