@@ -161,8 +161,9 @@ def search(vectors: DataFrame, queries: DataFrame, top: int = TOP, id_col: str =
 
     asked = asked.repartition(max(1, -(-asked.count() // QUERY_BLOCK)))
     blocks = settle(asked.mapInPandas(pack_queries, "q_n int, q_ids binary, q_vectors binary, floors binary"), f"{folder}/queries")
-    # a copy of each query block goes to every lane of groups and meets the lane's groups there, one row at a time
-    sent = blocks.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))).join(groups, "lane")
+    # a copy of each query block goes to every lane of groups and meets the lane's groups there, one row at a time; the copies
+    # are shuffled, since a plan made from the size of the blocks' files would send all of them through the driver
+    sent = blocks.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))).hint("merge").join(groups, "lane")
 
     def score(batches):
         for pdf in batches:
