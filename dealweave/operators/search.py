@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import with_once
+
 
 def cosine(vector: Column, query: list[float]) -> Column:
     """Cosine to a fixed query; 0 on length mismatch or a zero vector."""
@@ -94,7 +96,7 @@ def term_counts(rows: DataFrame, text: Column, parts: int = TERM_PARTS) -> DataF
     """Rows with ``embedding``, how often terms of each of ``parts`` hash classes occur: a model without weights, all in expressions."""
     own = F.transform(terms(text), lambda w: _part(w, parts))
     counts = F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda i: F.size(F.filter("__parts", lambda p: p == i)).cast("double"))
-    return rows.withColumn("__parts", own).withColumn("embedding", counts).drop("__parts")
+    return with_once(rows, __parts=own).withColumn("embedding", counts).drop("__parts")  # not once for each of the parts
 
 
 def query_vector(text: str, parts: int = TERM_PARTS) -> list[float]:

@@ -162,3 +162,12 @@ def test_repairs_parse_payloads_once_and_classify_general_news_only(spark, monke
     monkeypatch.setattr(classifier, "classify", lambda df, text, *rest: seen.append([r[0] for r in df.select(text).collect()]) or df.withColumns({"__label": F.lit("general"), "__conf": F.lit(0.1)}))
     repair.reclassify_general(e, s)
     assert sum(t is not None for t in seen[0]) == 2
+
+
+def test_terms_of_a_vector_are_hashed_once(spark):
+    from dealweave.operators import search
+
+    df = spark.range(1).select("id", F.concat(F.lit("A round of "), F.col("id")).alias("text"))
+    out = search.term_counts(df, F.col("text")).select("embedding")
+    assert not any("md5" in line and "AS embedding" in line for line in optimized(out).splitlines())
+    assert out.first()["embedding"] == search.query_vector("a round of 0")
